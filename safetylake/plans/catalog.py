@@ -8,13 +8,26 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from safetylake import schemas as S
 from safetylake.functions import text
-from safetylake.functions.measures import age_match
-from safetylake.operators import concordance, evaluation, reference, signals, surfaces, truth
+from safetylake.operators import (
+    concordance,
+    evaluation,
+    grounding,
+    reference,
+    signals,
+    stages,
+    surfaces,
+    truth,
+)
+from safetylake.plans import case_run
 from safetylake.session import stage_table, tune
 from safetylake.sources import star
 
 VERSION = "pipeline@0.2"
+MINOR_TERMS = [
+    "hot anvil", "hot bolt", "hot gear", "hot gizmo", "hot plate", "hot ring", "hot rod", "hot widget",
+]
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -87,6 +100,25 @@ class Inputs:
         return signals.signal_metrics(self.cells)
 
 
+    @cached_property
+    def ref(self) -> case_run.Reference:
+        return case_run.Reference(self.listed, self.vax, self.scope)
+
+    @cached_property
+    def listed(self) -> DataFrame:
+        return stage_table(self.dictionary, "dictionary")
+
+    @cached_property
+    def read(self) -> DataFrame:
+        return case_run.read(self.view("narratives"), self.ref, S.PIPELINE_VERSION["full"])
+
+    def run(self, *chosen: str, version: str = "full") -> DataFrame:
+        return case_run.run_cases(
+            self.view("narratives"), self.ref, chosen or tuple(S.STAGES),
+            S.PIPELINE_VERSION[version], minor_terms=MINOR_TERMS,
+        )
+
+
 def _named(frame: str) -> Query:
     return lambda spark, sf_dir: getattr(Inputs(spark, sf_dir), frame)
 
@@ -166,6 +198,96 @@ def _requests(i: Inputs) -> DataFrame:
     )
 
 
+def _triage(i: Inputs) -> DataFrame:
+    return stages.triage(i.read, MINOR_TERMS).select(
+        "vaers_id", "triage.valid",
+        F.array_join("triage.missing_criteria", ",").alias("missing_criteria"),
+        "triage.seriousness_screen.serious",
+        F.array_join("triage.seriousness_screen.criteria_flagged", ",").alias("criteria_flagged"),
+        "triage.priority", "triage.confidence", "triage.rationale",
+    )
+
+
+def _extraction(i: Inputs) -> DataFrame:
+    return stages.extraction(i.read).select(
+        "vaers_id", F.to_json("extraction.case", case_run.JSON).alias("extracted"),
+        "extraction.confidence",
+    )
+
+
+def _ground(i: Inputs) -> DataFrame:
+    tops = grounding.ground_topk(i.view("query_vectors"), i.view("term_vectors"))
+    return tops.withColumn("score", F.round("score", 6)).withColumn("rank", F.col("rank").cast("bigint"))
+
+
+def _embedded(i: Inputs) -> DataFrame:
+    scaled = F.transform("vector", lambda x: F.round(x * 1000000).cast("bigint").cast("string"))
+    return grounding.embed_terms(i.listed, "pt_term").select(
+        "pt_term", F.array_join(scaled, ",").alias("vector")
+    )
+
+
+def _coded(i: Inputs) -> DataFrame:
+    verbatims = i.outputs.select(F.explode("coded_pts").alias("verbatim"))
+    return stages.code_terms(verbatims, i.listed)
+
+
+def _candidates(i: Inputs) -> DataFrame:
+    cases = stage_table(
+        stages.extraction(i.read).select(
+            "run_id", F.col("extraction.case.events.verbatim").alias("verbatims")
+        ),
+        "verbatims",
+    )
+    verbatims = cases.select(F.explode("verbatims").alias("verbatim")).distinct()
+    vectors = grounding.embed_terms(verbatims, "verbatim")
+    tops = grounding.ground_topk(vectors, grounding.embed_terms(i.listed, "pt_term"))
+    return stages.render_candidates(cases, grounding.candidate_lists(verbatims, tops))
+
+
+def _assessed(i: Inputs) -> DataFrame:
+    return stages.assessment(stages.extraction(i.read)).select(
+        "vaers_id", "assessment.seriousness.serious",
+        F.array_join("assessment.seriousness.criteria_met", ",").alias("criteria_met"),
+        "assessment.causality.category", "assessment.causality.rationale", "assessment.confidence",
+    )
+
+
+def _summary(i: Inputs) -> DataFrame:
+    runs = i.run("extraction", "coding")
+    text_column = stages.case_summary(F.col("extraction.case"), F.col("coding.result.coded"))
+    return runs.select("vaers_id", text_column.alias("summary"))
+
+
+def _qc(i: Inputs) -> DataFrame:
+    flags = F.transform(
+        "narrative_qc.qc_flags", lambda f: F.concat_ws(":", f["type"], f["severity"], f["detail"])
+    )
+    return i.run().select(
+        "vaers_id", "narrative_qc.completeness.completeness_score",
+        F.array_join("narrative_qc.completeness.gaps", ",").alias("gaps"),
+        F.array_join(flags, "|").alias("flags"),
+        F.col("narrative_qc.overall_confidence").alias("overall_confidence"),
+        "narrative_qc.hitl_recommended",
+    )
+
+
+def _routes(i: Inputs) -> DataFrame:
+    return (
+        i.run()
+        .groupBy(
+            "hitl_required",
+            F.col("narrative_qc.hitl_recommended").alias("recommended"),
+            (F.col("overall_confidence") < S.HITL_THRESHOLD).alias("low_confidence"),
+            (F.size("coding.result.uncoded") > 0).alias("has_uncoded"),
+        )
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+CLOCK = ["input_tokens", "output_tokens", "latency_ms", "created_at", "started_at", "finished_at"]
+
+
 QUERIES: dict[str, Query] = {
     # reference derivation
     "product_scope": _named("scope"),
@@ -215,4 +337,34 @@ QUERIES: dict[str, Query] = {
     "case_status": _using(lambda i: surfaces.case_status(i.view("steps"))),
     "open_cases": _using(lambda i: surfaces.open_cases(surfaces.case_status(i.view("steps"), i.view("reviews")))),
     "case_progress": _using(lambda i: surfaces.case_progress(i.view("steps"))),
+    # case-processing stages
+    "triage": _using(_triage),
+    "extract_case": _using(_extraction),
+    "ground_topk": _using(_ground),
+    "ground_null": _using(
+        lambda i: grounding.ground_null(i.view("query_vectors")).select(
+            "verbatim", F.size("candidates").cast("bigint").alias("n_candidates")
+        )
+    ),
+    "embed_terms": _using(_embedded),
+    "code_events": _using(_coded),
+    "render_candidates": _using(_candidates),
+    "assess": _using(_assessed),
+    "case_summary": _using(_summary),
+    "narrative": _using(lambda i: i.run().select("vaers_id", "narrative_qc.narrative")),
+    "qc_flags": _using(_qc),
+    # whole runs
+    "step_events": _using(lambda i: case_run.step_events(i.run()).drop(*CLOCK)),
+    "run_two_stage": _using(
+        lambda i: case_run.case_results(i.run("extraction", "coding", version="two_stage"))
+    ),
+    "run_full": _using(lambda i: case_run.case_results(i.run())),
+    "hitl_route": _using(_routes),
+    "case_output": _using(
+        lambda i: case_run.case_output(i.run())
+        .drop(*CLOCK)
+        .withColumn("coded_pts", F.array_join("coded_pts", "|"))
+    ),
+    "run_record": _using(lambda i: case_run.run_record(i.run()).drop(*CLOCK)),
+    "run_summary": _using(lambda i: case_run.run_summary(case_run.case_results(i.run()))),
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from safetylake.plans.oracle_cases import CASE_BODIES
 from safetylake.plans.oracle_views import SPACES, sql_ratio, sql_strip, sql_term, with_views
 
 V = "pipeline@0.2"
@@ -160,4 +161,4 @@ BODIES: dict[str, str] = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: with_views(body) for name, body in BODIES.items()}
+    return {name: with_views(body) for name, body in {**BODIES, **CASE_BODIES}.items()}

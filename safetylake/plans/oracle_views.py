@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from safetylake.plans.oracle_cases import CASE_VIEWS
+
 SPACES = (
     r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 )
@@ -244,6 +246,9 @@ VIEWS: dict[str, str] = {
 }
 
 
+VIEWS.update(CASE_VIEWS)
+
+
 def with_views(body: str) -> str:
     """Prefix ``body`` with the views it needs, directly or through other views."""
     needed: set[str] = set()

@@ -298,7 +298,8 @@ def narratives(spark: SparkSession, sf_dir: str) -> DataFrame:
         say(k % 8 == 0, " Allergies: penicillin."),
         say(k % 10 == 0, " Concomitant medications: aspirin; metformin."),
     ]
-    return orders.join(facts, "o_orderkey", "left").select(
+    # The order side is partitioned like the aggregated lines, as the join needs at scale.
+    return orders.repartition("o_orderkey").join(facts, "o_orderkey", "left").select(
         text(k).alias("vaers_id"),
         F.concat(*parts).alias("narrative"),
         F.date_format("o_orderdate", "MMddyyyy").alias("received_date"),
