@@ -107,21 +107,25 @@ def words(narrative: Column) -> Column:
     return F.split(F.btrim(F.regexp_replace(marked, r"[^\p{L}\p{N}|]+", " ")), " ")
 
 
-def phrases(tokens: Column, lengths: Column) -> Column:
-    """Every run of 1..n words whose length occurs in ``lengths``: (pos, verbatim)."""
-
-    def of_length(n: Column) -> Column:
-        starts = F.when(
-            F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - n + 1)
-        ).otherwise(F.array().cast("array<int>"))
-        return F.transform(
-            starts,
-            lambda i: F.struct(
-                i.alias("pos"), F.array_join(F.slice(tokens, i, n), " ").alias("verbatim")
-            ),
-        )
+def phrase_lengths(vocab: DataFrame) -> list[int]:
+    """Word counts that occur among the vocabulary's phrases (a handful of numbers)."""
+    sizes = vocab.select(F.size(F.split("phrase", " ")).alias("n")).distinct()
+    return sorted(row["n"] for row in sizes.collect())
+
 
-    return F.flatten(F.transform(lengths, of_length))
+def phrases(tokens: Column, lengths: list[int]) -> list[Column]:
+    """For each length, the run of that many words at every position (NULL past the end).
+
+    Runs grow word by word, each from the one before, so every array is as long as ``tokens``
+    and an index is the same text position in all of them.
+    """
+    runs, found = tokens, {1: tokens}
+    for n in range(2, max(lengths, default=0) + 1):
+        runs = F.zip_with(
+            runs, F.slice(tokens, n, F.size(tokens)), lambda a, b: F.concat(a, F.lit(" "), b)
+        )
+        found[n] = runs
+    return [found[n] for n in lengths]
 
 
 def read_reports(reports: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -134,9 +138,6 @@ def read_reports(reports: DataFrame, vocab: DataFrame) -> DataFrame:
     Reports with the same run_id are copies of one another; their matches collapse in the
     map-side part of that aggregation.
     """
-    lengths = vocab.select(
-        F.sort_array(F.collect_set(F.size(F.split("phrase", " "))))
-    ).scalar()
     facts = F.struct(
         "vaers_id",
         "received_date",
@@ -144,27 +145,27 @@ def read_reports(reports: DataFrame, vocab: DataFrame) -> DataFrame:
         stated_texts(F.col("narrative")).alias("texts"),
     )
     tokenised = reports.select(
-        "run_id", facts.alias("facts"), words(F.col("narrative")).alias("tokens"), lengths.alias("lengths")
-    )
-    no_facts = F.lit(None).cast(tokenised.schema["facts"].dataType)
-    # The facts row carries a phrase no text can hold, different for each report, so that it
-    # survives the left join and spreads evenly if that join is shuffled.
-    lead = F.struct(
-        F.lit(0).alias("pos"),
-        F.concat(F.lit("|"), F.col("run_id")).alias("verbatim"),
-        F.col("facts").alias("facts"),
+        "run_id", facts.alias("facts"), words(F.col("narrative")).alias("tokens")
     )
-    found = F.transform(
-        F.coalesce(phrases(F.col("tokens"), F.col("lengths")), F.array().cast("array<struct<pos:int,verbatim:string>>")),
-        lambda p: F.struct(
-            p["pos"].alias("pos"), p["verbatim"].alias("verbatim"), no_facts.alias("facts")
-        ),
+    # Entry 0 of a report is its facts row. It carries a phrase no text can hold, different for
+    # each report, so that it survives the left join and spreads evenly if that is shuffled.
+    lead = F.array(F.concat(F.lit("|"), F.col("run_id")))
+    listed = F.concat(lead, *phrases(F.col("tokens"), phrase_lengths(vocab)))
+    rows = tokenised.select(
+        "run_id", "facts", F.size("tokens").alias("n_words"), F.posexplode(listed).alias("k", "verbatim")
     )
-    rows = tokenised.select("run_id", F.inline(F.concat(F.array(lead), found)))
+    is_lead = F.col("k") == 0
     matched = (
-        rows.withColumn("phrase", F.upper("verbatim"))
+        rows.filter("verbatim is not null")
+        .withColumn("phrase", F.upper("verbatim"))
         .join(vocab, "phrase", "left")
-        .filter(F.col("facts").isNotNull() | F.col("kind").isNotNull())
+        .filter(is_lead | F.col("kind").isNotNull())
+        .select(
+            "run_id",
+            F.when(is_lead, F.col("facts")).alias("facts"),
+            ((F.col("k") - 1) % F.col("n_words") + 1).alias("pos"),
+            "verbatim", "kind", "name", "in_scope",
+        )
     )
     mention = F.struct("kind", "name", "pos", "verbatim", "in_scope")
     grouped = matched.groupBy("run_id").agg(

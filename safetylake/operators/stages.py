@@ -122,36 +122,37 @@ def code_terms(verbatims: DataFrame, dictionary: DataFrame) -> DataFrame:
     Returns verbatim, meddra_pt (NULL when nothing is close), meddra_version, confidence and
     requires_review. Vectors are built only for verbatims without an equal term.
     """
-    # Distinct verbatims are few beside the events: write them once, they are read three times.
-    verbatims = stage_table(verbatims.select("verbatim").distinct(), "verbatims")
     terms = (
         dictionary.withColumn("normal", text.normalize_pt(F.col("pt_term")))
         .groupBy("normal")
         .agg(F.min(F.struct("pt_term", "meddra_version")).alias("term"))
     )
-    exact = (
-        verbatims.withColumn("normal", text.normalize_pt(F.col("verbatim")))
+    # Distinct verbatims are few beside the events: write them once, they are read again below.
+    looked_up = stage_table(
+        verbatims.select("verbatim")
+        .distinct()
+        .withColumn("normal", text.normalize_pt(F.col("verbatim")))
         .join(terms, "normal", "left")
-    )
-    equal = exact.filter("term is not null").select(
-        "verbatim", "term.pt_term", "term.meddra_version", F.lit(1.0).alias("score")
-    )
-    other = exact.filter("term is null and normal <> ''").select("verbatim")
-    nearest = ground_topk(
-        embed_terms(other, "verbatim"), embed_terms(dictionary, "pt_term"), k=1
-    ).select("verbatim", "pt_term", "score")
-    near = (
-        exact.filter("term is null")
-        .select("verbatim")
-        .join(nearest, "verbatim", "left")
-        .join(
-            dictionary.groupBy("pt_term").agg(F.min("meddra_version").alias("meddra_version")),
-            "pt_term", "left",
+        .select("verbatim", "normal", "term.pt_term", "term.meddra_version"),
+        "verbatims",
+    )
+    scored = looked_up.filter("pt_term is not null").select(
+        "verbatim", "pt_term", "meddra_version", F.lit(1.0).alias("score")
+    )
+    other = looked_up.filter("pt_term is null").select("verbatim", "normal")
+    if not other.isEmpty():
+        words = other.filter("normal <> ''")
+        nearest = ground_topk(
+            embed_terms(words, "verbatim"), embed_terms(dictionary, "pt_term"), k=1
+        ).select("verbatim", "pt_term", "score")
+        versions = dictionary.groupBy("pt_term").agg(F.min("meddra_version").alias("meddra_version"))
+        scored = scored.unionAll(
+            other.join(nearest, "verbatim", "left")
+            .join(versions, "pt_term", "left")
+            .select("verbatim", "pt_term", "meddra_version", F.coalesce("score", F.lit(0.0)))
         )
-        .select("verbatim", "pt_term", "meddra_version", F.coalesce("score", F.lit(0.0)).alias("score"))
-    )
     close = F.col("score") >= REVIEW_SCORE
-    return equal.unionAll(near).select(
+    return scored.select(
         "verbatim",
         F.when(close, F.col("pt_term")).alias("meddra_pt"),
         F.when(close, F.col("meddra_version")).alias("meddra_version"),
