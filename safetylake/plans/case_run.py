@@ -153,6 +153,11 @@ def run_with_predictors(
     return runs, failed
 
 
+def store(runs: DataFrame) -> DataFrame:
+    """Write the runs once, for the record tables that are made from them."""
+    return stage_table(runs, "runs")
+
+
 def failed_runs(failures: DataFrame, version: str) -> DataFrame:
     """Run records of the cases a predictor failed on, one per run."""
     return failures.groupBy("run_id", "vaers_id").agg(

@@ -12,6 +12,7 @@ from safetylake import schemas as S
 from safetylake.functions import text
 from safetylake.operators import (
     concordance,
+    contracts,
     evaluation,
     grounding,
     reference,
@@ -20,9 +21,12 @@ from safetylake.operators import (
     surfaces,
     truth,
 )
+from safetylake.operators.mentions import with_run_id
 from safetylake.plans import case_run
-from safetylake.session import stage_table, tune
-from safetylake.sources import star
+from safetylake.plans.predict import checked, predict
+from safetylake.session import new_path, stage_table, tune
+from safetylake.sources import reports, star, tables
+from safetylake.streaming import jobs, sink
 
 VERSION = "pipeline@0.2"
 MINOR_TERMS = [
@@ -285,10 +289,180 @@ def _routes(i: Inputs) -> DataFrame:
     )
 
 
+BATCH_ID = "batch-1"
+
+
+def _write_csv(i: Inputs, name: str) -> str:
+    """Report files as the public source ships them: header in capitals, Latin-1."""
+    path = new_path(i.spark, f"csv-{name}")
+    rows = i.view(name)
+    rows.select(*[F.col(c).alias(c.upper()) for c in rows.columns]).write.options(
+        header=True, encoding="ISO-8859-1", escape='"', emptyValue="", nullValue="",
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    ).csv(path)
+    return path
+
+
+def _csv(i: Inputs) -> DataFrame:
+    rows, _ = reports.read_report_csv(i.spark, _write_csv(i, "cases"))
+    return rows.drop("_source_file")
+
+
+def _conformed(i: Inputs) -> DataFrame:
+    rows, _ = reports.read_report_csv(i.spark, _write_csv(i, "cases"))
+    return reports.conform(rows, "raw_vaers_data", BATCH_ID).drop("_ingested_at", "_source_file")
+
+
+def _load_counts(i: Inputs) -> DataFrame:
+    files = {
+        "raw_vaers_data": _write_csv(i, "cases"),
+        "raw_vaers_vax": _write_csv(i, "vax"),
+        "raw_vaers_symptoms": _write_csv(i, "symptoms"),
+    }
+    counts = reports.load_files(i.spark, files, new_path(i.spark, "raw"), BATCH_ID)
+    rows = [(table, counts[table], counts["batch_id"]) for table in files]
+    return i.spark.createDataFrame(rows, "table_name string, n bigint, batch_id string")
+
+
+def _stored_steps(stored: DataFrame) -> DataFrame:
+    return stored.select(
+        "event_id", "run_id", "vaers_id", "seq", "agent_name", "confidence", "output",
+        F.col("created_at").cast("timestamp_ntz").alias("created_at"),
+    )
+
+
+def _audit(i: Inputs) -> DataFrame:
+    warehouse = new_path(i.spark, "audit")
+    tables.append(i.view("steps"), warehouse, "agt_step_event")
+    return _stored_steps(tables.read_table(i.spark, warehouse, "agt_step_event"))
+
+
+def _views(i: Inputs) -> DataFrame:
+    report = tables.register_views(
+        i.spark,
+        {
+            "raw_vaers_vax": lambda _: i.vax,
+            "ref_product_scope": lambda _: i.scope,
+            "vw_scope_counts": lambda spark: spark.sql(
+                "SELECT vax_name, count(*) AS n FROM raw_vaers_vax JOIN ref_product_scope USING (vax_name) "
+                "GROUP BY vax_name"
+            ),
+        },
+    )
+    registered = sum(status == "ok" for _, status in report)
+    return tables.query(
+        i.spark,
+        "SELECT vax_name, n, :registered AS n_views FROM vw_scope_counts WHERE n >= :least",
+        {"registered": registered, "least": 1},
+    )
+
+
+def _broken_outputs(i: Inputs) -> DataFrame:
+    """Assessment outputs as JSON text, one per order, many with a fault."""
+    k = F.col("o_orderkey")
+    text_if = lambda cond, words, other="": F.when(cond, F.lit(words)).otherwise(F.lit(other))
+    category = F.element_at(
+        F.split(F.lit("certain,probable,possible,unlikely,conditional,surely"), ","), (k % 6 + 1).cast("int")
+    )
+    criteria = (
+        F.when(k % 5 == 0, '"death"')
+        .when(k % 5 == 1, '"death","hospitalization"')
+        .when(k % 5 == 2, '"unheard_of","death"')
+        .otherwise("")
+    )
+    output = F.concat(
+        F.lit('{"seriousness":{"serious":'), text_if(k % 23 == 0, '"maybe"', "true"),
+        F.lit(',"criteria_met":['), criteria, F.lit(']},"causality":{"method":"'),
+        text_if(k % 31 == 0, "guess", "WHO-UMC"), F.lit('","category":"'), category, F.lit('","score":'),
+        text_if(k % 2 == 0, "null", "5"), text_if(k % 37 != 0, ',"rationale":"r"'), F.lit('},"confidence":'),
+        text_if(k % 41 == 0, "1.7", "0.8"), text_if(k % 43 == 0, ',"extra":1'), F.lit("}"),
+    )
+    return star.table(i.spark, i.sf_dir, "orders").select(
+        k.alias("case_key"), F.when(k % 47 == 0, "not json").otherwise(output).alias("output")
+    )
+
+
+def _validated(i: Inputs) -> DataFrame:
+    return contracts.validate(_broken_outputs(i), "output", "assessment").select(
+        "case_key", "valid", F.array_join("errors", "|").alias("errors")
+    )
+
+
+def _failed(i: Inputs) -> DataFrame:
+    """Cases lost to a predictor that cannot read some reports and breaks its contract on others."""
+
+    def predictor(prompts):
+        def one(prompt):
+            if "fatal" in prompt:
+                raise ValueError("unreadable report")
+            confidence = 1.7 if "Life-threatening" in prompt else 0.8
+            return '{"case":{"patient":{"sex":"unknown"}},"confidence":%s}' % confidence
+
+        return [one(p) for p in prompts]
+
+    cases = with_run_id(i.view("narratives"), "predicted")
+    prompts = cases.select(
+        "run_id", "vaers_id",
+        case_run.report_prompt(F.col("vaers_id"), F.col("narrative")).alias("input_text"),
+    )
+    predicted = stage_table(predict(prompts, predictor), "predicted")
+    _, failures = checked(predicted, "extraction")
+    return failures.join(cases.select("run_id", "vaers_id"), "run_id").select(
+        "vaers_id", "stage", "error"
+    )
+
+
+def _active(i: Inputs) -> DataFrame:
+    versions = i.outputs.groupBy("pipeline_version").agg(F.min("created_at").alias("deployed_at"))
+    versions = versions.withColumn("active", F.col("pipeline_version") == VERSION)
+    return surfaces.active_versions(evaluation.eval_dashboard(i.evaluated), versions)
+
+
+def _event_stream(i: Inputs) -> DataFrame:
+    schema = star.table(i.spark, i.sf_dir, "events").schema
+    events = jobs.file_stream(i.spark, f"{i.sf_dir}/event[s].parquet", schema)
+    return star.steps_of(events.withColumn("ts", F.col("ts").cast("timestamp")))
+
+
+def _stream_audit(i: Inputs) -> DataFrame:
+    warehouse = new_path(i.spark, "stream")
+    jobs.audit_stream(_event_stream(i), warehouse, new_path(i.spark, "checkpoint")).awaitTermination()
+    return _stored_steps(sink.read_stream_table(i.spark, warehouse, "agt_step_event"))
+
+
+def _stream_status(i: Inputs) -> DataFrame:
+    warehouse = new_path(i.spark, "stream")
+    jobs.status_stream(_event_stream(i), warehouse, new_path(i.spark, "checkpoint")).awaitTermination()
+    return jobs.read_status(i.spark, warehouse).withColumn(
+        "updated_at", F.col("updated_at").cast("timestamp_ntz")
+    )
+
+
+def _stream_intake(i: Inputs) -> DataFrame:
+    landing, warehouse = new_path(i.spark, "landing"), new_path(i.spark, "stream")
+    i.view("narratives").write.parquet(landing)
+    stream = jobs.file_stream(i.spark, landing, i.view("narratives").schema)
+    jobs.intake_stream(
+        stream, i.ref, i.scope_cases, warehouse, new_path(i.spark, "checkpoint"), min_chars=INTAKE_CHARS
+    ).awaitTermination()
+    stored = sink.read_stream_table(i.spark, warehouse, "agt_case_output")
+    return stored.select(
+        "run_id", "vaers_id", F.array_join("coded_pts", "|").alias("coded_pts"), "seriousness",
+        "narrative", "overall_confidence", "hitl_required",
+    )
+
+
+INTAKE_CHARS = 120
 CLOCK = ["input_tokens", "output_tokens", "latency_ms", "created_at", "started_at", "finished_at"]
 
 
 QUERIES: dict[str, Query] = {
+    # sources and sinks
+    "csv_ingest": _using(_csv),
+    "conform_raw": _using(_conformed),
+    "load_counts": _using(_load_counts),
+    "audit_append": _using(_audit),
+    "register_views": _using(_views),
     # reference derivation
     "product_scope": _named("scope"),
     "in_scope_cases": _named("scope_cases"),
@@ -367,4 +541,11 @@ QUERIES: dict[str, Query] = {
     ),
     "run_record": _using(lambda i: case_run.run_record(i.run()).drop(*CLOCK)),
     "run_summary": _using(lambda i: case_run.run_summary(case_run.case_results(i.run()))),
+    "validate_contract": _using(_validated),
+    "failed_cases": _using(_failed),
+    "active_versions": _using(_active),
+    # streams
+    "stream_audit": _using(_stream_audit),
+    "stream_case_status": _using(_stream_status),
+    "stream_intake": _using(_stream_intake),
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from safetylake.schemas import CASE_FILE_COLUMNS, CASE_FILE_NUMERIC
 from safetylake.plans.oracle_cases import CASE_BODIES
 from safetylake.plans.oracle_views import SPACES, sql_ratio, sql_strip, sql_term, with_views
 
@@ -160,5 +161,78 @@ BODIES: dict[str, str] = {
 }
 
 
+LATIN1 = "regexp_replace(symptom_text, '[^\\x{0}-\\x{FF}]', '?', 'g')"
+USED = "recvdate state age_yrs sex symptom_text died l_threat hospital disable recovd vax_date onset_date numdays birth_defect".split()
+
+
+def _raw_columns() -> str:
+    columns = []
+    for name in CASE_FILE_COLUMNS:
+        if name == "symptom_text":
+            columns.append(f"{LATIN1} AS symptom_text")
+        elif name in USED or name == "vaers_id":
+            columns.append(name)
+        else:
+            columns.append(f"CAST(NULL AS {'DOUBLE' if name in CASE_FILE_NUMERIC else 'VARCHAR'}) AS {name}")
+    return ", ".join(columns)
+
+
+STEPS = "SELECT event_id, run_id, vaers_id, CAST(seq AS BIGINT) AS seq, agent_name, confidence, output, created_at FROM fx_steps"
+FAULTY = """
+    SELECT o_orderkey AS case_key, CASE WHEN o_orderkey % 47 = 0 THEN 'not json' ELSE
+           '{"seriousness":{"serious":' || CASE WHEN o_orderkey % 23 = 0 THEN '"maybe"' ELSE 'true' END || ',"criteria_met":['
+           || CASE o_orderkey % 5 WHEN 0 THEN '"death"' WHEN 1 THEN '"death","hospitalization"' WHEN 2 THEN '"unheard_of","death"' ELSE '' END
+           || ']},"causality":{"method":"' || CASE WHEN o_orderkey % 31 = 0 THEN 'guess' ELSE 'WHO-UMC' END || '","category":"'
+           || (['certain', 'probable', 'possible', 'unlikely', 'conditional', 'surely'])[o_orderkey % 6 + 1]
+           || '","score":' || CASE WHEN o_orderkey % 2 = 0 THEN 'null' ELSE '5' END
+           || CASE WHEN o_orderkey % 37 <> 0 THEN ',"rationale":"r"' ELSE '' END || '},"confidence":'
+           || CASE WHEN o_orderkey % 41 = 0 THEN '1.7' ELSE '0.8' END || CASE WHEN o_orderkey % 43 = 0 THEN ',"extra":1' ELSE '' END || '}' END AS output
+    FROM orders"""
+FAULTS = """list_sort(list_filter([
+    CASE WHEN json_type(j, '$.seriousness.serious') <> 'BOOLEAN' THEN 'seriousness.serious: not a truth value' END,
+    CASE WHEN len(list_filter(CAST(json_extract_string(j, '$.seriousness.criteria_met[*]') AS VARCHAR[]), lambda c: NOT list_contains(
+        ['death', 'life_threatening', 'hospitalization', 'disability', 'congenital_anomaly', 'other_medically_important'], c))) > 0
+        THEN 'seriousness.criteria_met[]: not in list' END,
+    CASE WHEN json_extract_string(j, '$.causality.method') NOT IN ('WHO-UMC', 'Naranjo') THEN 'causality.method: not in list' END,
+    CASE WHEN json_extract_string(j, '$.causality.category') NOT IN ('certain', 'probable', 'possible', 'unlikely', 'conditional',
+        'unassessable') THEN 'causality.category: not in list' END,
+    CASE WHEN json_type(j, '$.causality.rationale') IS NULL THEN 'causality.rationale: missing' END,
+    CASE WHEN CAST(json_extract_string(j, '$.confidence') AS DOUBLE) NOT BETWEEN 0 AND 1 THEN 'confidence: out of range' END,
+    CASE WHEN list_contains(json_keys(j), 'extra') THEN 'extra: unknown field' END], lambda e: e IS NOT NULL))"""
+
+BODIES.update({
+    "csv_ingest": "SELECT vaers_id, " + ", ".join(
+        f"{LATIN1} AS symptom_text" if c == "symptom_text" else f"CAST({c} AS VARCHAR) AS {c}" for c in USED
+    ) + " FROM fx_cases",
+    "conform_raw": f"SELECT {_raw_columns()}, 'batch-1' AS _load_batch_id FROM fx_cases",
+    "load_counts": """
+        SELECT 'raw_vaers_data' AS table_name, count(*) AS n, 'batch-1' AS batch_id FROM fx_cases
+        UNION ALL SELECT 'raw_vaers_vax', count(*), 'batch-1' FROM fx_vax
+        UNION ALL SELECT 'raw_vaers_symptoms', count(*), 'batch-1' FROM fx_symptoms""",
+    "audit_append": STEPS,
+    "register_views": """
+        SELECT vax_name, count(*) AS n, 3 AS n_views FROM fx_vax JOIN scope USING (vax_name) GROUP BY vax_name""",
+    "validate_contract": f"""
+        SELECT case_key, errors = '' AS valid, errors
+        FROM (SELECT case_key, CASE WHEN NOT json_valid(output) THEN 'not JSON' ELSE array_to_string({FAULTS}, '|') END AS errors
+              FROM (SELECT *, CASE WHEN json_valid(output) THEN CAST(output AS JSON) END AS j FROM ({FAULTY})))""",
+    "failed_cases": """
+        SELECT vaers_id, 'extraction' AS stage, CASE WHEN contains(narrative, 'fatal') THEN 'unreadable report'
+               ELSE 'contract: confidence: out of range' END AS error
+        FROM fx_narratives WHERE contains(narrative, 'fatal') OR contains(narrative, 'Life-threatening')""",
+    "active_versions": f"""
+        SELECT d.*, v.deployed_at, TRUE AS active
+        FROM dashboard d JOIN (SELECT pipeline_version, min(created_at) AS deployed_at FROM fx_output GROUP BY 1) v
+          ON v.pipeline_version = d.pipeline_version WHERE d.pipeline_version = '{V}'""",
+    "stream_audit": STEPS,
+    "stream_case_status": BODIES["case_status"],
+    "stream_intake": """
+        SELECT run_id, vaers_id, array_to_string(list_transform(coded, lambda c: c.meddra_pt), '|') AS coded_pts,
+               CAST(to_json({'serious': serious, 'criteria_met': criteria}) AS VARCHAR) AS seriousness, written AS narrative,
+               overall_confidence, hitl_required
+        FROM full_cases WHERE length(full_cases.narrative) >= 120 AND vaers_id IN (FROM scope_cases)""",
+})
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_views(body) for name, body in {**BODIES, **CASE_BODIES}.items()}

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from safetylake import schemas as S
 
@@ -72,9 +73,9 @@ def read_table(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
 
 
 def _stored(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
-    schema = S.TABLES[table]
+    schema = T.StructType(list(S.TABLES[table].fields))
     if S.LAYOUT[table][0]:
-        schema = type(schema)(schema.fields).add(DATE_PARTITION, "date")
+        schema = schema.add(DATE_PARTITION, T.DateType())
     return spark.read.schema(schema).parquet(table_path(warehouse, table))
 
 
