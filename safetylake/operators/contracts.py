@@ -103,7 +103,7 @@ CONTRACTS = {
     "seriousness": _SERIOUSNESS,
     "causality": _CAUSALITY,
 }
-TRUTH_WORDS = ["true", "false", "t", "f", "yes", "no", "y", "n", "on", "off", "0", "1"]
+TRUTH_WORDS = ["true", "false", "t", "f", "yes", "no", "y", "n", "on", "off", "0", "1", "0.0", "1.0"]
 
 _NO_ERRORS = "array<string>"
 
@@ -112,93 +112,85 @@ def _none() -> Column:
     return F.array().cast(_NO_ERRORS)
 
 
-def _error(condition: Column, path: str, words: str) -> Column:
-    return F.when(condition, F.array(F.lit(f"{path}: {words}"))).otherwise(_none())
+def _say(path: str, words: str) -> Column:
+    return F.array(F.lit(f"{path}: {words}"))
 
 
-def _type(value: Column) -> Column:
-    return F.schema_of_variant(value)
+def _unless(ok: Column, path: str, words: str) -> Column:
+    return F.when(F.coalesce(ok, F.lit(False)), _none()).otherwise(_say(path, words))
 
 
-def _is_text(value: Column) -> Column:
-    return _type(value) == "STRING"
+def _check(root: Column, at: str, field: Field, path: str) -> Column:
+    """Errors of the present, non-null value at the JSON path ``at`` of a variant."""
 
+    def typed(kind: str) -> Column:
+        return F.try_variant_get(root, at, kind)
 
-def _is_number(value: Column) -> Column:
-    return _type(value).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL|BOOLEAN)")
-
-
-def _check(value: Column, field: Field, path: str) -> Column:
-    """Errors of one present, non-null value."""
-    text = F.try_variant_get(value, "$", "string")
-    number = F.try_variant_get(value, "$", "double")
     if field.kind == "string":
-        return _error(~_is_text(value), path, "not text")
+        return _unless(F.schema_of_variant(typed("variant")) == "STRING", path, "not text")
     if field.kind == "enum":
-        allowed = _is_text(value) & text.isin(list(field.values))
-        return _error(~allowed, path, "not in list")
+        return _unless(typed("string").isin(list(field.values)), path, "not in list")
     if field.kind == "bool":
-        word = _is_text(value) & F.lower(text).isin(TRUTH_WORDS)
-        truth = word | (_is_number(value) & number.isin(0.0, 1.0))
-        return _error(~truth, path, "not a truth value")
+        return _unless(F.lower(typed("string")).isin(TRUTH_WORDS), path, "not a truth value")
     if field.kind in ("int", "number", "unit"):
-        numeric = (_is_number(value) | _is_text(value)) & number.isNotNull()
-        bad = _error(~numeric, path, "not a number")
+        number = typed("double")
+        verdict = F.when(number.isNull(), _say(path, "not a number"))
         if field.kind == "int":
-            return F.when(numeric & (number != F.floor(number)), F.array(F.lit(f"{path}: not whole"))).otherwise(bad)
+            verdict = verdict.when(number != F.floor(number), _say(path, "not whole"))
         if field.kind == "unit":
-            return F.when(numeric & ~number.between(0.0, 1.0), F.array(F.lit(f"{path}: out of range"))).otherwise(bad)
-        return bad
+            verdict = verdict.when(~number.between(0.0, 1.0), _say(path, "out of range"))
+        return verdict.otherwise(_none())
     if field.kind == "list":
-        items = F.try_variant_get(value, "$", "array<variant>")
-        inner = F.flatten(F.transform(items, lambda v: _present(v, field.items, f"{path}[]")))
-        return F.when(~_type(value).startswith("ARRAY"), F.array(F.lit(f"{path}: not a list"))).otherwise(
-            F.coalesce(inner, _none())
-        )
-    return F.when(~_type(value).startswith("OBJECT"), F.array(F.lit(f"{path}: not an object"))).otherwise(
-        _object_errors(value, field.fields, path + ".")
+        items = typed("array<variant>")
+        inner = F.transform(items, lambda v: _value_errors(v, "$", field.items, f"{path}[]"))
+        return F.coalesce(F.flatten(inner), _say(path, "not a list"))
+    return _object_errors(root, at, field.fields, path)
+
+
+def _value_errors(root: Column, at: str, field: Field, path: str) -> Column:
+    """Errors of a value that may be absent or a JSON null."""
+    value = F.try_variant_get(root, at, "variant")
+    absent = _say(path, "missing") if field.required else _none()
+    null = _none() if field.nullable else _say(path, "null")
+    return (
+        F.when(value.isNull(), absent)
+        .when(F.is_variant_null(value), null)
+        .otherwise(_check(root, at, field, path))
     )
 
 
-def _present(value: Column, field: Field, path: str) -> Column:
-    """Errors of a value that is there but may be a JSON null."""
-    null = F.is_variant_null(value)
-    if field.nullable:
-        return F.when(null, _none()).otherwise(_check(value, field, path))
-    return F.when(null, F.array(F.lit(f"{path}: null"))).otherwise(_check(value, field, path))
-
-
-def _object_errors(value: Column, fields: dict[str, Field], path: str) -> Column:
-    entries = F.try_variant_get(value, "$", "map<string,variant>")
+def _object_errors(root: Column, at: str, fields: dict[str, Field], path: str) -> Column:
+    prefix = f"{path}." if path else ""
+    names = F.map_keys(F.try_variant_get(root, at, "map<string,variant>"))
     unknown = F.transform(
-        F.array_sort(F.array_except(F.map_keys(entries), F.array(*[F.lit(n) for n in fields]))),
-        lambda name: F.concat(F.lit(path), name, F.lit(": unknown field")),
+        F.array_except(names, F.array(*[F.lit(n) for n in fields])),
+        lambda name: F.concat(F.lit(prefix), name, F.lit(": unknown field")),
     )
-    parts = [unknown]
-    for name, field in fields.items():
-        here = f"{path}{name}"
-        item = F.try_variant_get(value, f"$.{name}", "variant")
-        absent = F.array(F.lit(f"{here}: missing")) if field.required else _none()
-        parts.append(F.when(item.isNull(), absent).otherwise(_present(item, field, here)))
-    return F.concat(*parts)
-
-
-def contract_errors(json_text: Column, contract: str) -> Column:
-    """Sorted distinct errors of one JSON output; empty when it keeps the contract."""
-    value = F.try_parse_json(json_text)
-    fields = CONTRACTS[contract].fields
-    errors = (
-        F.when(value.isNull(), F.array(F.lit("not JSON")))
-        .when(~_type(value).startswith("OBJECT"), F.array(F.lit("not an object")))
-        .otherwise(_object_errors(value, fields, ""))
+    found = [unknown] + [
+        _value_errors(root, f"{at}.{name}", field, prefix + name) for name, field in fields.items()
+    ]
+    no_object = F.array(F.lit(f"{path}: not an object" if path else "not an object"))
+    return F.when(names.isNull(), no_object).otherwise(F.concat(*found))
+
+
+def contract_errors(value: Column, contract: str) -> Column:
+    """Sorted distinct errors of one output, given as a variant column; empty when sound."""
+    errors = F.when(value.isNull(), F.array(F.lit("not JSON"))).otherwise(
+        _object_errors(value, "$", CONTRACTS[contract].fields, "")
     )
     return F.array_sort(F.array_distinct(errors))
 
 
 def validate(outputs: DataFrame, column: str, contract: str) -> DataFrame:
-    """Adds errors and valid; split the result on ``valid`` into good rows and quarantine."""
-    return outputs.withColumn("errors", contract_errors(F.col(column), contract)).withColumn(
-        "valid", F.size("errors") == 0
+    """Adds errors and valid; split the result on ``valid`` into good rows and quarantine.
+
+    The text is parsed in a projection of its own, once per row however many fields are checked.
+    """
+    parsed = outputs.withColumn("_json", F.try_parse_json(column))
+    return (
+        parsed.withColumn("errors", contract_errors(F.col("_json"), contract))
+        .withColumn("valid", F.size("errors") == 0)
+        .drop("_json")
     )
 
 

@@ -35,17 +35,32 @@ LISTS = {
     "medical_history": r"(?i)\bhistory: *([^.]*)",
     "allergies": r"(?i)\ballerg(?:y|ies): *([^.]*)",
 }
-SENTENCE_END = r"[.;:!?]+(\s|$)"
+WORD = r"[\p{L}\p{N}]+|\||[.;:!?]+(?=\s|$)"
 
 
-def stated_texts(narrative: Column) -> Column:
+# A pattern is tried only where its lower-case cue occurs in the text, which is far cheaper.
+CUES = {
+    "onset": "onset", "days": " day", "concomitant_meds": "concomitant", "medical_history": "history",
+    "allergies": "allerg",
+}
+
+
+def stated_texts(narrative: Column, lowered: Column) -> Column:
     """Struct of the text pieces that state age, dates, days and lists ('' when absent)."""
+
+    def cued(name: str, pattern: str) -> Column:
+        found = F.regexp_extract(narrative, pattern, 1)
+        return F.when(F.contains(lowered, F.lit(CUES[name])), found).otherwise(F.lit("")).alias(name)
+
+    without_onset = F.when(
+        F.contains(lowered, F.lit(CUES["onset"])), F.regexp_replace(narrative, ONSET, " ")
+    ).otherwise(narrative)
     return F.struct(
         F.regexp_extract(narrative, AGE, 1).alias("age"),
-        F.regexp_extract(F.regexp_replace(narrative, ONSET, " "), DATE, 1).alias("dose"),
-        F.regexp_extract(narrative, ONSET, 1).alias("onset"),
-        F.regexp_extract(narrative, STATED_DAYS, 1).alias("days"),
-        *[F.regexp_extract(narrative, p, 1).alias(name) for name, p in LISTS.items()],
+        F.regexp_extract(without_onset, DATE, 1).alias("dose"),
+        cued("onset", ONSET),
+        cued("days", STATED_DAYS),
+        *[cued(name, pattern) for name, pattern in LISTS.items()],
     )
 
 
@@ -103,8 +118,7 @@ def vocabulary(dictionary: DataFrame, products: DataFrame, scope: DataFrame) ->
 
 def words(narrative: Column) -> Column:
     """Words in text order; a sentence end is a word of its own, so no phrase spans it."""
-    marked = F.regexp_replace(narrative, SENTENCE_END, " | ")
-    return F.split(F.btrim(F.regexp_replace(marked, r"[^\p{L}\p{N}|]+", " ")), " ")
+    return F.regexp_extract_all(narrative, F.lit(WORD), 0)
 
 
 def phrase_lengths(vocab: DataFrame) -> list[int]:
@@ -138,13 +152,14 @@ def read_reports(reports: DataFrame, vocab: DataFrame) -> DataFrame:
     Reports with the same run_id are copies of one another; their matches collapse in the
     map-side part of that aggregation.
     """
+    lowered = reports.withColumn("lowered", F.lower("narrative"))
     facts = F.struct(
         "vaers_id",
         "received_date",
         F.sha2("narrative", 256).alias("input_hash"),
-        stated_texts(F.col("narrative")).alias("texts"),
+        stated_texts(F.col("narrative"), F.col("lowered")).alias("texts"),
     )
-    tokenised = reports.select(
+    tokenised = lowered.select(
         "run_id", facts.alias("facts"), words(F.col("narrative")).alias("tokens")
     )
     # Entry 0 of a report is its facts row. It carries a phrase no text can hold, different for

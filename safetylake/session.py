@@ -12,7 +12,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Text stages are heavy per byte: keep small inputs spread over all cores.
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
     # A case, product or term may hold a large share of the rows: split such join
     # partitions even when that costs one more exchange above the join.
     "spark.sql.adaptive.skewJoin.enabled": "true",
