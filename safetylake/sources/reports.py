@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from urllib.parse import unquote, urlsplit
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,41 +38,118 @@ def _header(spark: SparkSession, path: str | list[str], encoding: str) -> list[s
     return [c.strip().lower() for c in first]
 
 
+def _options(encoding: str) -> dict[str, str]:
+    return {
+        "header": "true", "enforceSchema": "true", "encoding": encoding, "quote": '"', "escape": '"',
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "emptyValue": "", "nullValue": "",
+    }
+
+
+def _lines(spark: SparkSession, path: str | list[str], encoding: str) -> DataFrame:
+    """Physical lines with their file, the start of their split and whether their quotes are odd."""
+    line = F.decode(F.col("value").cast("binary"), encoding)
+    quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
+    return (
+        spark.read.text(path)
+        .select(
+            F.col("_metadata.file_path").alias("_source_file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            line.alias("line"),
+        )
+        .withColumn("odd", quotes % 2)
+    )
+
+
+def _place(uri: str) -> tuple[str, str]:
+    """Host and path of a file, however its URI is written (file:/x, file:///x)."""
+    parts = urlsplit(unquote(uri))
+    return parts.netloc, parts.path
+
+
+def _records(lines: DataFrame) -> DataFrame:
+    """Records of files whose quoted fields hold line breaks: (_source_file, record).
+
+    A line starts a record when an even number of quotes precedes it in its file. The quotes
+    before a split come from one small row per split, those before a line from a running sum
+    inside its split, so a large file is still worked on split by split.
+    """
+    numbered = lines.withColumn("id", F.monotonically_increasing_id())
+    split = ["_source_file", "block"]
+    earlier_splits = (
+        Window.partitionBy("_source_file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    in_split = Window.partitionBy(*split).orderBy("id")
+    open_before = (
+        numbered.groupBy(*split)
+        .agg(F.sum("odd").alias("n"))
+        .select(*split, F.coalesce(F.sum("n").over(earlier_splits), F.lit(0)).alias("before"))
+    )
+    quotes = F.col("before") + F.sum("odd").over(in_split) - F.col("odd")
+    started = (
+        numbered.join(open_before, split)
+        .withColumn("starts", (quotes % 2 == 0).cast("int"))
+        .withColumn("nth", F.sum("starts").over(in_split))
+    )
+    # Lines before the first start of a split continue the last record of an earlier split.
+    last = F.when(F.col("n") > 0, F.struct("block", "n"))
+    carried = (
+        started.groupBy(*split)
+        .agg(F.max("nth").alias("n"))
+        .select(*split, F.last(last, ignorenulls=True).over(earlier_splits).alias("open"))
+    )
+    own = F.col("nth") > 0
+    return (
+        started.join(carried, split)
+        .groupBy(
+            "_source_file",
+            F.when(own, F.col("block")).otherwise(F.col("open.block")).alias("first_block"),
+            F.when(own, F.col("nth")).otherwise(F.col("open.n")).alias("first_nth"),
+        )
+        .agg(F.array_sort(F.collect_list(F.struct("block", "id", "line"))).alias("lines"))
+        .filter("not (first_block = 0 and first_nth = 1)")  # the header
+        .select("_source_file", F.array_join(F.transform("lines", lambda x: x["line"]), "\n").alias("record"))
+        .filter(text.is_filled(F.col("record")))
+    )
+
+
 def read_report_csv(
-    spark: SparkSession,
-    path: str | list[str],
-    encoding: str = "ISO-8859-1",
-    multiline: bool = True,
+    spark: SparkSession, path: str | list[str], encoding: str = "ISO-8859-1"
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, quarantine) of report CSVs that share a header.
 
     All columns are text. Only an empty field is NULL: the text "NA" stays. A row with fewer
     fields is padded with NULL; a row with more is kept out and goes to the quarantine with
-    its raw text. Quoted fields may hold line breaks; files without any can be read with
-    ``multiline=False``, which lets Spark split a large file over many tasks.
+    its raw text. Quoted fields may hold line breaks.
+
+    A first scan finds the files in which a line has an odd number of quotes. Any other file
+    has one record per line and is read by the CSV source, which splits it over many tasks;
+    the records of the files found are put together split by split. No file is read by a
+    single task because of its size.
     """
     names = _header(spark, path, encoding)
-    schema = T.StructType(
-        [T.StructField(n, T.StringType()) for n in names] + [T.StructField(CORRUPT, T.StringType())]
-    )
-    rows = (
-        spark.read.schema(schema)
-        .option("header", "true")
-        .option("enforceSchema", "true")
-        .option("encoding", encoding)
-        .option("multiLine", str(multiline).lower())
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("emptyValue", "")
-        .option("nullValue", "")
-        .csv(path)
-        .select(
-            *[F.nullif(F.col(n), F.lit("")).alias(n) for n in names],
-            F.col(CORRUPT),
-            F.col("_metadata.file_path").alias("_source_file"),
+    fields = [T.StructField(n, T.StringType()) for n in names]
+    schema = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
+    lines = _lines(spark, path, encoding)
+    broken = [r["_source_file"] for r in lines.filter("odd = 1").select("_source_file").distinct().collect()]
+    found: list[DataFrame] = []
+    whole = lines.inputFiles()
+    if broken:
+        known = {_place(b) for b in broken}
+        whole = [f for f in whole if _place(f) not in known]
+        parsed = F.from_csv("record", schema.simpleString(), _options(encoding) | {"header": "false"})
+        found.append(
+            _records(_lines(spark, broken, encoding))
+            .select(parsed.alias("r"), "_source_file")
+            .select("r.*", "_source_file")
+        )
+    if whole:
+        found.append(
+            spark.read.schema(schema).options(**_options(encoding)).csv(whole).select(
+                *names, CORRUPT, F.col("_metadata.file_path").alias("_source_file")
+            )
         )
+    rows = reduce(DataFrame.unionByName, found).select(
+        *[F.nullif(F.col(n), F.lit("")).alias(n) for n in names], CORRUPT, "_source_file"
     )
     # A short row is marked corrupt too: only a record with more fields than the header is bad.
     # Spark refuses a query that uses the raw record alone, so the test names a data column too;
@@ -130,7 +209,7 @@ def conform(
 
 
 def load_files(
-    spark: SparkSession, paths: dict[str, str], warehouse: str, batch_id: str, multiline: bool = True
+    spark: SparkSession, paths: dict[str, str], warehouse: str, batch_id: str
 ) -> dict[str, int | str]:
     """Append the three report files to their raw tables; rows per table and the batch id.
 
@@ -138,7 +217,7 @@ def load_files(
     """
     counts: dict[str, int | str] = {}
     for table, path in paths.items():
-        rows, _ = read_report_csv(spark, path, multiline=multiline)
+        rows, _ = read_report_csv(spark, path)
         seen = Observation(f"load_{table}")
         counted = conform(rows, table, batch_id).observe(seen, F.count(F.lit(1)).alias("n"))
         append(counted, warehouse, table)

@@ -1,6 +1,7 @@
 """Report files, tables and streams."""
 
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -40,6 +41,27 @@ def test_csv_quirks(spark, tmp_path, rows):
     assert sorted(r["vaers_id"] for r in good.select("vaers_id").collect()) == ["1", "2", "3", "4"]
 
 
+def test_csv_split_inside_quoted_fields(spark, tmp_path):
+    rng = random.Random(5)
+    words = ["plain", "two\nlines", 'a "quoted" word', "x,y", "\n\n", "", "é" * 20, '"', 'end"\n']
+    table = [[str(i)] + [rng.choice(words) for _ in range(3)] for i in range(400)]
+    def field(value):
+        return '"%s"' % value.replace('"', '""') if any(c in value for c in '",\n') else value
+    files = {"a.csv": table[:250], "b.csv": [[r[0], "plain", "", "x"] for r in table[250:]]}
+    for name, part in files.items():
+        write(tmp_path, name, "id,p,q,r\n" + "".join(",".join(map(field, r)) + "\n" for r in part))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "150")
+    try:
+        good, bad = reports.read_report_csv(spark, str(tmp_path))
+        got = sorted([[r[c] for c in ("id", "p", "q", "r")] for r in good.collect()], key=lambda r: int(r[0]))
+        assert bad.count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    expected = [[v or None for v in r] for part in files.values() for r in part]
+    assert got == expected
+
+
 def test_conform_keeps_known_columns_and_parses_numbers(spark):
     raw = spark.createDataFrame([("1", " 42 ", "abc", "x")], "vaers_id string, age_yrs string, numdays string, other string")
     row = reports.conform(raw, "raw_vaers_data", "b").first().asDict()
