@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from safetylake.functions import text
 from safetylake.functions.measures import age_match, f1_columns, ratio
+from safetylake.session import stage_table
 
 
 def coding_concordance(predicted: DataFrame, gold: DataFrame, key: str = "vaers_id") -> DataFrame:
@@ -44,18 +45,18 @@ def demographic_concordance(
 ) -> DataFrame:
     """Sex and age agreement per case: (vaers_id, sex, age_years) against (vaers_id, sex, age_yrs).
 
-    sex_match is never NULL; age_match is NULL when either age is unknown.
+    sex_match is never NULL; age_match is NULL when either age is unknown. The truth counts once
+    per case however often its report was loaded, so the join stays linear.
     """
     x = extracted.select(
         "vaers_id",
         text.normalize_sex(F.col("sex")).alias("x_sex"),
         F.col("age_years").alias("x_age"),
     )
-    g = truth.select(
-        "vaers_id",
-        text.normalize_sex(F.col("sex")).alias("gt_sex"),
-        F.col("age_yrs").alias("gt_age"),
+    fact = F.struct(
+        text.normalize_sex(F.col("sex")).alias("gt_sex"), F.col("age_yrs").alias("gt_age")
     )
+    g = truth.groupBy("vaers_id").agg(F.max(fact).alias("fact")).select("vaers_id", "fact.*")
     return (
         x.join(g, "vaers_id")
         .withColumn("sex_match", F.col("x_sex") == F.col("gt_sex"))
@@ -108,7 +109,8 @@ def product_concordance(
     found = side(extracted).filter("name is not null").distinct()
     wanted = side(truth).groupBy(key, "name").agg(F.count("name").alias("n"))
     listed = wanted.select("name").filter("name is not null").unionAll(found.select("name"))
-    parts = contained_names(listed)
+    # Names repeat over cases; their relation is small, written once and read by both sides.
+    parts = stage_table(contained_names(listed), "contained-names")
     inside_found = found.join(parts, "name").select(key, F.col("part").alias("name"))
     around_found = (
         wanted.join(parts, "name")

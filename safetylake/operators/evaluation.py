@@ -70,8 +70,9 @@ def eval_case(outputs: DataFrame, long: DataFrame, truth: DataFrame) -> DataFram
             F.count("hit").alias("found"),
         )
     )
-    facts = human.groupBy("vaers_id").agg(F.count(F.lit(1)).alias("n_gt"))
-    facts = facts.join(truth.select("vaers_id", F.col("serious").alias("gt_serious")), "vaers_id")
+    # One truth row per case, however often its report was loaded: the join stays linear.
+    once = truth.groupBy("vaers_id").agg(F.max("serious").alias("gt_serious"))
+    facts = human.groupBy("vaers_id").agg(F.count(F.lit(1)).alias("n_gt")).join(once, "vaers_id")
     counted = matched.join(facts, "vaers_id").withColumn("fn", F.col("n_gt") - F.col("found"))
     metrics = f1_columns(F.col("tp"), F.col("fp"), F.col("fn"))
     return counted.select(
@@ -140,15 +141,21 @@ def eval_extraction(extractions: DataFrame, truth: DataFrame) -> DataFrame:
         json_text("extracted", "$.onset_date").alias("x_onset"),
         json_array_size("extracted", "$.events").alias("x_n_events"),
     )
-    g = truth.select(
-        "vaers_id",
-        F.when(F.col("sex") == "M", "male")
-        .when(F.col("sex") == "F", "female")
-        .otherwise("unknown")
-        .alias("gt_sex"),
-        F.col("age_yrs").alias("gt_age"),
-        F.date_format("onset_date", "yyyy-MM-dd").alias("gt_onset"),
-        F.col("n_coded_pts").alias("gt_n_pts"),
+    fact = F.struct("sex", "age_yrs", "onset_date", "n_coded_pts")
+    g = (
+        truth.groupBy("vaers_id")
+        .agg(F.max(fact).alias("fact"))
+        .select("vaers_id", "fact.*")
+        .select(
+            "vaers_id",
+            F.when(F.col("sex") == "M", "male")
+            .when(F.col("sex") == "F", "female")
+            .otherwise("unknown")
+            .alias("gt_sex"),
+            F.col("age_yrs").alias("gt_age"),
+            F.date_format("onset_date", "yyyy-MM-dd").alias("gt_onset"),
+            F.col("n_coded_pts").alias("gt_n_pts"),
+        )
     )
     close = F.abs(F.col("x_age") - F.col("gt_age")) <= 1
     known_onset = F.col("x_onset").isNotNull()

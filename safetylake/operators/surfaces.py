@@ -49,13 +49,12 @@ def review_queue(outputs: DataFrame, reviews: DataFrame) -> DataFrame:
     )
 
 
-def case_full(
-    raw: DataFrame, truth: DataFrame, outputs: DataFrame, evaluated: DataFrame
-) -> DataFrame:
-    """Report, ground truth, latest run and its scores, one row per report row."""
-    facts = truth.select(
-        "vaers_id", "age_yrs", "sex", F.col("serious").alias("gt_serious"), "n_coded_pts"
-    )
+def case_full(facts: DataFrame, outputs: DataFrame, evaluated: DataFrame) -> DataFrame:
+    """Report, ground truth, latest run and its scores, one row per report row.
+
+    ``facts`` is the ground truth with ``symptom_text`` kept, so the report table is not
+    joined with itself and a report loaded many times stays linear.
+    """
     run = latest_run(outputs).select(
         "vaers_id", "run_id", "pipeline_version", "extracted", "coded_pts", "seriousness",
         "causality", "narrative", "overall_confidence", "hitl_required",
@@ -67,12 +66,12 @@ def case_full(
         F.col("recall").alias("coding_recall"),
         "seriousness_match",
     )
-    # A run belongs to one case, so joining its scores on (case, run) is joining them on run
-    # and keeps the partitioning by case of the other joins.
+    # A run belongs to one case, so joining its scores on (case, run) is joining them on run.
     run = run.join(scores, ["vaers_id", "run_id"], "left")
-    return raw.select("vaers_id", "symptom_text").join(facts, "vaers_id", "left").join(
-        run, "vaers_id", "left"
+    report = facts.select(
+        "vaers_id", "symptom_text", "age_yrs", "sex", F.col("serious").alias("gt_serious"), "n_coded_pts"
     )
+    return report.join(run, "vaers_id", "left")
 
 
 def _mapped(column: str, mapping: dict[str, str]) -> Column:

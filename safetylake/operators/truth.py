@@ -64,10 +64,11 @@ def gt_case(
     terms: DataFrame,
     null_as_false: bool = False,
     date_formats: tuple[str, ...] = (DATE_FORMAT,),
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Case facts: demographics, parsed dates, seriousness and child-row counts.
 
-    Both child tables are reduced to one row per case in a single aggregation, so the
+    ``keep`` names further report columns to carry along. Both child tables are reduced to one row per case in a single aggregation, so the
     report table is joined once.
     """
     children = (
@@ -93,6 +94,7 @@ def gt_case(
         F.col("recovd").alias("recovered"),
         F.coalesce("n_products", F.lit(0)).alias("n_products"),
         F.coalesce("n_coded_pts", F.lit(0)).alias("n_coded_pts"),
+        *keep,
     )
 
 

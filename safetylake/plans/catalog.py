@@ -400,7 +400,8 @@ def _failed(i: Inputs) -> DataFrame:
 
         return [one(p) for p in prompts]
 
-    cases = with_run_id(i.view("narratives"), "predicted")
+    # A predictor is dear: copies of a report go through it once.
+    cases = with_run_id(i.view("narratives"), "predicted").dropDuplicates(["run_id"])
     prompts = cases.select(
         "run_id", "vaers_id",
         case_run.report_prompt(F.col("vaers_id"), F.col("narrative")).alias("input_text"),
@@ -505,7 +506,9 @@ QUERIES: dict[str, Query] = {
     "review_queue": _using(lambda i: surfaces.review_queue(i.outputs, i.view("reviews")).withColumn("coded_pts", F.array_join("coded_pts", "|"))),
     "case_full": _using(
         lambda i: surfaces.case_full(
-            i.cases, i.truth, i.outputs.withColumn("extracted", F.lit(None).cast("string")), i.evaluated
+            truth.gt_case(i.cases, i.vax, truth.gt_pt(i.long), keep=("symptom_text",)),
+            i.outputs.withColumn("extracted", F.lit(None).cast("string")),
+            i.evaluated,
         ).withColumn("coded_pts", F.array_join("coded_pts", "|"))
     ),
     "case_status": _using(lambda i: surfaces.case_status(i.view("steps"))),
