@@ -16,7 +16,8 @@ def product_scope(
 ) -> DataFrame:
     """Products of one family that the scope table does not list yet.
 
-    ``existing`` names are dropped with an anti join; a NULL name there matches nothing.
+    ``existing`` names are dropped with a null-safe anti join, so repeating the derivation adds
+    nothing and a NULL name there does not hold back other products.
     """
     wanted = F.col("vax_type") == vax_type
     if vax_manu:
@@ -27,7 +28,8 @@ def product_scope(
         .agg(F.min("vax_manu").alias("vax_manu"))
     )
     if existing is not None:
-        products = products.join(existing.select("vax_name"), "vax_name", "left_anti")
+        known = existing.select(F.col("vax_name").alias("known_name"))
+        products = products.join(known, F.col("vax_name").eqNullSafe(F.col("known_name")), "left_anti")
     return products.select(
         F.lit(f"{vax_type} family").alias("scope_label"),
         "vax_type",

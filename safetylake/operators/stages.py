@@ -164,19 +164,22 @@ def code_terms(verbatims: DataFrame, dictionary: DataFrame) -> DataFrame:
 def coding(cases: DataFrame, coded_terms: DataFrame, keep: list[str]) -> DataFrame:
     """Term per event of each case, in event order; cases without events get an empty result.
 
-    The exploded events stay partitioned by run_id as the read reports are, so putting them
-    back together needs no exchange when the coded terms are broadcast.
+    Only the first event row of a case carries its other columns. With broadcast terms the
+    events of a case meet again in its own task, and one row per case is shuffled.
     """
-    kept = F.struct(*keep).alias("kept")
     events = cases.select(
-        "run_id", kept, F.posexplode_outer("extraction.case.events.verbatim").alias("pos", "verbatim")
+        "run_id",
+        F.struct(*keep).alias("case_row"),
+        F.posexplode_outer("extraction.case.events.verbatim").alias("pos", "verbatim"),
     )
+    leads = F.col("pos").isNull() | (F.col("pos") == 0)
+    events = events.withColumn("kept", F.when(leads, F.col("case_row"))).drop("case_row")
     looked_up = events.join(coded_terms, "verbatim", "left")
     entry = F.struct(
         "pos", "verbatim", "meddra_pt", "meddra_version", "confidence", "requires_review"
     )
     grouped = looked_up.groupBy("run_id").agg(
-        F.first("kept").alias("kept"),
+        F.first("kept", ignorenulls=True).alias("kept"),
         F.array_sort(F.collect_set(F.when(F.col("verbatim").isNotNull(), entry))).alias("entries"),
     )
     hits = F.filter("entries", lambda e: e["meddra_pt"].isNotNull())

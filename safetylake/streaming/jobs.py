@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,13 +68,14 @@ def audit_stream(steps: DataFrame, warehouse: str, checkpoint: str, **options) -
     """
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        judged = step_is_sound(batch)
+        judged = step_is_sound(batch).persist(StorageLevel.MEMORY_AND_DISK)
         write_batch(
             judged.filter("sound").drop("sound"), warehouse, "agt_step_event", batch_id, "event_id"
         )
         judged.filter(~F.col("sound")).drop("sound").write.mode("overwrite").parquet(
             f"{table_path(warehouse, QUARANTINE)}/{BATCH}={batch_id}"
         )
+        judged.unpersist()
 
     return start(steps, each_batch, checkpoint, **options)
 

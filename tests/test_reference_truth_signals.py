@@ -13,6 +13,9 @@ def test_scope_is_incremental_and_null_safe(spark, rows):
     existing = spark.createDataFrame([("A",), (None,)], "vax_name string")
     assert rows(reference.product_scope(vax, "C"), "vax_name", "vax_manu") == [("A", "m1"), ("B", "m1")]
     assert rows(reference.product_scope(vax, "C", "m1", existing), "vax_name") == [("B",)]
+    unnamed = vax.unionAll(spark.createDataFrame([("9", "C", "m1", None)], VAX))
+    first = reference.product_scope(unnamed, "C")
+    assert first.count() == 3 and reference.product_scope(unnamed, "C", None, first).count() == 0
 
 
 def test_dictionary_keeps_raw_terms_and_skips_known(spark, rows):

@@ -93,6 +93,20 @@ def test_append_checks_columns_and_prunes_days(spark, tmp_path):
         tables.append(step.withColumn("shoe", F.lit(1)), warehouse, "agt_step_event")
 
 
+def test_bucketed_tables_join_without_exchange(spark, tmp_path):
+    frame = spark.range(100).selectExpr("cast(id as string) vaers_id", "id")
+    for name in ("left_side", "right_side"):
+        tables.write_bucketed(frame, name, str(tmp_path / name), "vaers_id", 4)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    joined = spark.table("left_side").join(spark.table("right_side"), "vaers_id")
+    text = joined._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "Exchange" not in text and joined.count() == 100
+    for name in ("left_side", "right_side"):
+        spark.sql(f"drop table {name}")
+
+
 def test_parameterised_query_and_views(spark):
     report = tables.register_views(
         spark,
