@@ -11,6 +11,14 @@ from pyspark.sql import types as T
 from safetylake import schemas as S
 
 DATE_PARTITION = "_date"
+# Tables whose id may be left to the writer.
+GENERATED_ID = {
+    "raw_vaers_vax": "_row_id",
+    "raw_vaers_symptoms": "_row_id",
+    "agt_run": "run_id",
+    "agt_step_event": "event_id",
+    "agt_human_review_event": "review_id",
+}
 
 
 def table_path(warehouse: str, table: str) -> str:
@@ -20,7 +28,8 @@ def table_path(warehouse: str, table: str) -> str:
 def to_table(rows: DataFrame, table: str) -> DataFrame:
     """Rows in table column order and types; an unknown column is an error.
 
-    Missing columns become NULL, except the load or event time, which defaults to now.
+    Missing columns become NULL, except the load or event time, which defaults to now, and a
+    generated id, which defaults to a random one.
     """
     schema = S.TABLES[table]
     unknown = [c for c in rows.columns if c not in schema.fieldNames()]
@@ -33,6 +42,8 @@ def to_table(rows: DataFrame, table: str) -> DataFrame:
             value = F.col(field.name)
         elif field.name == time_column or field.name == "first_seen_at":
             value = F.current_timestamp()
+        elif field.name == GENERATED_ID.get(table):
+            value = F.uuid()
         else:
             value = F.lit(None)
         columns.append(value.cast(field.dataType).alias(field.name))

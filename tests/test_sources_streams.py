@@ -89,6 +89,10 @@ def test_append_checks_columns_and_prunes_days(spark, tmp_path):
     assert tables.read_table(spark, warehouse, "agt_step_event").count() == 2
     one = tables.read_partition(spark, warehouse, "agt_step_event", "2024-01-04", "2024-01-06")
     assert one.count() == 1 and "PartitionFilters: [isnotnull(_date" in one._jdf.queryExecution().toString()
+    review = spark.createDataFrame([("r1", "approve")], "run_id string, action string")
+    tables.append(review, warehouse, "agt_human_review_event")
+    stored = tables.read_table(spark, warehouse, "agt_human_review_event").first()
+    assert stored["review_id"] and stored["reviewed_at"] and stored["rationale"] is None
     with pytest.raises(ValueError, match="no column shoe"):
         tables.append(step.withColumn("shoe", F.lit(1)), warehouse, "agt_step_event")
 
