@@ -454,6 +454,28 @@ def _stream_intake(i: Inputs) -> DataFrame:
 
 
 INTAKE_CHARS = 120
+def _scored_run(i: Inputs) -> DataFrame:
+    """Run every report, score the runs against the human codes, list their causality."""
+    version = S.PIPELINE_VERSION["full"]
+    done = stage_table(case_run.case_output(i.run()), "outputs")
+    facts = truth.gt_seriousness(i.cases).select("vaers_id", "serious")
+    board = evaluation.eval_dashboard(evaluation.eval_case(done, i.long, facts))
+    causality = evaluation.causality_distribution(done, version)
+    return board.join(causality.withColumn("pipeline_version", F.lit(version)), "pipeline_version")
+
+
+def _slice_run(i: Inputs) -> DataFrame:
+    """Run the in-scope cases with a long free-text narrative, whole texts of any length."""
+    chosen = i.sliced.select(
+        "vaers_id", F.col("symptom_text").alias("narrative"), F.col("recvdate").alias("received_date")
+    )
+    runs = case_run.store(case_run.run_cases(chosen, i.ref, minor_terms=MINOR_TERMS))
+    texts = runs.select(
+        "run_id", F.col("triage.rationale").alias("triage_rationale"), "narrative_qc.narrative"
+    )
+    return case_run.case_results(runs).join(texts, "run_id")
+
+
 CLOCK = ["input_tokens", "output_tokens", "latency_ms", "created_at", "started_at", "finished_at"]
 
 
@@ -544,6 +566,8 @@ QUERIES: dict[str, Query] = {
     ),
     "run_record": _using(lambda i: case_run.run_record(i.run()).drop(*CLOCK)),
     "run_summary": _using(lambda i: case_run.run_summary(case_run.case_results(i.run()))),
+    "scored_run": _using(_scored_run),
+    "slice_run": _using(_slice_run),
     "validate_contract": _using(_validated),
     "failed_cases": _using(_failed),
     "active_versions": _using(_active),

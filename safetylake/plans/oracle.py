@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from safetylake.schemas import CASE_FILE_COLUMNS, CASE_FILE_NUMERIC
-from safetylake.plans.oracle_cases import CASE_BODIES
+from safetylake.plans.oracle_cases import CASE_BODIES, FULL
 from safetylake.plans.oracle_views import SPACES, sql_ratio, sql_strip, sql_term, with_views
 
 V = "pipeline@0.2"
@@ -234,5 +234,23 @@ BODIES.update({
 })
 
 
+# Whole runs scored against the human codes: the runs take the place of the given outputs.
+RUN_OUTPUT = f"""
+    SELECT run_id, vaers_id, '{FULL}' AS pipeline_version, list_transform(coded, lambda c: c.meddra_pt) AS coded_pts,
+           CAST(to_json({{'serious': serious, 'criteria_met': criteria}}) AS VARCHAR) AS seriousness,
+           CAST(to_json({{'category': category}}) AS VARCHAR) AS causality FROM full_cases"""
+SLICE = "SELECT vaers_id, recvdate AS received_date, symptom_text AS narrative FROM sliced"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: with_views(body) for name, body in {**BODIES, **CASE_BODIES}.items()}
+    queries = {name: with_views(body) for name, body in {**BODIES, **CASE_BODIES}.items()}
+    queries["scored_run"] = with_views(
+        """SELECT d.*, category, n FROM dashboard d CROSS JOIN
+           (SELECT json_extract_string(causality, '$.category') AS category, count(*) AS n FROM fx_output GROUP BY 1)""",
+        fx_output=RUN_OUTPUT,
+    )
+    queries["slice_run"] = with_views(
+        "SELECT r.*, f.triage_rationale, f.written AS narrative FROM results r JOIN full_cases f ON f.run_id = r.run_id",
+        fx_narratives=SLICE,
+    )
+    return queries

@@ -249,16 +249,20 @@ VIEWS: dict[str, str] = {
 VIEWS.update(CASE_VIEWS)
 
 
-def with_views(body: str) -> str:
-    """Prefix ``body`` with the views it needs, directly or through other views."""
-    needed: set[str] = set()
+def with_views(body: str, **replaced: str) -> str:
+    """Prefix ``body`` with the views it needs, directly or through other views.
+
+    ``replaced`` gives other text for some views.
+    """
+    texts = {**VIEWS, **replaced}
+    ordered: list[str] = []
 
     def visit(text: str) -> None:
-        for name in VIEWS:
-            if name not in needed and re.search(rf"\b{name}\b", text):
-                needed.add(name)
-                visit(VIEWS[name])
+        for name in texts:
+            if name not in ordered and re.search(rf"\b{name}\b", text):
+                visit(texts[name])
+                ordered.append(name)
 
     visit(body)
-    chosen = [f"{name} AS ({VIEWS[name]})" for name in VIEWS if name in needed]
+    chosen = [f"{name} AS ({texts[name]})" for name in ordered]
     return f"WITH {', '.join(chosen)} {body}" if chosen else body
