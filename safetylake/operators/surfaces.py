@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from safetylake import schemas as S
+from safetylake.functions.lookup import lookup
+
 CLOSING_ACTIONS = ["approve", "reject"]
 # status a case is in while the next stage after the logged one runs, in stage order
 STATUS_AFTER = {
@@ -74,23 +77,13 @@ def case_full(facts: DataFrame, outputs: DataFrame, evaluated: DataFrame) -> Dat
     return report.join(run, "vaers_id", "left")
 
 
-def _mapped(column: str, mapping: dict[str, str]) -> Column:
-    value = F.lit(None).cast("string")
-    for key, result in mapping.items():
-        value = F.when(F.col(column) == key, F.lit(result)).otherwise(value)
-    return value
-
-
-STATUS_FIELDS = ["current_status", "current_run_id", "overall_confidence", "assigned_reviewer"]
-
-
 def status_events(steps: DataFrame, reviews: DataFrame | None = None) -> DataFrame:
     """Step and review events as one log of status changes."""
     log = steps.select(
         "vaers_id",
         F.col("created_at").alias("updated_at"),
         F.col("event_id").alias("event_key"),
-        F.coalesce(_mapped("agent_name", STATUS_AFTER), F.lit("received")).alias("current_status"),
+        F.coalesce(lookup(F.col("agent_name"), STATUS_AFTER), F.lit("received")).alias("current_status"),
         F.col("run_id").alias("current_run_id"),
         F.col("confidence").alias("overall_confidence"),
         F.lit(None).cast("string").alias("assigned_reviewer"),
@@ -102,7 +95,7 @@ def status_events(steps: DataFrame, reviews: DataFrame | None = None) -> DataFra
             "vaers_id",
             F.col("reviewed_at").alias("updated_at"),
             F.col("review_id").alias("event_key"),
-            F.coalesce(_mapped("action", STATUS_OF_ACTION), F.lit("in_review")).alias("current_status"),
+            F.coalesce(lookup(F.col("action"), STATUS_OF_ACTION), F.lit("in_review")).alias("current_status"),
             F.col("run_id").alias("current_run_id"),
             F.lit(None).cast("double").alias("overall_confidence"),
             F.col("reviewer_id").alias("assigned_reviewer"),
@@ -127,13 +120,13 @@ def fold_status(events: DataFrame) -> DataFrame:
 
 
 def case_status(
-    steps: DataFrame, reviews: DataFrame | None = None, threshold: float = 0.75
+    steps: DataFrame, reviews: DataFrame | None = None, threshold: float = S.HITL_THRESHOLD
 ) -> DataFrame:
     """Current state of each case, from its append-only logs."""
     return with_hitl(fold_status(status_events(steps, reviews)), threshold)
 
 
-def with_hitl(status: DataFrame, threshold: float = 0.75) -> DataFrame:
+def with_hitl(status: DataFrame, threshold: float = S.HITL_THRESHOLD) -> DataFrame:
     return status.withColumn("hitl_required", F.col("overall_confidence") < threshold)
 
 
@@ -151,7 +144,7 @@ def case_progress(steps: DataFrame) -> DataFrame:
         "event_id",
         "seq",
         "agent_name",
-        F.coalesce(_mapped("agent_name", STATUS_AFTER), F.lit("received")).alias("status"),
+        F.coalesce(lookup(F.col("agent_name"), STATUS_AFTER), F.lit("received")).alias("status"),
         "confidence",
         F.col("created_at").alias("ts"),
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from safetylake.schemas import CASE_FILE_COLUMNS, CASE_FILE_NUMERIC
 from safetylake.plans.oracle_cases import CASE_BODIES, FULL
-from safetylake.plans.oracle_views import SPACES, sql_ratio, sql_strip, sql_term, with_views
+from safetylake.plans.oracle_views import SPACES, sql_ratio, sql_term, with_views
 
 V = "pipeline@0.2"
 

@@ -172,6 +172,16 @@ def field_count(record: Column) -> Column:
     return F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit(""))) + 1
 
 
+# Fixed value: what reads as a number in a report file.
+NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?(?i:inf(inity)?)$"
+
+
+def number(c: Column) -> Column:
+    """Number in a text field; NULL for anything else ("nan", "12d", "n/a")."""
+    trimmed = text.strip(c)
+    return F.when(trimmed.rlike(NUMBER), trimmed.try_cast("double"))
+
+
 def conform(
     rows: DataFrame, table: str, batch_id: str, random_ids: bool = False
 ) -> DataFrame:
@@ -189,7 +199,7 @@ def conform(
     def column(name: str) -> Column:
         value = F.col(name) if name in have else F.lit(None).cast("string")
         if name in spec.numeric:
-            value = text.strip(value).try_cast("double")
+            value = number(value)
         return value.alias(name)
 
     out = rows.select(

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from safetylake.functions.lookup import lookup
+
 SCOPE_TYPE = "PROMO"
 
 
@@ -240,11 +242,8 @@ STEP_OF_EVENT = [
 def steps_of(events: DataFrame) -> DataFrame:
     """agt_step_event over an events frame, batch or streaming."""
     kind = F.col("event_type")
-    agent = F.when(F.lit(False), F.lit(None).cast("string"))
-    seq = F.when(F.lit(False), F.lit(None).cast("bigint"))
-    for position, (event_type, name) in enumerate(STEP_OF_EVENT, 1):
-        agent = agent.when(kind == event_type, F.lit(name))
-        seq = seq.when(kind == event_type, F.lit(position).cast("bigint"))
+    agent = lookup(kind, dict(STEP_OF_EVENT))
+    seq = lookup(kind, {event: n for n, (event, _) in enumerate(STEP_OF_EVENT, 1)}).cast("bigint")
     return events.select(
         F.concat(F.lit("evt-"), _key("event_id")).alias("event_id"),
         F.concat(F.lit("run-"), _key("user_id")).alias("run_id"),

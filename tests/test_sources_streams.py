@@ -73,6 +73,13 @@ def test_conform_keeps_known_columns_and_parses_numbers(spark):
     assert len(first) == 2 and first == again
 
 
+def test_numbers_in_files(spark):
+    texts = ["1", " 2.5 ", "-.5", "1e2", "nan", "12d", "", "1,5", "0x10", None]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in frame.select(reports.number(F.col("t"))).collect()]
+    assert got == [1.0, 2.5, -0.5, 100.0, None, None, None, None, None, None]
+
+
 def test_load_appends_and_counts(spark, tmp_path):
     path = write(tmp_path, "VAX.csv", "vaers_id,vax_name\n1,A\n2,B\n")
     warehouse = str(tmp_path / "raw")
