@@ -21,7 +21,7 @@ from safetylake.plans.catalog import QUERIES  # noqa: E402
 HEADLINE = [
     "signal_metrics", "gt_case", "pt_dictionary", "eval_case", "eval_dashboard", "extraction_scorecard",
     "coding_prf", "product_recall", "review_queue", "case_full", "ground_topk", "triage",
-    "extract_case", "run_full", "step_events", "validate_contract", "csv_ingest", "case_status",
+    "extract_case", "run_full", "step_events", "scored_run", "slice_run", "validate_contract", "csv_ingest", "case_status",
     "stream_audit",
 ]
 
