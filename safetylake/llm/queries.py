@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from safetylake.llm import mixing
+from safetylake.llm import mixing, packing, secret_scan
 from safetylake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op1_mixing": lambda spark, sf: mixing.op1_mixing(table(spark, sf, "documents")),
+    "op3_packing": lambda spark, sf: packing.op3_packing(table(spark, sf, "documents")),
+    "op4_secret_scan": lambda spark, sf: secret_scan.op4_secret_scan(table(spark, sf, "documents")),
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_mixing": mixing.SQL}
