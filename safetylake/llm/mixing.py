@@ -63,17 +63,25 @@ def schedule(
     share: float = 1.5,
     repeat: int = 2,
     seed: str = "mix",
+    carry: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One row per document: row (struct), size, source_size, target, start, served (words per pass)."""
+    """One row per document: row (struct), size, source_size, target, start, served (words per pass).
+
+    The struct holds the input's columns, or only those named in ``carry``; the rest is not shuffled.
+    """
+    kept = F.struct(*[F.col(f"row.`{c}`").alias(c) for c in (docs.columns if carry is None else carry)])
     shuffled = (
         boxed(docs)
         .withColumn("size", F.regexp_count(text_of("row.text"), F.lit(WORD)).cast("long"))
+        .withColumn("tie", F.xxhash64("row.text"))
         .withColumn("queue", F.coalesce(F.concat(F.lit("="), F.col("row.source")), F.lit("")))
         .withColumn("place", F.md5(F.concat_ws(":", F.lit(seed), F.col("row.doc_id").cast("string"))))
         .withColumn("bucket", F.substring("place", 1, BUCKET_DIGITS))
+        .withColumn("source", F.col("row.source"))
+        .withColumn("row", kept)
     )
     buckets = shuffled.groupBy("queue", "bucket").agg(
-        F.first("row.source").alias("source"), F.sum("size").alias("bucket_size")
+        F.first("source").alias("source"), F.sum("size").alias("bucket_size")
     )
     sizes = buckets.groupBy("queue").agg(F.first("source").alias("source"), F.sum("bucket_size").alias("source_size"))
     before = F.sum("bucket_size").over(Window.partitionBy("queue").orderBy("bucket")) - F.col("bucket_size")
@@ -81,7 +89,7 @@ def schedule(
     buckets = buckets.join(source_targets(sizes, weights, share, repeat), "queue")
     inside = (
         Window.partitionBy("queue", "bucket")
-        .orderBy("place", "size", F.xxhash64("row.text"))
+        .orderBy("place", "size", "tie")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     start = F.col("before") + F.sum("size").over(inside) - F.col("size")
@@ -89,7 +97,7 @@ def schedule(
         _served(F.col("start") + F.lit(p) * F.col("source_size"), F.col("size"), F.col("target")) for p in range(repeat)
     ]
     return (
-        shuffled.join(buckets, ["queue", "bucket"])
+        shuffled.drop("source").join(buckets, ["queue", "bucket"])
         .withColumn("start", start)
         .withColumn("served", F.array(*passes))
         .select("row", "size", "source_size", "target", "start", "served")
@@ -129,7 +137,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
 def op1_mixing(docs: DataFrame) -> DataFrame:
     served = F.aggregate("served", F.lit(0).cast("long"), lambda total, x: total + x)
-    return in_virtual_order(schedule(docs)).select("row.doc_id", "size", "source_size", "target", served.alias("taken"))
+    return in_virtual_order(schedule(docs, carry=["doc_id"])).select("row.doc_id", "size", "source_size", "target", served.alias("taken"))
 
 
 #: DuckDB SQL for op1_mixing over ``documents``.
