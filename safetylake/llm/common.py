@@ -26,3 +26,10 @@ def boxed(df: DataFrame) -> DataFrame:
 def held_out(doc_id: str = "doc_id") -> Column:
     """True for rows that models must not learn from."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(True))
+
+
+def hash_sample(rows: DataFrame, key: str, wanted: int, total: int) -> DataFrame:
+    """About ``wanted`` of ``total`` rows, chosen by a hash of ``key``; the same rows on every run."""
+    if total <= wanted:
+        return rows
+    return rows.where(F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1 << 24)) < F.lit((wanted << 24) // total))

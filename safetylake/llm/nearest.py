@@ -26,7 +26,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLE = 4096  # rows the rotation and the radius are fitted on, at most
+from safetylake.llm.common import hash_sample
+
+SAMPLE = 4096  # rows the rotation and the radius are fitted on, about as many
 BITS, SUB = 64, 16
 CHUNK, BLOCK = 16384, 65536
 AIM = 0.985
@@ -131,7 +133,8 @@ def nearest(
         .groupBy("vec_id")
         .agg(F.min("embedding").alias("embedding"))
     )
-    picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("embedding").collect()
+    sizes = rows.agg(F.count("*").alias("n"), F.count(F.when(queries, 1)).alias("q")).first()
+    picked = hash_sample(rows, "vec_id", sample, sizes["n"]).select("embedding").collect()
     schema = "query_id long, vec_id long, score double"
     if not picked:
         found = rows.sparkSession.createDataFrame([], schema)
@@ -139,7 +142,6 @@ def nearest(
         size = statistics.mode(len(r[0]) for r in picked)
         rotation, radius = fit(np.array([r[0] for r in picked if len(r[0]) == size]), k)
         rows = rows.where(F.size("embedding") == size)
-        sizes = rows.agg(F.count("*").alias("n"), F.count(F.when(queries, 1)).alias("q")).first()
         chunks, blocks = max(1, -(-sizes["n"] // chunk)), max(1, -(-sizes["q"] // block))
         every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
         dealt = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
