@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from safetylake.llm import chat, mixing, nearest, packing, secret_scan
+from safetylake.llm import chat, mixing, nearest, packing, quality, secret_scan
 from safetylake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,7 @@ QUERIES: dict[str, Query] = {
     "op4_secret_scan": lambda spark, sf: secret_scan.op4_secret_scan(table(spark, sf, "documents")),
     "op6_chat": lambda spark, sf: chat.op6_chat(table(spark, sf, "conversations")),
     "op8_nearest": lambda spark, sf: nearest.op8_nearest(table(spark, sf, "embeddings")),
+    "op10_quality": lambda spark, sf: quality.op10_quality(table(spark, sf, "documents"), table(spark, sf, "labels")),
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_mixing": mixing.SQL}
