@@ -232,7 +232,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
         return pd.DataFrame({"own": [o[:SAMPLE_LINES].ravel() for o, _ in made], "length": [n[:SAMPLE_LINES] for _, n in made]})
 
     rows = training_rows(docs, labels, "quality", sample).where(F.length(F.trim("text")) > 0)
-    found = rows.select(features("text").alias("f"), "label").orderBy("label", F.hash("f")).collect()
+    found = sorted(rows.select(features("text").alias("f"), "label").collect(), key=lambda r: (r["label"], r["f"]["own"]))
     texts = [(np.array(r["f"]["own"]).reshape(-1, OWN), np.array(r["f"]["length"])) for r in found]
     return fit_chain(texts, [r["label"] for r in found])
 
