@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from safetylake.llm import chat, mixing, nearest, packing, quality, secret_scan, toxicity
+from safetylake.llm import chat, extraction, mixing, nearest, packing, quality, secret_scan, toxicity
 from safetylake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op1_mixing": lambda spark, sf: mixing.op1_mixing(table(spark, sf, "documents")),
+    "op2_extraction": lambda spark, sf: extraction.op2_extraction(table(spark, sf, "pages")),
     "op3_packing": lambda spark, sf: packing.op3_packing(table(spark, sf, "documents")),
     "op4_secret_scan": lambda spark, sf: secret_scan.op4_secret_scan(table(spark, sf, "documents")),
     "op6_chat": lambda spark, sf: chat.op6_chat(table(spark, sf, "conversations")),
