@@ -335,6 +335,26 @@ class Settling:
         return self.links
 
 
+def _places(rows: DataFrame, words: int, depth: int, trees: int) -> DataFrame:
+    """(place, key, text) for rows (key, component, large, text): the group, or the nodes of a large one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, component, large, text = (batch.column(i) for i in range(4))
+            large = large.to_numpy(zero_copy_only=False)
+            row, place = np.flatnonzero(~large), component.to_numpy()[~large]
+            for i in np.flatnonzero(large):
+                values = minwise(shingles(text[i].as_py(), words))
+                nodes = np.unique(leaf_nodes(values[None, :], depth, trees)[1])
+                nodes = mix(nodes ^ U(component[i].as_py() & (2**64 - 1))).view(np.int64)
+                row, place = np.append(row, np.full(len(nodes), i)), np.append(place, nodes)
+            for at in range(0, len(row), 500):
+                some = pa.array(row[at : at + 500])
+                yield pa.RecordBatch.from_arrays([pa.array(place[at : at + 500]), key.take(some), text.take(some)], ["place", "key", "text"])
+
+    return rows.select("key", "component", "large", "text").mapInArrow(run, "place long, key long, text string")
+
+
 def _confirmed_links(rows: DataFrame, words: int, percent: int) -> DataFrame:
     """(u, v) for rows (place, key, text); rows of a place are compared with each other."""
     rows = rows.repartition("place").sortWithinPartitions("place", "key")
@@ -389,15 +409,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = PERCENT, rec
     classes = stage_table(classes.select(_key(), "*"), "classes")
 
     groups = stage_table(components(_likely_links(classes)), "groups")
-    members = classes.join(groups, classes["key"] == groups["u"]).select("key", "doc_id", "n", "nodes", "component")
-    sizes = groups.join(classes.select(F.col("key").alias("u"), "n"), "u").groupBy("component")
-    sizes = sizes.agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
+    narrow = classes.select("key", "doc_id", "n")
+    members = narrow.join(groups, narrow["key"] == groups["u"]).select("key", "doc_id", "n", "component")
+    sizes = members.groupBy("component").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
     large = (F.col("members") > TOGETHER) | (F.col("shingles") > TOGETHER_SIZE)
-    places = F.when(large, F.transform("nodes", lambda x: F.xxhash64("component", x))).otherwise(F.array("component"))
-    members = stage_table(members.join(sizes, "component").select("key", "doc_id", places.alias("places")), "members")
-    texts = docs.select(F.col("doc_id").cast("long"), text_of().alias("text"))
-    rows = texts.join(members, texts["doc_id"].eqNullSafe(members["doc_id"]))
-    rows = rows.select(F.explode("places").alias("place"), "key", "text")
+    members = stage_table(members.join(sizes, "component").select("key", "doc_id", "component", large.alias("large")), "members")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("text"))
+    # shuffled at every size: the members are a share of the table
+    rows = texts.join(members.hint("shuffle_hash"), texts["id"].eqNullSafe(members["doc_id"]))
+    rows = _places(rows, words, depth, trees)
     links = components(_confirmed_links(rows, words, percent))
 
     labels = classes.select("cls", "key", "doc_id").join(links, classes["key"] == links["u"], "left")
