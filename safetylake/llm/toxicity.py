@@ -134,7 +134,7 @@ def learn_stems(rows: DataFrame, most: int = LEARNED, contexts: int = 8, ratio:
     words = F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}]+)"), F.lit(1))
     pairs = (
         rows.select("label", words.alias("w"))
-        .select("label", F.explode(F.array_distinct(F.arrays_zip(F.slice("w", 2, F.size("w")).alias("word"), F.col("w").alias("before")))).alias("p"))
+        .select("label", F.explode(F.arrays_zip(F.slice("w", 2, F.size("w")).alias("word"), F.col("w").alias("before"))).alias("p"))
         .select("label", "p.word", "p.before")
         .where("word is not null")
         .distinct()
