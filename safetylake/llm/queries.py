@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from safetylake.llm import chat, extraction, mixing, near_dup, nearest, packing, quality, secret_scan, toxicity
+from safetylake.llm import chat, extraction, mixing, near_dup, nearest, packing, quality, secret_scan, spotsigs, toxicity
 from safetylake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,7 @@ QUERIES: dict[str, Query] = {
     "op2_extraction": lambda spark, sf: extraction.op2_extraction(table(spark, sf, "pages")),
     "op3_packing": lambda spark, sf: packing.op3_packing(table(spark, sf, "documents")),
     "op4_secret_scan": lambda spark, sf: secret_scan.op4_secret_scan(table(spark, sf, "documents")),
+    "op5_spotsigs": lambda spark, sf: spotsigs.op5_spotsigs(table(spark, sf, "documents")),
     "op6_chat": lambda spark, sf: chat.op6_chat(table(spark, sf, "conversations")),
     "op8_nearest": lambda spark, sf: nearest.op8_nearest(table(spark, sf, "embeddings")),
     "op9_near_dup": lambda spark, sf: near_dup.op9_near_dup(table(spark, sf, "documents")),
