@@ -112,8 +112,8 @@ def in_virtual_order(scheduled: DataFrame) -> DataFrame:
 
 def first_words(text: Column, words: Column) -> Column:
     """The text up to the end of its word number ``words``."""
-    pattern = F.concat(F.lit(r"^(?s)([\x20\x09-\x0D]*(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+){"), words.cast("string"), F.lit("})"))
-    return F.rtrim(F.regexp_extract(text, pattern, F.lit(1)))
+    pieces = F.regexp_extract_all(text, F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), F.lit(1))
+    return F.array_join(F.slice(pieces, F.lit(1), words.cast("int")), "")
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
