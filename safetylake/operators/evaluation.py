@@ -23,9 +23,10 @@ def json_array_size(column: str, path: str) -> Column:
 
 
 def _agent_terms(outputs: DataFrame) -> DataFrame:
-    """(run, term, times listed); a run without terms keeps one row with a NULL term.
+    """(run, content, term, times listed); a run without terms keeps one row with a NULL term.
 
-    Repeats are counted inside the row, so nothing is shuffled for it.
+    Repeats of a term are counted inside the row. ``content`` tells output rows of one run id apart:
+    equal rows (a run appended twice) are one, different ones are scored each.
     """
     normalised = F.transform(
         F.filter(F.coalesce("coded_pts", F.array().cast("array<string>")), lambda t: t.isNotNull()),
@@ -35,6 +36,7 @@ def _agent_terms(outputs: DataFrame) -> DataFrame:
     return (
         outputs.select(
             *RUN,
+            F.xxhash64("coded_pts", "seriousness").alias("content"),
             F.when(serious == "true", F.lit(True))
             .when(serious == "false", F.lit(False))
             .alias("agent_serious"),
@@ -48,11 +50,14 @@ def _agent_terms(outputs: DataFrame) -> DataFrame:
             ),
         )
         .drop("terms")
+        # co-located for the join that follows, so that dropping equal rows costs no shuffle of its own
+        .repartition("vaers_id", "pt_term")
+        .dropDuplicates([*RUN, "content", "pt_term"])
     )
 
 
 def eval_case(outputs: DataFrame, long: DataFrame, truth: DataFrame) -> DataFrame:
-    """Coding counts and seriousness agreement per run, for cases that have human codes.
+    """Coding counts and seriousness agreement per output row, for cases that have human codes.
 
     tp and fp count every listed term, repeats included; fn counts distinct human terms the
     run did not list. Human terms are matched by an equi-join on (case, term); the term list
@@ -62,7 +67,7 @@ def eval_case(outputs: DataFrame, long: DataFrame, truth: DataFrame) -> DataFram
     matched = (
         _agent_terms(outputs)
         .join(human.withColumn("hit", F.lit(True)), ["vaers_id", "pt_term"], "left")
-        .groupBy(*RUN)
+        .groupBy(*RUN, "content")
         .agg(
             F.max("agent_serious").alias("agent_serious"),
             F.sum(F.when(F.col("hit"), F.col("times")).otherwise(0)).alias("tp"),

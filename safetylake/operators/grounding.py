@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -15,6 +15,7 @@ from safetylake.functions import text
 
 DIMENSIONS = 256
 BLOCK_BYTES = 64 << 20
+SLICE_ROWS = 8192
 SCORE_DIGITS = 9
 
 
@@ -46,76 +47,70 @@ def embed_terms(terms: DataFrame, column: str, dimensions: int = DIMENSIONS) ->
     )
 
 
-def _block_top(queries: DataFrame, block: DataFrame, k: int) -> DataFrame:
-    """Top ``k`` terms of one bounded block for every query, one matrix product per slice."""
-    rows = block.select("pt_term", "vector").orderBy("pt_term").toPandas()
-    names = rows["pt_term"].to_numpy()
-    matrix = np.array(rows["vector"].tolist(), dtype="float64")
-    shared = queries.sparkSession.sparkContext.broadcast((names, matrix))
-    slice_rows = max(1, (32 << 20) // (8 * len(names)))
-    digits = SCORE_DIGITS
+def _slice_top(k: int, digits: int = SCORE_DIGITS) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+    """Top ``k`` terms of one block for each verbatim of one slice, as bounded matrix products."""
 
     # Self-contained, so that workers need numpy and pandas only and not this package.
-    def top(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def top(wanted: pd.DataFrame, terms: pd.DataFrame) -> pd.DataFrame:
         def unit(vectors: np.ndarray) -> np.ndarray:
             return vectors / (np.linalg.norm(vectors, axis=1, keepdims=True) + 1e-9)
 
-        terms, rows = shared.value
-        columns = unit(rows).T
-        for batch in batches:
-            for start in range(0, len(batch), slice_rows):
-                part = batch.iloc[start : start + slice_rows]
-                wanted = unit(np.array(part["vector"].tolist(), dtype="float64"))
-                scores = np.round(wanted @ columns, digits)
+        found = []
+        if len(wanted) and len(terms):
+            terms = terms.sort_values("pt_term")
+            names = terms["pt_term"].to_numpy(dtype=object)
+            matrix = unit(np.array(terms["vector"].tolist(), dtype="float64")).T
+            step = max(1, (32 << 20) // (8 * len(names)))
+            for start in range(0, len(wanted), step):
+                part = wanted.iloc[start : start + step]
+                rows = unit(np.array(part["vector"].tolist(), dtype="float64"))
+                scores = np.round(rows @ matrix, digits)
                 # Terms are in name order, so a stable sort breaks ties by name.
                 best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-                width = best.shape[1]
-                yield pd.DataFrame(
-                    {
-                        "verbatim": np.repeat(part["verbatim"].to_numpy(), width),
-                        "pt_term": terms[best].ravel(),
-                        "score": np.take_along_axis(scores, best, axis=1).ravel(),
-                    }
-                )
-
-    return queries.select("verbatim", "vector").mapInPandas(
-        top, "verbatim string, pt_term string, score double"
-    )
+                verbatims = np.repeat(part["verbatim"].to_numpy(dtype=object), best.shape[1])
+                found.append((verbatims, names[best].ravel(), np.take_along_axis(scores, best, axis=1).ravel()))
+        columns = [np.concatenate(c) for c in zip(*found, strict=True)] or [np.zeros(0)] * 3
+        kinds = {"verbatim": object, "pt_term": object, "score": float}
+        return pd.DataFrame({n: pd.Series(c, dtype=kind) for (n, kind), c in zip(kinds.items(), columns, strict=True)})
+
+    return top
 
 
 def ground_topk(
-    queries: DataFrame, terms: DataFrame, k: int = S.TOP_K_TERMS, block_bytes: int = BLOCK_BYTES
+    queries: DataFrame,
+    terms: DataFrame,
+    k: int = S.TOP_K_TERMS,
+    block_bytes: int = BLOCK_BYTES,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Exact ``k`` nearest terms per distinct verbatim: (verbatim, rank, pt_term, score).
 
-    ``queries`` holds (verbatim, vector) and ``terms`` (pt_term, vector). The term matrix is
-    shipped to the tasks only in blocks of at most ``block_bytes``; a longer term list takes
-    several blocks whose tops are merged, so any length gives the exact answer and no
-    (verbatim, term) pair outside a top is ever a row.
+    ``queries`` holds (verbatim, vector) and ``terms`` (pt_term, vector). Terms are dealt by hash
+    into blocks of about ``block_bytes`` and verbatims into slices of about ``slice_rows``; a task
+    multiplies one slice with one block and keeps the top of it. So no vector passes the driver, a
+    task's memory does not depend on either table's size, the plan is the same for any number of
+    blocks, and no (verbatim, term) pair outside a top is ever a row.
     """
-    queries = queries.dropDuplicates(["verbatim"])
-    terms = terms.filter(F.col("vector").isNotNull()).dropDuplicates(["pt_term"])
+    queries = queries.dropDuplicates(["verbatim"]).select("verbatim", "vector")
+    terms = terms.filter(F.col("vector").isNotNull()).dropDuplicates(["pt_term"]).select("pt_term", "vector")
     size = terms.agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("width"),
-        F.max(F.length("pt_term")).alias("longest"),
-    ).first()
-    if not size["n"]:
-        return queries.select(
-            "verbatim", F.lit(None).cast("int").alias("rank"),
-            F.lit(None).cast("string").alias("pt_term"), F.lit(None).cast("double").alias("score"),
-        ).filter(F.lit(False))
-    n_blocks = math.ceil(size["n"] * (8 * size["width"] + 4 * size["longest"] + 64) / block_bytes)
-    if n_blocks == 1:
-        tops = _block_top(queries, terms, k)
-    else:
-        block = F.pmod(F.xxhash64("pt_term"), F.lit(n_blocks))
-        tops = None
-        for b in range(n_blocks):
-            part = terms.filter(block == b)
-            if part.isEmpty():
-                continue
-            top = _block_top(queries, part, k)
-            tops = top if tops is None else tops.unionAll(top)
+        F.coalesce(F.sum(8 * F.size("vector") + 4 * F.length("pt_term") + 64), F.lit(0)).alias("bytes")
+    ).first()["bytes"]
+    blocks, slices = max(1, math.ceil(size / block_bytes)), max(1, math.ceil(queries.count() / slice_rows))
+
+    def dealt(key: str, n: int) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    left = queries.withColumn("slice", dealt("verbatim", slices)).select("*", every(blocks).alias("block"))
+    right = terms.withColumn("block", dealt("pt_term", blocks)).select("*", every(slices).alias("slice"))
+    tops = (
+        left.groupBy("slice", "block")
+        .cogroup(right.groupBy("slice", "block"))
+        .applyInPandas(_slice_top(k), "verbatim string, pt_term string, score double")
+    )
     best = Window.partitionBy("verbatim").orderBy(F.col("score").desc(), "pt_term")
     return (
         tops.withColumn("rank", F.row_number().over(best))

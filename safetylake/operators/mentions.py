@@ -26,10 +26,14 @@ LEXICON = {
     },
 }
 # --- Fixed values: patterns of the other stated facts --------------------------------
-AGE = r"(?i)\b(\d{1,3})[- ]?(?:years?|yrs?|y/?o)\b"
+# An age says so: "old", "y/o" or "aged"; a number of years alone is a duration.
+AGE = r"(?i)(?:^|[^\d.])(\d+(?:\.\d+)?)[- ]?(years?|yrs?|months?|mos?|weeks?|wks?|days?)[- ]old\b"
+AGE_SHORT = r"(?i)(?:^|[^\d.])(\d+(?:\.\d+)?)[- ]?y(?:\. ?|/)?o\b"
+AGED = r"(?i)\baged?[: ]+(\d+(?:\.\d+)?)\b"
+UNITS_A_YEAR = {"m": 12.0, "w": 52.0, "d": 365.0}  # by the first letter of the unit
 DATE = r"(\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4})"
 ONSET = r"(?i)\bonset\b[^0-9.]*" + DATE
-STATED_DAYS = r"(?i)\b(\d{1,4}) days? (?:after|later|post)\b"
+STATED_DAYS = r"(?i)\b(\d+) days? (?:after|later|post)\b"
 LISTS = {
     "concomitant_meds": r"(?i)\bconcomitant medications?: *([^.]*)",
     "medical_history": r"(?i)\bhistory: *([^.]*)",
@@ -57,6 +61,9 @@ def stated_texts(narrative: Column, lowered: Column) -> Column:
     ).otherwise(narrative)
     return F.struct(
         F.regexp_extract(narrative, AGE, 1).alias("age"),
+        F.lower(F.substring(F.regexp_extract(narrative, AGE, 2), 1, 1)).alias("age_unit"),
+        F.regexp_extract(narrative, AGE_SHORT, 1).alias("age_short"),
+        F.regexp_extract(narrative, AGED, 1).alias("aged"),
         F.regexp_extract(without_onset, DATE, 1).alias("dose"),
         cued("onset", ONSET),
         cued("days", STATED_DAYS),
@@ -68,6 +75,15 @@ def stated_date(c: Column) -> Column:
     return F.coalesce(F.try_to_date(c, "yyyy-MM-dd"), F.try_to_date(c, "M/d/yyyy"))
 
 
+def stated_age(texts: Column) -> Column:
+    """Age in years: a number of years, months, weeks or days "old", else "y/o", else "aged"."""
+    divisor = F.lit(1.0)
+    for unit, n in UNITS_A_YEAR.items():
+        divisor = F.when(texts["age_unit"] == unit, F.lit(n)).otherwise(divisor)
+    number = lambda name: texts[name].try_cast("double")
+    return F.coalesce(F.round(number("age") / divisor, 4), number("age_short"), number("aged"))
+
+
 def _items(c: Column) -> Column:
     return F.filter(F.transform(F.split(c, "[;,]"), text.strip), lambda item: item != "")
 
@@ -214,7 +230,7 @@ def read_reports(reports: DataFrame, vocab: DataFrame) -> DataFrame:
         F.array(*[F.lit(c) for c in S.SERIOUSNESS]), lambda c: states("criterion", c)
     )
     stated = F.struct(
-        F.col("facts.texts.age").try_cast("double").alias("age_years"),
+        stated_age(F.col("facts.texts")).alias("age_years"),
         F.get(of_kind("sex"), F.lit(0))["name"].alias("sex"),
         F.exists("firsts", lambda m: m["kind"] == "reporter").alias("has_reporter"),
         criteria.alias("criteria"),

@@ -82,10 +82,17 @@ class Inputs:
         return truth.gt_case(self.cases, self.vax, truth.gt_pt(self.long))
 
     @cached_property
-    def evaluated(self) -> DataFrame:
+    def seriousness(self) -> DataFrame:
         # Scoring needs the serious flag only, so the child counts of the full facts are not built.
-        facts = truth.gt_seriousness(self.cases).select("vaers_id", "serious")
-        return evaluation.eval_case(self.outputs, self.long, facts)
+        return truth.gt_seriousness(self.cases).select("vaers_id", "serious")
+
+    @cached_property
+    def newest(self) -> DataFrame:
+        return stage_table(surfaces.latest_run(self.outputs), "newest")
+
+    @cached_property
+    def evaluated(self) -> DataFrame:
+        return evaluation.eval_case(self.outputs, self.long, self.seriousness)
 
     @cached_property
     def compared(self) -> DataFrame:
@@ -164,12 +171,11 @@ def _demographics(i: Inputs) -> DataFrame:
 
 
 def _coding_sets(i: Inputs) -> DataFrame:
-    predicted = evaluation.of_version(i.outputs, VERSION).select(
-        "vaers_id", F.explode("coded_pts").alias("term")
-    )
-    return concordance.coding_concordance(
-        predicted, i.long.select("vaers_id", F.col("pt_term").alias("term"))
-    )
+    run = F.concat_ws("|", "vaers_id", "run_id").alias("run")
+    predicted = i.outputs.select(run, F.explode("coded_pts").alias("term"))
+    human = i.long.select("vaers_id", F.col("pt_term").alias("term"))
+    truth_of_run = i.outputs.select("vaers_id", run).distinct().join(human, "vaers_id").select("run", "term")
+    return concordance.coding_concordance(predicted, truth_of_run, key="run")
 
 
 def _product_recall(i: Inputs) -> DataFrame:
@@ -529,8 +535,8 @@ QUERIES: dict[str, Query] = {
     "case_full": _using(
         lambda i: surfaces.case_full(
             truth.gt_case(i.cases, i.vax, truth.gt_pt(i.long), keep=("symptom_text",)),
-            i.outputs.withColumn("extracted", F.lit(None).cast("string")),
-            i.evaluated,
+            i.newest.withColumn("extracted", F.lit(None).cast("string")),
+            evaluation.eval_case(i.newest, i.long, i.seriousness),
         ).withColumn("coded_pts", F.array_join("coded_pts", "|"))
     ),
     "case_status": _using(lambda i: surfaces.case_status(i.view("steps"))),

@@ -86,16 +86,17 @@ BODIES: dict[str, str] = {
         SELECT json_extract_string(causality, '$.category') AS category, count(*) AS n
         FROM fx_output WHERE pipeline_version = '{V}' AND causality IS NOT NULL GROUP BY 1""",
     "coding_prf": f"""
-        SELECT vaers_id, tp, fp, fn, {sql_ratio('tp', 'tp + fp')} AS precision, {sql_ratio('tp', 'tp + fn')} AS recall,
+        SELECT run, tp, fp, fn, {sql_ratio('tp', 'tp + fp')} AS precision, {sql_ratio('tp', 'tp + fn')} AS recall,
                {sql_ratio('2 * tp', '2 * tp + fp + fn')} AS f1
-        FROM (SELECT vaers_id, count(*) FILTER (p AND g) AS tp, count(*) FILTER (p AND NOT g) AS fp,
+        FROM (SELECT run, count(*) FILTER (p AND g) AS tp, count(*) FILTER (p AND NOT g) AS fp,
                      count(*) FILTER (g AND NOT p) AS fn
-              FROM (SELECT vaers_id, {SQL_NORMAL_PT} AS normal, bool_or(side = 'p') AS p, bool_or(side = 'g') AS g
-                    FROM (SELECT vaers_id, unnest(coded_pts) AS term, 'p' AS side FROM fx_output
-                          WHERE pipeline_version = '{V}'
-                          UNION ALL SELECT vaers_id, pt_term, 'g' FROM long_terms)
-                    GROUP BY vaers_id, normal)
-              GROUP BY vaers_id)""",
+              FROM (SELECT run, {SQL_NORMAL_PT} AS normal, bool_or(side = 'p') AS p, bool_or(side = 'g') AS g
+                    FROM (SELECT vaers_id || '|' || run_id AS run, unnest(coded_pts) AS term, 'p' AS side FROM fx_output
+                          UNION ALL
+                          SELECT run, pt_term, 'g' FROM (SELECT DISTINCT vaers_id, vaers_id || '|' || run_id AS run FROM fx_output)
+                          JOIN long_terms USING (vaers_id))
+                    GROUP BY run, normal)
+              GROUP BY run)""",
     "normalize_pt": f"""
         SELECT term, {SQL_NORMAL_PT} AS normal, count(*) AS n
         FROM (SELECT unnest(coded_pts) AS term FROM fx_output) GROUP BY 1, 2""",
@@ -129,8 +130,8 @@ BODIES: dict[str, str] = {
         FROM metrics""",
     "screen_requests": """
         SELECT *, reason = 'ok' AS ok, CASE WHEN reason = 'ok' THEN
-                   CASE WHEN row_limit IS NULL OR row_limit < 1 THEN 100 ELSE least(row_limit, 100) END END AS safe_limit
-        FROM (SELECT *, CASE WHEN n_statements <> 1 THEN 'exactly one statement is allowed'
+                   CASE WHEN row_limit IS NULL OR row_limit < 1 THEN 100 ELSE row_limit END END AS safe_limit
+        FROM (SELECT *, CASE WHEN n_statements <> 1 THEN 'one statement per request'
                              WHEN lower(operation) <> 'select' THEN 'only a read is allowed'
                              WHEN lower(trim(source)) <> 'signal_metrics' THEN 'source is not on the allowed list'
                              WHEN metric NOT IN ('prr', 'ror', 'a', 'c', 'n_total') THEN 'unknown metric'

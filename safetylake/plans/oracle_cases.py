@@ -21,6 +21,9 @@ WORDS = """
     ('MEDICALLY SIGNIFICANT','criterion','other_medically_important')"""
 PHRASE = "trim(regexp_replace(upper({}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
 DATE = r"(\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4})"
+AGE = r"(?i)(?:^|[^\d.])(\d+(?:\.\d+)?)[- ]?(years?|yrs?|months?|mos?|weeks?|wks?|days?)[- ]old\b"
+AGE_SHORT = r"(?i)(?:^|[^\d.])(\d+(?:\.\d+)?)[- ]?y(?:\. ?|/)?o\b"
+AGED = r"(?i)\baged?[: ]+(\d+(?:\.\d+)?)\b"
 ONSET_PATTERN = r"(?i)\bonset\b[^0-9.]*" + DATE
 
 
@@ -104,10 +107,13 @@ CASE_VIEWS: dict[str, str] = {
         FROM mentioned GROUP BY vaers_id""",
     "facts": f"""
         SELECT n.vaers_id, n.received_date, narrative, {run_id(FULL)} AS run_id,
-               TRY_CAST(regexp_extract(narrative, '(?i)\\b(\\d{{1,3}})[- ]?(?:years?|yrs?|y/?o)\\b', 1) AS DOUBLE) AS age_years,
+               coalesce(round(TRY_CAST(regexp_extract(narrative, '{AGE}', 1) AS DOUBLE)
+                        / CASE lower(left(regexp_extract(narrative, '{AGE}', 2), 1)) WHEN 'm' THEN 12 WHEN 'w' THEN 52 WHEN 'd' THEN 365 ELSE 1 END, 4),
+                        TRY_CAST(regexp_extract(narrative, '{AGE_SHORT}', 1) AS DOUBLE),
+                        TRY_CAST(regexp_extract(narrative, '{AGED}', 1) AS DOUBLE)) AS age_years,
                {parsed(f"regexp_extract(regexp_replace(narrative, '{ONSET_PATTERN}', ' ', 'g'), '{DATE}', 1)")} AS dose,
                {parsed(f"regexp_extract(narrative, '{ONSET_PATTERN}', 1)")} AS onset,
-               TRY_CAST(regexp_extract(narrative, '(?i)\\b(\\d{{1,4}}) days? (?:after|later|post)\\b', 1) AS BIGINT) AS stated_days,
+               TRY_CAST(regexp_extract(narrative, '(?i)\\b(\\d+) days? (?:after|later|post)\\b', 1) AS BIGINT) AS stated_days,
                {items('(?i)\\bconcomitant medications?: *([^.]*)')} AS meds,
                {items('(?i)\\bhistory: *([^.]*)')} AS history,
                {items('(?i)\\ballerg(?:y|ies): *([^.]*)')} AS allergies,

@@ -27,7 +27,7 @@ def predict(inputs: DataFrame, predictor: Predictor) -> DataFrame:
                 (output,) = predictor([text])
                 return output, None
             except Exception as error:  # noqa: BLE001 - any failure belongs to its row
-                return None, (str(error).splitlines() or [type(error).__name__])[0][:200]
+                return None, str(error) or type(error).__name__
 
         for batch in batches:
             texts = batch["input_text"].tolist()

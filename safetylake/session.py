@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,11 +33,11 @@ def tune(spark: SparkSession) -> SparkSession:
 def work_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without the setting; it gets a temporary folder.
+    Only a session in one process may go without the setting; it gets a temporary folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
         folder = tempfile.mkdtemp(prefix="safetylake-")
         spark.conf.set("spark.checkpoint.dir", folder)
@@ -43,7 +46,27 @@ def work_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    below = f"{_SCRATCH[-1]}/" if _SCRATCH else ""
+    return f"{work_dir(spark)}/{below}{label}-{uuid.uuid4().hex}"
+
+
+_SCRATCH: list[str] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Paths made inside go below one folder, which is removed at the end.
+
+    For jobs that run again and again; nothing read from those paths may be used afterwards.
+    """
+    name = f"scratch-{uuid.uuid4().hex}"
+    _SCRATCH.append(name)
+    try:
+        yield
+    finally:
+        _SCRATCH.remove(name)
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{work_dir(spark)}/{name}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage_table(df: DataFrame, label: str) -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from dataclasses import dataclass
 from functools import reduce
-from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 
 from safetylake import schemas as S
 from safetylake.functions import text
-from safetylake.sources.tables import append
+from safetylake.session import stage_table
+from safetylake.sources.tables import append, table_path
 
 CORRUPT = "_corrupt"
 
@@ -32,12 +33,6 @@ SPECS = {
 }
 
 
-def _header(spark: SparkSession, path: str | list[str], encoding: str) -> list[str]:
-    """Column names of the files, trimmed and lower-cased (one line is read)."""
-    first = spark.read.option("encoding", encoding).option("header", "true").csv(path).columns
-    return [c.strip().lower() for c in first]
-
-
 def _options(encoding: str) -> dict[str, str]:
     return {
         "header": "true", "enforceSchema": "true", "encoding": encoding, "quote": '"', "escape": '"',
@@ -45,10 +40,22 @@ def _options(encoding: str) -> dict[str, str]:
     }
 
 
+# A quote opens a field at its start only; inside a quoted field two quotes are one. The rest of a
+# field, quoted or not, is plain text up to the next comma.
+_INSIDE = r'[^"]*+(?:""[^"]*+)*+'
+_FIELDS = rf'(?:(?:"{_INSIDE}"[^,]*+|[^",][^,]*+)?,)*+'
+OPENS = rf'(?s)^{_FIELDS}"{_INSIDE}$'
+STAYS_OPEN = rf'(?s)^{_INSIDE}(?:$|"[^,]*+,{_FIELDS}"{_INSIDE}$)'
+
+
 def _lines(spark: SparkSession, path: str | list[str], encoding: str) -> DataFrame:
-    """Physical lines with their file, the start of their split and whether their quotes are odd."""
+    """Physical lines with their file, the start of their split and what they do to a quoted field.
+
+    ``opens``: a line that starts outside a quoted field ends inside one. ``stays``: a line that
+    starts inside ends inside.
+    """
     line = F.decode(F.col("value").cast("binary"), encoding)
-    quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
+    quoted = F.contains("line", F.lit('"'))
     return (
         spark.read.text(path)
         .select(
@@ -56,38 +63,49 @@ def _lines(spark: SparkSession, path: str | list[str], encoding: str) -> DataFra
             F.col("_metadata.file_block_start").alias("block"),
             line.alias("line"),
         )
-        .withColumn("odd", quotes % 2)
+        .withColumn("opens", (quoted & F.col("line").rlike(OPENS)).cast("int"))
+        .withColumn("stays", (~quoted | F.col("line").rlike(STAYS_OPEN)).cast("int"))
+        .withColumn("id", F.monotonically_increasing_id())
     )
 
 
-def _place(uri: str) -> tuple[str, str]:
-    """Host and path of a file, however its URI is written (file:/x, file:///x)."""
-    parts = urlsplit(unquote(uri))
-    return parts.netloc, parts.path
-
-
 def _records(lines: DataFrame) -> DataFrame:
     """Records of files whose quoted fields hold line breaks: (_source_file, record).
 
-    A line starts a record when an even number of quotes precedes it in its file. The quotes
-    before a split come from one small row per split, those before a line from a running sum
-    inside its split, so a large file is still worked on split by split.
+    A line starts a record when no quoted field is open before it. A line either sets that state
+    whatever it was, flips it or leaves it; so the state before a line is that of the last line
+    that set it, flipped as often as lines since then flip it. Each split is summed up in one small
+    row, and a large file is worked on split by split.
     """
-    numbered = lines.withColumn("id", F.monotonically_increasing_id())
     split = ["_source_file", "block"]
+    sets = F.col("opens") == F.col("stays")
+    flips = F.when((F.col("opens") == 1) & (F.col("stays") == 0), 1).otherwise(0)
+    through = Window.partitionBy(*split).orderBy("id")
+    earlier = through.rowsBetween(Window.unboundedPreceding, -1)
     earlier_splits = (
         Window.partitionBy("_source_file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     )
-    in_split = Window.partitionBy(*split).orderBy("id")
-    open_before = (
-        numbered.groupBy(*split)
-        .agg(F.sum("odd").alias("n"))
-        .select(*split, F.coalesce(F.sum("n").over(earlier_splits), F.lit(0)).alias("before"))
+    marked = lines.withColumn("flips", F.sum(flips).over(through)).withColumn(
+        "set", F.when(sets, F.struct(F.col("opens").alias("to"), F.col("flips").alias("at")))
+    )
+    sums = marked.groupBy(*split).agg(
+        F.max("flips").alias("flips"), F.max_by("set", F.when(sets, F.col("id"))).alias("set")
+    )
+    # The same over the splits of a file: flips run on, a set split counts its flips after the set.
+    total = F.sum("flips").over(earlier_splits)
+    sums = sums.withColumn("base", F.coalesce(total, F.lit(0)))
+    known = F.when(F.col("set").isNotNull(), F.struct(F.col("set.to").alias("to"), (F.col("base") + F.col("set.at")).alias("at")))
+    last_set = F.last(known, ignorenulls=True).over(earlier_splits)
+    open_before = sums.select(
+        *split, ((F.coalesce(last_set["to"], F.lit(0)) + F.col("base") - F.coalesce(last_set["at"], F.lit(0))) % 2).alias("is_open")
     )
-    quotes = F.col("before") + F.sum("odd").over(in_split) - F.col("odd")
+    before = F.last("set", ignorenulls=True).over(earlier)
+    flipped = F.coalesce(F.last("flips").over(earlier), F.lit(0))
+    state = F.when(before.isNull(), F.col("is_open") + flipped).otherwise(before["to"] + flipped - before["at"]) % 2
+    in_split = through
     started = (
-        numbered.join(open_before, split)
-        .withColumn("starts", (quotes % 2 == 0).cast("int"))
+        marked.join(open_before, split)
+        .withColumn("starts", (state == 0).cast("int"))
         .withColumn("nth", F.sum("starts").over(in_split))
     )
     # Lines before the first start of a split continue the last record of an earlier split.
@@ -106,7 +124,7 @@ def _records(lines: DataFrame) -> DataFrame:
             F.when(own, F.col("nth")).otherwise(F.col("open.n")).alias("first_nth"),
         )
         .agg(F.array_sort(F.collect_list(F.struct("block", "id", "line"))).alias("lines"))
-        .filter("not (first_block = 0 and first_nth = 1)")  # the header
+        .filter("not (first_block = 0 and first_nth = 1)")  # the header line
         .select("_source_file", F.array_join(F.transform("lines", lambda x: x["line"]), "\n").alias("record"))
         .filter(text.is_filled(F.col("record")))
     )
@@ -115,60 +133,51 @@ def _records(lines: DataFrame) -> DataFrame:
 def read_report_csv(
     spark: SparkSession, path: str | list[str], encoding: str = "ISO-8859-1"
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows, quarantine) of report CSVs that share a header.
+    """(rows, quarantine) of report CSVs.
 
     All columns are text. Only an empty field is NULL: the text "NA" stays. A row with fewer
     fields is padded with NULL; a row with more is kept out and goes to the quarantine with
-    its raw text. Quoted fields may hold line breaks.
+    its raw text. Quoted fields may hold line breaks, and a quote inside an unquoted field is
+    plain text. Files may differ in their columns and column order: each is read by its own header.
 
-    A first scan finds the files in which a line has an odd number of quotes. Any other file
-    has one record per line and is read by the CSV source, which splits it over many tasks;
-    the records of the files found are put together split by split. No file is read by a
-    single task because of its size.
+    One small row per file says whether any of its lines leaves a quoted field open. If none does,
+    every line is a record; else the records are put together split by split. No file is read by a
+    single task because of its size, and only the distinct headers come to the driver.
     """
-    names = _header(spark, path, encoding)
-    fields = [T.StructField(n, T.StringType()) for n in names]
-    schema = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
     lines = _lines(spark, path, encoding)
-    broken = [r["_source_file"] for r in lines.filter("odd = 1").select("_source_file").distinct().collect()]
-    found: list[DataFrame] = []
-    whole = lines.inputFiles()
-    if broken:
-        known = {_place(b) for b in broken}
-        whole = [f for f in whole if _place(f) not in known]
-        parsed = F.from_csv("record", schema.simpleString(), _options(encoding) | {"header": "false"})
-        found.append(
-            _records(_lines(spark, broken, encoding))
-            .select(parsed.alias("r"), "_source_file")
-            .select("r.*", "_source_file")
-        )
-    if whole:
-        found.append(
-            spark.read.schema(schema).options(**_options(encoding)).csv(whole).select(
-                *names, CORRUPT, F.col("_metadata.file_path").alias("_source_file")
-            )
-        )
-    rows = reduce(DataFrame.unionByName, found).select(
-        *[F.nullif(F.col(n), F.lit("")).alias(n) for n in names], CORRUPT, "_source_file"
-    )
-    # A short row is marked corrupt too: only a record with more fields than the header is bad.
-    # Spark refuses a query that uses the raw record alone, so the test names a data column too;
-    # a record is never shorter than its first field.
-    first_field = F.length(F.coalesce(F.col(names[0]), F.lit("")))
-    too_long = (
-        F.col(CORRUPT).isNotNull()
-        & (F.length(CORRUPT) >= first_field)
-        & (field_count(F.col(CORRUPT)) > len(names))
+    first = F.when(F.col("block") == 0, F.col("id"))
+    files = lines.groupBy("_source_file").agg(
+        F.max("opens").alias("broken"), F.min(first).alias("header_id"), F.min_by("line", first).alias("header")
     )
+    headers = sorted(r["header"] for r in files.select("header").distinct().collect() if r["header"])
+    if not headers:
+        raise ValueError(f"no header line in {path}")
+    tagged = lines.join(files, "_source_file")
+    plain = tagged.filter("broken = 0 and id <> header_id").select("_source_file", F.col("line").alias("record"))
+    plain = plain.filter(text.is_filled(F.col("record")))
+    joined = _records(tagged.filter("broken = 1").select(*lines.columns))
+    records = plain.unionByName(joined).join(files.select("_source_file", "header"), "_source_file")
+    parts = [_parsed(records.filter(F.col("header") == h), h, encoding) for h in headers]
+    rows = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), [good for good, _ in parts])
+    return rows, reduce(DataFrame.unionByName, [bad for _, bad in parts])
+
+
+def _parsed(records: DataFrame, header: str, encoding: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, quarantine) of (_source_file, record) under one header line."""
+    names = [c.strip().lower() for c in next(csv.reader([header]))]
+    schema = T.StructType([*[T.StructField(n, T.StringType()) for n in names], T.StructField(CORRUPT, T.StringType())])
+    parsed = F.from_csv("record", schema.simpleString(), _options(encoding) | {"header": "false"})
+    rows = records.select(parsed.alias("r"), "_source_file", "record")
+    too_long = field_count(F.col("record")) > len(names)
     return (
-        rows.filter(~too_long).drop(CORRUPT),
-        rows.filter(too_long).select("_source_file", names[0], F.col(CORRUPT).alias("raw")),
+        rows.filter(~too_long).select(*[F.nullif(F.col(f"r.`{n}`"), F.lit("")).alias(n) for n in names], "_source_file"),
+        rows.filter(too_long).select("_source_file", F.col(f"r.`{names[0]}`").alias("first_field"), F.col("record").alias("raw")),
     )
 
 
 def field_count(record: Column) -> Column:
-    """Fields of a CSV record: commas outside quotes, plus one."""
-    unquoted = F.regexp_replace(record, '"(?:[^"]|"")*"', "")
+    """Fields of a CSV record: commas outside quoted fields, plus one."""
+    unquoted = F.regexp_replace(record, rf'(^|,)"{_INSIDE}"', "$1")
     return F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit(""))) + 1
 
 
@@ -223,14 +232,20 @@ def load_files(
 ) -> dict[str, int | str]:
     """Append the three report files to their raw tables; rows per table and the batch id.
 
-    Rows are counted by an observation while they are written, not by a second pass.
+    Rows are counted by an observation while they are written, not by a second pass. Records with
+    too many fields are appended to ``<table>_quarantine`` and counted as ``<table>_quarantined``
+    if there are any.
     """
     counts: dict[str, int | str] = {}
     for table, path in paths.items():
-        rows, _ = read_report_csv(spark, path)
+        rows, bad = read_report_csv(spark, path)
         seen = Observation(f"load_{table}")
         counted = conform(rows, table, batch_id).observe(seen, F.count(F.lit(1)).alias("n"))
         append(counted, warehouse, table)
         counts[table] = seen.get["n"]
+        kept_out = stage_table(bad.withColumn("_load_batch_id", F.lit(batch_id)), f"{table}_quarantine")
+        if n := kept_out.count():
+            kept_out.write.mode("append").parquet(table_path(warehouse, f"{table}_quarantine"))
+            counts[f"{table}_quarantined"] = n
     counts["batch_id"] = batch_id
     return counts

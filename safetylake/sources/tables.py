@@ -119,7 +119,7 @@ def register_views(
 ) -> list[tuple[str, str]]:
     """Register temporary views in the given order; a view that fails is skipped.
 
-    Returns (name, status) with 'ok' or the first line of the error.
+    Returns (name, status) with 'ok' or the error's whole text.
     """
     report = []
     for name, build in builders.items():
@@ -127,5 +127,5 @@ def register_views(
             build(spark).createOrReplaceTempView(name)
             report.append((name, "ok"))
         except Exception as error:  # noqa: BLE001 - reported, and later views still register
-            report.append((name, str(error).splitlines()[0][:200]))
+            report.append((name, str(error)))
     return report

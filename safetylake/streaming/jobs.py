@@ -14,6 +14,7 @@ from safetylake import schemas as S
 from safetylake.operators import surfaces
 from safetylake.operators.mentions import with_run_id
 from safetylake.plans import case_run
+from safetylake.session import scratch
 from safetylake.sources.tables import table_path
 from safetylake.streaming.sink import BATCH, stored_before, write_batch
 
@@ -113,14 +114,15 @@ def intake_stream(
     min_chars: int = S.MIN_NARRATIVE_CHARS,
     chosen: tuple[str, ...] = tuple(S.STAGES),
     version: str = S.PIPELINE_VERSION["full"],
-    skip_known: bool = False,
+    skip_known: bool = True,
     **options,
 ) -> StreamingQuery:
     """Process new in-scope reports with a long enough narrative and append their records.
 
     ``reports`` holds vaers_id, narrative and received_date. The checkpoint takes each file
-    once and a retried batch replaces its folders. A report sent again has the same run id;
-    ``skip_known`` leaves such reports out, at the price of reading the stored run ids.
+    once and a retried batch replaces its folders. A report sent again has the same run id and is
+    stored once, at the price of reading the stored run ids; ``skip_known=False`` stores it again.
+    The work folders of a batch are removed when it is written.
     """
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
@@ -131,9 +133,10 @@ def intake_stream(
             stored = stored_before(batch.sparkSession, warehouse, "agt_run", batch_id)
             known = with_run_id(wanted, version).join(stored.select("run_id"), "run_id", "left_anti")
             wanted = known.drop("run_id")
-        runs = case_run.store(case_run.run_cases(wanted, ref, chosen, version))
-        write_batch(case_run.step_events(runs), warehouse, "agt_step_event", batch_id)
-        write_batch(case_run.case_output(runs), warehouse, "agt_case_output", batch_id)
-        write_batch(case_run.run_record(runs), warehouse, "agt_run", batch_id)
+        with scratch(batch.sparkSession):
+            runs = case_run.store(case_run.run_cases(wanted, ref, chosen, version))
+            write_batch(case_run.step_events(runs), warehouse, "agt_step_event", batch_id)
+            write_batch(case_run.case_output(runs), warehouse, "agt_case_output", batch_id)
+            write_batch(case_run.run_record(runs), warehouse, "agt_run", batch_id)
 
     return start(reports, each_batch, checkpoint, **options)

@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from safetylake import schemas as S
 from safetylake.sources.tables import DATE_PARTITION, table_path, to_table
 
-BATCH = "_batch"
+BATCH, BUCKET = "_batch", "_bucket"
+ID_BUCKETS = 64
 
 
 def _schema(table: str) -> T.StructType:
@@ -22,21 +23,23 @@ def write_batch(
 ) -> None:
     """Write one batch into its own folder of the table, replacing an earlier try of it.
 
-    With ``id_column``, rows whose id is already stored by an earlier batch are left out, so a
-    source that repeats an event adds it once. Repeats carry the same time, so only the days
-    of the batch are looked up.
+    With ``id_column``, rows whose id is already stored by an earlier batch are left out, whatever
+    their time, so a source that repeats an event adds it once. The ids of a batch are also written
+    to an index of hash buckets; only the buckets that the batch falls in are looked up.
     """
     time_column = S.LAYOUT[table][0]
     dated = to_table(rows, table).withColumn(DATE_PARTITION, F.to_date(time_column))
     if id_column:
-        dated = dated.dropDuplicates([id_column])
+        bucket = F.pmod(F.xxhash64(id_column), F.lit(ID_BUCKETS)).cast("int")
+        dated = dated.dropDuplicates([id_column]).withColumn(BUCKET, bucket)
+        index = table_path(warehouse, f"{table}_ids")
         if batch_id > 0:
-            days = dated.agg(F.min(DATE_PARTITION).alias("lo"), F.max(DATE_PARTITION).alias("hi")).first()
-            if days["lo"] is not None:
-                stored = stored_before(rows.sparkSession, warehouse, table, batch_id).filter(
-                    F.col(DATE_PARTITION).between(days["lo"], days["hi"])
-                )
-                dated = dated.join(stored.select(id_column), id_column, "left_anti")
+            touched = [r[0] for r in dated.select(BUCKET).distinct().collect()]  # at most ID_BUCKETS
+            schema = T.StructType().add(id_column, rows.schema[id_column].dataType).add(BATCH, T.LongType()).add(BUCKET, T.IntegerType())
+            stored = rows.sparkSession.read.schema(schema).option("basePath", index).parquet(index)
+            stored = stored.filter((F.col(BATCH) < batch_id) & F.col(BUCKET).isin(touched))
+            dated = dated.join(stored.select(id_column), id_column, "left_anti")
+        dated.select(id_column, BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{index}/{BATCH}={batch_id}")
     folder = f"{table_path(warehouse, table)}/{BATCH}={batch_id}"
     dated.select(*S.TABLES[table].fieldNames(), DATE_PARTITION).write.mode("overwrite").partitionBy(
         DATE_PARTITION

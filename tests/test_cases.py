@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from safetylake import schemas as S
-from safetylake.operators import contracts, grounding, stages
+from safetylake.operators import contracts, grounding, mentions, stages
 from safetylake.operators.mentions import vocabulary
 from safetylake.plans import case_run
 from safetylake.plans.predict import checked, predict
@@ -202,7 +202,7 @@ def test_predictor_failures_stay_with_their_rows(spark):
     assert sorted(r["run_id"] for r in good.collect()) == ["0", "3"]
     assert good.first()["coding"]["result"]["coded"] == []
     assert sorted((r["run_id"], r["error"]) for r in bad.collect()) == [
-        ("1", "cannot read"), ("2", "contract: confidence: out of range"),
+        ("1", "cannot read\nsecond line"), ("2", "contract: confidence: out of range"),
     ]
 
 
@@ -252,3 +252,25 @@ def test_rendered_candidates(spark):
         "Code each event below.\n\n1. Event: b\n   Candidate PTs: X; Y\n"
         "2. Event: a\n   Candidate PTs: (no candidates retrieved)\n3. Event: b\n   Candidate PTs: X; Y"
     )
+
+
+@pytest.mark.parametrize(
+    ("told", "age"),
+    [
+        ("A 45-year-old man", 45.0), ("A 1.5-year-old girl", 1.5), ("diabetes for 10 years. A 45 y.o. man", 45.0),
+        ("A 6-month-old boy", 0.5), ("A 3 week old girl", 0.0577), ("aged 71, male", 71.0), ("He smoked for 20 years", None),
+        ("a 30 yo man", 30.0), ("an 81 y/o woman", 81.0),
+    ],
+)
+def test_stated_ages(spark, told, age):
+    row = spark.createDataFrame([(told,)], "narrative string").select(
+        mentions.stated_age(mentions.stated_texts(F.col("narrative"), F.lower("narrative"))).alias("age")
+    )
+    assert row.first()["age"] == age
+
+
+def test_long_day_counts(spark):
+    row = spark.createDataFrame([("12000 days after the dose",)], "narrative string").select(
+        mentions.stated_texts(F.col("narrative"), F.lower("narrative"))["days"].alias("days")
+    )
+    assert row.first()["days"] == "12000"

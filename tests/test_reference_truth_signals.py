@@ -1,6 +1,8 @@
 """Reference tables, ground truth, signals and review tables on small hand-made rows."""
 
-from safetylake.operators import reference, signals, surfaces, truth
+from pyspark.sql import functions as F
+
+from safetylake.operators import evaluation, reference, signals, surfaces, truth
 
 VAX = "vaers_id string, vax_type string, vax_manu string, vax_name string"
 FLAGS = "vaers_id string, died string, l_threat string, hospital string, disable string, birth_defect string"
@@ -111,8 +113,10 @@ def test_signal_query_limits_and_fallback(spark):
     metrics = metrics_of(spark)
     answer, caveats = signals.signal_query(metrics)
     assert answer.count() == 25 and not caveats and answer.first()["event_pt"] == "T129"
-    capped, _ = signals.signal_query(metrics, limit=1000)
-    assert capped.count() == 100
+    large, caveats = signals.signal_query(metrics, limit=1000)
+    assert large.count() == 130 and not caveats
+    refused, caveats = signals.signal_query(metrics, limit=120, max_limit=100)
+    assert refused.count() == 25 and "limit 120 is above 100" in caveats[0]
     flagged, _ = signals.signal_query(metrics, min_count=100, flagged_only=True, columns=["event_pt", "a"])
     assert flagged.columns == ["event_pt", "a"] and flagged.count() == 15
     fallback, caveats = signals.signal_query(metrics, order_by="speed", limit=3)
@@ -127,7 +131,7 @@ def test_requests_are_screened(spark):
     ]
     requests = spark.createDataFrame(data, "source string, operation string, metric string, n_statements int, row_limit int")
     got = [(r["ok"], r["safe_limit"]) for r in signals.screen_requests(requests, ["Signals"]).collect()]
-    assert got == [(True, 10), (True, 100), (True, 100)] + [(False, None)] * 5
+    assert got == [(True, 10), (True, 100), (True, 500)] + [(False, None)] * 5
 
 
 def test_review_queue_and_latest_run(spark, rows):
@@ -141,3 +145,19 @@ def test_review_queue_and_latest_run(spark, rows):
     assert rows(surfaces.latest_run(runs), "run_id") == [("r2",), ("r3",), ("r4",), ("r5",)]
     queue = [r["run_id"] for r in surfaces.review_queue(runs, reviews).collect()]
     assert queue == ["r5", "r2"]
+
+
+RUNS = "run_id string, vaers_id string, pipeline_version string, coded_pts array<string>, seriousness string"
+
+
+def test_repeated_runs_keep_sound_scores(spark, rows):
+    same = ("r1", "1", "v", ["Pyrexia", "Chills", "Rash"], '{"serious": true}')
+    again = ("r1", "1", "v", ["Pyrexia"], '{"serious": false}')
+    outputs = spark.createDataFrame([same, same, again, ("r2", "2", "v", [], None)], RUNS)
+    long = spark.createDataFrame([("1", "Pyrexia"), ("1", "Chills"), ("1", "Cough"), ("2", "Rash")], "vaers_id string, pt_term string")
+    facts = spark.createDataFrame([("1", True), ("2", False)], "vaers_id string, serious boolean")
+    found = evaluation.eval_case(outputs, long.withColumn("pt_term", F.upper("pt_term")), facts)
+    assert rows(found, "run_id", "tp", "fp", "fn", "seriousness_match") == [
+        ("r1", 1, 0, 2, False), ("r1", 2, 1, 1, True), ("r2", 0, 0, 1, None),
+    ]
+    assert found.filter("fn < 0 or recall > 1").count() == 0

@@ -1,12 +1,15 @@
 """Report files, tables and streams."""
 
 import datetime
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from safetylake import session
 from safetylake.operators import surfaces
+from safetylake.plans import predict
 from safetylake.sources import reports, tables
 from safetylake.streaming import jobs, sink
 
@@ -41,6 +44,39 @@ def test_csv_quirks(spark, tmp_path, rows):
     assert sorted(r["vaers_id"] for r in good.select("vaers_id").collect()) == ["1", "2", "3", "4"]
 
 
+def test_csv_stray_quotes(spark, tmp_path):
+    body = (
+        '1,6" wound,M,a,9\n'
+        '2,plain,"two\nlines, 6"" each",b,9\n'
+        '3,x"y"z,"closed" after,c,9\n'
+        '4,"6"" wound\n",q,d",9\n'
+        '5,"",",",""",x",9\n'
+        "6,last,m,n,9\n"
+    )
+    expected = {
+        "1": ('6" wound', "M", "a"), "2": ("plain", 'two\nlines, 6" each', "b"), "4": ('6" wound\n', "q", 'd"'),
+        "5": (None, ",", '",x'), "6": ("last", "m", "n"),
+    }
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("1g", "40", "17"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        good, bad = reports.read_report_csv(spark, write(tmp_path, "VAX.csv", HEADER + body))
+        got = {r["vaers_id"]: (r["vax_type"], r["vax_manu"], r["vax_name"]) for r in good.collect()}
+        assert set(got) == set("123456") and bad.count() == 0
+        assert {k: got[k] for k in expected} == expected
+        assert got["3"][0] == 'x"y"z'
+    # the same rows without line breaks are read line by line
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    flat, _ = reports.read_report_csv(spark, write(tmp_path, "VAX.csv", HEADER + '1,6" wound,M,a,9\n6,last,m,n,9\n'))
+    assert {r["vaers_id"]: r["vax_type"] for r in flat.collect()} == {"1": '6" wound', "6": "last"}
+
+
+def test_csv_files_with_their_own_headers(spark, tmp_path):
+    paths = [write(tmp_path, "a.csv", "id,p\n1,x\n"), write(tmp_path, "b.csv", "p,id,q\ny,2,z\n")]
+    good, _ = reports.read_report_csv(spark, paths)
+    assert sorted((r["id"], r["p"], r["q"]) for r in good.collect()) == [("1", "x", None), ("2", "y", "z")]
+
+
 def test_csv_split_inside_quoted_fields(spark, tmp_path):
     rng = random.Random(5)
     words = ["plain", "two\nlines", 'a "quoted" word', "x,y", "\n\n", "", "é" * 20, '"', 'end"\n']
@@ -175,3 +211,32 @@ def test_status_stream_equals_batch(spark, tmp_path, rows):
     batch = surfaces.case_status(steps(spark, FIRST + LATER))
     assert rows(streamed, *batch.columns) == rows(batch)
     assert rows(surfaces.open_cases(batch), "vaers_id") == [("1",)]
+
+
+def test_audit_stream_finds_repeats_whatever_their_time(spark, tmp_path):
+    warehouse = str(tmp_path / "wh")
+    sink.write_batch(steps(spark, FIRST[:2]), warehouse, "agt_step_event", 0, "event_id")
+    moved = steps(spark, [("e1", "1", "triage", 0.9, "{}", 9), ("e5", "1", "triage", 0.9, "{}", 9)])
+    timeless = steps(spark, FIRST[1:2]).withColumn("created_at", F.lit(None).cast("timestamp"))
+    sink.write_batch(moved.unionByName(timeless), warehouse, "agt_step_event", 1, "event_id")
+    stored = sink.read_stream_table(spark, warehouse, "agt_step_event")
+    assert sorted(r["event_id"] for r in stored.collect()) == ["e1", "e2", "e5"]
+
+
+def test_scratch_folders_are_removed(spark):
+    folder = session.work_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    with session.scratch(spark):
+        assert session.stage_table(spark.range(3), "x").count() == 3
+        assert set(os.listdir(folder)) != before
+    assert set(os.listdir(folder)) == before
+
+
+def test_errors_are_kept_whole(spark):
+    message = "first line\n" + "x" * 500
+
+    def failing(_):
+        raise ValueError(message)
+
+    inputs = spark.createDataFrame([("r1", "text")], "run_id string, input_text string")
+    assert predict.predict(inputs, failing).first()["error"] == message
