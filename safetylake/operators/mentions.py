@@ -182,10 +182,11 @@ def read_reports(reports: DataFrame, vocab: DataFrame) -> DataFrame:
     # each report, so that it survives the left join and spreads evenly if that is shuffled.
     lead = F.array(F.concat(F.lit("|"), F.col("run_id")))
     listed = F.concat(lead, *phrases(F.col("tokens"), phrase_lengths(vocab)))
+    is_lead = F.col("k") == 0
+    # Only the facts row takes the facts along: the word runs go through the join without them.
     rows = tokenised.select(
         "run_id", "facts", F.size("tokens").alias("n_words"), F.posexplode(listed).alias("k", "verbatim")
-    )
-    is_lead = F.col("k") == 0
+    ).withColumn("facts", F.when(is_lead, F.col("facts")))
     matched = (
         rows.filter("verbatim is not null")
         .withColumn("phrase", F.upper("verbatim"))
@@ -193,7 +194,7 @@ def read_reports(reports: DataFrame, vocab: DataFrame) -> DataFrame:
         .filter(is_lead | F.col("kind").isNotNull())
         .select(
             "run_id",
-            F.when(is_lead, F.col("facts")).alias("facts"),
+            "facts",
             ((F.col("k") - 1) % F.col("n_words") + 1).alias("pos"),
             "verbatim", "kind", "name", "in_scope",
         )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -10,11 +11,14 @@ from pyspark.sql import functions as F
 
 from safetylake import schemas as S
 from safetylake.operators import stages
-from safetylake.operators.mentions import read_reports, vocabulary, with_run_id
+from safetylake.operators.grounding import candidate_lists, embed_terms, ground_topk
+from safetylake.operators.mentions import read_reports, stated_date, vocabulary, with_run_id
 from safetylake.plans.predict import Predictor, checked, predict
 from safetylake.session import stage_table
 
 RULES_MODEL = "rules-v1"
+# (verbatim) -> (verbatim, candidates): the terms a coding predictor chooses from
+Grounder = Callable[[DataFrame], DataFrame]
 JSON = {"ignoreNullFields": "false"}
 CONFIDENCE = {
     "triage": "triage.confidence",
@@ -41,27 +45,58 @@ def read(reports: DataFrame, ref: Reference, version: str) -> DataFrame:
 
 
 def report_prompt(vaers_id: Column, narrative: Column) -> Column:
-    return F.concat(F.lit("Adverse-event report (id "), vaers_id, F.lit("):\n\n"), narrative)
+    return F.concat(F.lit("Report "), vaers_id, F.lit(":\n\n"), narrative)
 
 
 def stage_input(runs: DataFrame, stage: str) -> Column:
-    """Text a predictor of a later stage gets; triage and extraction get the report itself."""
-    if stage == "coding":
-        lines = F.transform(
-            F.col("extraction.case.events.verbatim"),
-            lambda v, i: F.concat((i + 1).cast("string"), F.lit(". Event: "), v),
-        )
-        return F.concat(F.lit(stages.CODE_HEADER), F.array_join(lines, "\n"))
+    """Text a predictor of the last two stages gets; triage and extraction get the report itself."""
     if stage == "assessment":
         coded = F.col("coding.result.coded") if "coding" in runs.columns else None
         summary = stages.case_summary(F.col("extraction.case"), coded)
-        return F.concat(F.lit("Assess this case (id "), F.col("vaers_id"), F.lit("):\n\n"), summary)
+        return F.concat(F.lit("Case "), F.col("vaers_id"), F.lit(", to be assessed:\n\n"), summary)
     return F.concat(
-        F.lit("Assembled case (id "), F.col("vaers_id"), F.lit("):\n\n"),
+        F.lit("Case "), F.col("vaers_id"), F.lit(", all stages:\n\n"),
         stages.assembled_json(runs.columns),
     )
 
 
+def nearest_terms(dictionary: DataFrame, k: int = S.TOP_K_TERMS) -> Grounder:
+    """The default grounder: the ``k`` dictionary terms nearest by trigram vectors."""
+
+    def ground(verbatims: DataFrame) -> DataFrame:
+        tops = ground_topk(embed_terms(verbatims, "verbatim"), embed_terms(dictionary, "pt_term"), k)
+        return candidate_lists(verbatims, tops)
+
+    return ground
+
+
+def coding_prompts(runs: DataFrame, grounder: Grounder) -> DataFrame:
+    """(run_id, input_text): the events of each run with their candidate terms."""
+    cases = runs.select("run_id", F.col("extraction.case.events.verbatim").alias("verbatims"))
+    verbatims = cases.select(F.explode("verbatims").alias("verbatim")).distinct()
+    rendered = stages.render_candidates(cases, stage_table(grounder(verbatims), "candidates"))
+    prompt = F.coalesce("prompt", F.lit(stages.CODE_HEADER)).alias("input_text")
+    return runs.select("run_id").join(rendered, "run_id", "left").select("run_id", prompt)
+
+
+def restated(runs: DataFrame, predicted: set[str]) -> DataFrame:
+    """Facts of the rule reader replaced by what predictors found, for the stages that follow."""
+    stated = F.col("stated")
+    if "triage" in predicted:
+        flagged = F.col("triage.seriousness_screen.criteria_flagged")
+        stated = stated.withField("criteria", F.coalesce(flagged, F.array().cast("array<string>")))
+    if "extraction" in predicted:
+        case = F.col("extraction.case")
+        stated = (
+            stated.withField("vaccination_date", stated_date(case["vaccination_date"]))
+            .withField("onset_date", stated_date(case["onset_date"]))
+            .withField("stated_days", case["days_to_onset"].cast("bigint"))
+            .withField("age_years", case["patient"]["age_years"].cast("double"))
+            .withField("sex", case["patient"]["sex"])
+        )
+    return runs.withColumn("stated", stated) if predicted else runs
+
+
 def replace_stage(
     runs: DataFrame, inputs: DataFrame, stage: str, predictor: Predictor
 ) -> tuple[DataFrame, DataFrame]:
@@ -104,11 +139,14 @@ def run_with_predictors(
     version: str = S.PIPELINE_VERSION["full"],
     threshold: float = S.HITL_THRESHOLD,
     minor_terms: list[str] = stages.MINOR_TERMS,
+    grounder: Grounder | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """``run_cases`` with some stages done by predictors: (runs, failures or None).
 
     A case whose predictor fails or breaks its contract is left out of the runs and listed in
-    the failures (run_id, stage, error, vaers_id); all others go on.
+    the failures (run_id, stage, error, vaers_id); all others go on. Stages after a predictor read
+    its output, not what the rules read. ``grounder`` gives a coding predictor its candidates, the
+    nearest dictionary terms by default.
     """
     chosen = tuple(s for s in S.STAGES if s in chosen or s == "extraction")
     failures: list[DataFrame] = []
@@ -129,6 +167,7 @@ def run_with_predictors(
         for stage in ("triage", "extraction"):
             if stage in chosen and stage in predictors:
                 runs = swap(runs, stage, prompts)
+        runs = restated(runs, {"triage", "extraction"} & set(predictors) & set(chosen))
     if "coding" in chosen or len(chosen) > 1 and predictors:
         # Reading the text is the costly part: write its result before it is used twice,
         # for the distinct verbatims and for the cases themselves.
@@ -138,7 +177,10 @@ def run_with_predictors(
             continue
         if stage in predictors:
             blank = runs.withColumn(stage, F.lit(None).cast(S.STAGE_OUTPUT[stage]))
-            prompts = runs.select("run_id", stage_input(runs, stage).alias("input_text"))
+            if stage == "coding":
+                prompts = coding_prompts(runs, grounder or nearest_terms(ref.dictionary))
+            else:
+                prompts = runs.select("run_id", stage_input(runs, stage).alias("input_text"))
             runs = stage_table(swap(blank, stage, prompts), stage)
         elif stage == "coding":
             verbatims = runs.select(F.explode("extraction.case.events.verbatim").alias("verbatim"))
@@ -186,8 +228,15 @@ def _present(runs: DataFrame) -> list[str]:
     return [s for s in S.STAGES if s in runs.columns]
 
 
-def step_events(runs: DataFrame, model: str = RULES_MODEL) -> DataFrame:
-    """One row per stage that ran, numbered 1..n in stage order, with input and output hashes."""
+def _model(models: dict[str, str] | None, stage: str) -> Column:
+    return F.lit((models or {}).get(stage, RULES_MODEL))
+
+
+def step_events(runs: DataFrame, models: dict[str, str] | None = None) -> DataFrame:
+    """One row per stage that ran, numbered 1..n in stage order, with input and output hashes.
+
+    ``models`` names the model of each stage that a predictor did; the others ran by rules.
+    """
     verbatims = F.array_join("extraction.case.events.verbatim", " | ")
     input_hash = {
         "triage": F.col("input_hash"),
@@ -202,6 +251,7 @@ def step_events(runs: DataFrame, model: str = RULES_MODEL) -> DataFrame:
             F.lit(stage).alias("agent_name"),
             F.lit(S.STAGE_VERSION[stage]).alias("agent_version"),
             F.lit(S.STAGE_PROMPT_VERSION[stage]).alias("prompt_version"),
+            _model(models, stage).alias("model"),
             input_hash[stage].alias("input_hash"),
             F.to_json(F.col(stage), JSON).alias("output"),
             F.col(CONFIDENCE[stage]).alias("confidence"),
@@ -212,7 +262,7 @@ def step_events(runs: DataFrame, model: str = RULES_MODEL) -> DataFrame:
     return runs.select("run_id", "vaers_id", F.inline(F.array(*entries))).select(
         F.sha2(F.concat_ws("|", "run_id", "seq"), 256).alias("event_id"),
         "run_id", "vaers_id", "seq", "agent_name", "agent_version",
-        F.lit(model).alias("model"), "prompt_version", "input_hash", "output", "confidence",
+        "model", "prompt_version", "input_hash", "output", "confidence",
         zero.alias("input_tokens"), zero.alias("output_tokens"), zero.alias("latency_ms"),
         F.current_timestamp().alias("created_at"),
     )
@@ -245,12 +295,12 @@ def case_output(runs: DataFrame, model: str = RULES_MODEL) -> DataFrame:
     )
 
 
-def run_record(runs: DataFrame, model: str = RULES_MODEL, status: str = "completed") -> DataFrame:
+def run_record(runs: DataFrame, models: dict[str, str] | None = None, status: str = "completed") -> DataFrame:
     """One row per run with the model of each stage that ran."""
-    models = F.struct(*[F.lit(model).alias(S.STAGE_MODEL_KEY[s]) for s in _present(runs)])
+    named = F.struct(*[_model(models, s).alias(S.STAGE_MODEL_KEY[s]) for s in _present(runs)])
     return runs.select(
         "run_id", "vaers_id", "pipeline_version",
-        F.to_json(models).alias("model_config"),
+        F.to_json(named).alias("model_config"),
         F.lit(status).alias("status"),
         "overall_confidence", "hitl_required",
         F.current_timestamp().alias("started_at"),

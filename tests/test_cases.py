@@ -223,7 +223,7 @@ def test_run_with_predictors(reports, ref):
     got = by_case(done)
     assert set(got) == {"1", "3"}
     assert got["1"]["overall_confidence"] == 0.4 and got["1"]["hitl_required"]
-    assert got["1"]["assessment"]["causality"]["rationale"] == "Assess this case (id 1):"
+    assert got["1"]["assessment"]["causality"]["rationale"] == "Case 1, to be assessed:"
     assert {(r["vaers_id"], r["error"]) for r in failed.collect()} == {("2", "no patient"), ("4", "no patient")}
     assert case_run.failed_runs(failed, "v").count() == 2
     n_failed = case_run.failed_runs(failed, "v").count()
@@ -274,3 +274,22 @@ def test_long_day_counts(spark):
         mentions.stated_texts(F.col("narrative"), F.lower("narrative"))["days"].alias("days")
     )
     assert row.first()["days"] == "12000"
+
+
+def test_stages_after_predictors_read_their_outputs(spark, reports, ref):
+    seen = str(spark.sparkContext.applicationId)
+
+    def triage(texts):
+        screen = {"serious": True, "criteria_flagged": ["death"]}
+        return [json.dumps({"valid": True, "missing_criteria": [], "seriousness_screen": screen, "priority": "expedited", "confidence": 0.9, "rationale": seen}) for _ in texts]
+
+    def coder(texts):
+        return [json.dumps({"result": {"coded": [], "uncoded": [t]}, "confidence": 0.9}) for t in texts]
+
+    done, _ = case_run.run_with_predictors(reports, ref, {"triage": triage, "coding": coder})
+    rows = {r["vaers_id"]: r for r in done.collect()}
+    assert all(r["assessment"]["seriousness"]["serious"] for r in rows.values())
+    prompts = [r["coding"]["result"]["uncoded"][0] for r in rows.values()]
+    assert any("Candidate PTs: " in p for p in prompts) and len(rows) == reports.count()
+    steps = case_run.step_events(done, {"triage": "mine"}).collect()
+    assert {(s["agent_name"], s["model"]) for s in steps if s["agent_name"] in ("triage", "coding")} == {("triage", "mine"), ("coding", case_run.RULES_MODEL)}
