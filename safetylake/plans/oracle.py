@@ -225,7 +225,13 @@ BODIES.update({
         SELECT d.*, v.deployed_at, TRUE AS active
         FROM dashboard d JOIN (SELECT pipeline_version, min(created_at) AS deployed_at FROM fx_output GROUP BY 1) v
           ON v.pipeline_version = d.pipeline_version WHERE d.pipeline_version = '{V}'""",
-    "stream_audit": STEPS,
+    "stream_audit": """
+        SELECT * EXCLUDE (n) REPLACE (CASE WHEN agent_name = 'triage' THEN
+                   '{"valid":true,"missing_criteria":[],"seriousness_screen":{"serious":false,"criteria_flagged":[]},"priority":"'
+                   || CASE WHEN n % 10 = 0 THEN 'soon' ELSE 'standard' END || '","confidence":'
+                   || CASE WHEN n % 7 = 0 THEN '7' ELSE '0.5' END || '}' ELSE output END AS output),
+               NOT (agent_name = 'triage' AND (n % 10 = 0 OR n % 7 = 0)) AS kept
+        FROM (SELECT *, CAST(substr(event_id, 5) AS BIGINT) AS n FROM (""" + STEPS + "))",
     "stream_case_status": BODIES["case_status"],
     "stream_intake": """
         SELECT run_id, vaers_id, array_to_string(list_transform(coded, lambda c: c.meddra_pt), '|') AS coded_pts,

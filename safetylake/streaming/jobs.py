@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from safetylake import schemas as S
 from safetylake.operators import surfaces
+from safetylake.operators.contracts import contract_errors
 from safetylake.operators.mentions import with_run_id
 from safetylake.plans import case_run
 from safetylake.session import scratch
@@ -51,17 +52,32 @@ def start(
     )
 
 
-def step_is_sound(steps: DataFrame) -> DataFrame:
-    """Adds ``sound``: known stage, confidence in range and an output that is JSON."""
+def step_is_sound(steps: DataFrame, contracts: tuple[str, ...] = tuple(S.STAGES)) -> DataFrame:
+    """Adds ``sound``: known stage, confidence in range, and an output that is JSON.
+
+    The output of the stages in ``contracts`` must also keep the contract of its stage.
+    """
+    kept = F.lit(True)
+    for stage in contracts:
+        errors = contract_errors(F.col("_json"), stage)
+        kept = F.when(F.col("agent_name") == stage, F.size(errors) == 0).otherwise(kept)
     sound = (
         F.col("agent_name").isin(S.STAGES)
         & F.col("confidence").between(0.0, 1.0)
-        & F.try_parse_json("output").isNotNull()
+        & F.col("_json").isNotNull()
+        & kept
     )
-    return steps.withColumn("sound", F.coalesce(sound, F.lit(False)))
+    parsed = steps.withColumn("_json", F.try_parse_json("output"))
+    return parsed.withColumn("sound", F.coalesce(sound, F.lit(False))).drop("_json")
 
 
-def audit_stream(steps: DataFrame, warehouse: str, checkpoint: str, **options) -> StreamingQuery:
+def audit_stream(
+    steps: DataFrame,
+    warehouse: str,
+    checkpoint: str,
+    contracts: tuple[str, ...] = tuple(S.STAGES),
+    **options,
+) -> StreamingQuery:
     """Append step events to the audit table once each; unsound ones go to a quarantine.
 
     Batch folders are replaced on a retry and stored ids are skipped, so no state is kept and
@@ -69,7 +85,7 @@ def audit_stream(steps: DataFrame, warehouse: str, checkpoint: str, **options) -
     """
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        judged = step_is_sound(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        judged = step_is_sound(batch, contracts).persist(StorageLevel.MEMORY_AND_DISK)
         write_batch(
             judged.filter("sound").drop("sound"), warehouse, "agt_step_event", batch_id, "event_id"
         )

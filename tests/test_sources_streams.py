@@ -191,7 +191,7 @@ def test_audit_stream_appends_once(spark, tmp_path):
     for part in (FIRST, LATER):
         steps(spark, part).coalesce(1).write.mode("append").parquet(source)
         stream = jobs.file_stream(spark, source, steps(spark, FIRST).schema, files_per_batch=1)
-        jobs.audit_stream(stream, warehouse, checkpoint).awaitTermination()
+        jobs.audit_stream(stream, warehouse, checkpoint, ()).awaitTermination()
     stored = sink.read_stream_table(spark, warehouse, "agt_step_event")
     assert sorted(r["event_id"] for r in stored.collect()) == ["e1", "e2", "e3", "e4"]
     quarantine = spark.read.parquet(f"{warehouse}/{jobs.QUARANTINE}")
@@ -240,3 +240,10 @@ def test_errors_are_kept_whole(spark):
 
     inputs = spark.createDataFrame([("r1", "text")], "run_id string, input_text string")
     assert predict.predict(inputs, failing).first()["error"] == message
+
+
+def test_outputs_must_keep_their_contract(spark):
+    good = '{"valid":true,"missing_criteria":[],"seriousness_screen":{"serious":false,"criteria_flagged":[]},"priority":"standard","confidence":0.5}'
+    rows = [("a", "1", "triage", 0.9, good, 1), ("b", "1", "triage", 0.9, '{"confidence":7}', 1), ("c", "1", "coding", 0.9, "{}", 1), ("d", "1", "coding", 0.9, None, 1)]
+    judged = {r["event_id"]: r["sound"] for r in jobs.step_is_sound(steps(spark, rows)).collect()}
+    assert judged == {"a": True, "b": False, "c": False, "d": False}
