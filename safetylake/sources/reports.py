@@ -149,14 +149,19 @@ def read_report_csv(
     files = lines.groupBy("_source_file").agg(
         F.max("opens").alias("broken"), F.min(first).alias("header_id"), F.min_by("line", first).alias("header")
     )
-    headers = sorted(r["header"] for r in files.select("header").distinct().collect() if r["header"])
+    found = files.filter("header is not null").groupBy("header").agg(F.max("broken").alias("broken")).collect()
+    headers = sorted(r["header"] for r in found)
     if not headers:
         raise ValueError(f"no header line in {path}")
     tagged = lines.join(files, "_source_file")
     plain = tagged.filter("broken = 0 and id <> header_id").select("_source_file", F.col("line").alias("record"))
     plain = plain.filter(text.is_filled(F.col("record")))
-    joined = _records(tagged.filter("broken = 1").select(*lines.columns))
-    records = plain.unionByName(joined).join(files.select("_source_file", "header"), "_source_file")
+    records = plain
+    if any(r["broken"] for r in found):
+        records = plain.unionByName(_records(tagged.filter("broken = 1").select(*lines.columns)))
+    if len(headers) == 1:
+        return _parsed(records, headers[0], encoding)
+    records = records.join(files.select("_source_file", "header"), "_source_file")
     parts = [_parsed(records.filter(F.col("header") == h), h, encoding) for h in headers]
     rows = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), [good for good, _ in parts])
     return rows, reduce(DataFrame.unionByName, [bad for _, bad in parts])
