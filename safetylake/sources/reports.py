@@ -149,6 +149,8 @@ def read_report_csv(
     files = lines.groupBy("_source_file").agg(
         F.max("opens").alias("broken"), F.min(first).alias("header_id"), F.min_by("line", first).alias("header")
     )
+    # Written once: the planner sees how small it is and does not shuffle the lines to meet it.
+    files = stage_table(files, "files")
     found = files.filter("header is not null").groupBy("header").agg(F.max("broken").alias("broken")).collect()
     headers = sorted(r["header"] for r in found)
     if not headers:
