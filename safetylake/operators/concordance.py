@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from safetylake.functions import text
 from safetylake.functions.measures import age_match, f1_columns, ratio
+from safetylake.operators.truth import one_per_case
 from safetylake.session import stage_table
 
 
@@ -46,17 +47,15 @@ def demographic_concordance(
     """Sex and age agreement per case: (vaers_id, sex, age_years) against (vaers_id, sex, age_yrs).
 
     sex_match is never NULL; age_match is NULL when either age is unknown. The truth counts once
-    per case however often its report was loaded, so the join stays linear.
+    per case (its newest load) however often its report was loaded, so the join stays linear.
     """
     x = extracted.select(
         "vaers_id",
         text.normalize_sex(F.col("sex")).alias("x_sex"),
         F.col("age_years").alias("x_age"),
     )
-    fact = F.struct(
-        text.normalize_sex(F.col("sex")).alias("gt_sex"), F.col("age_yrs").alias("gt_age")
-    )
-    g = truth.groupBy("vaers_id").agg(F.max(fact).alias("fact")).select("vaers_id", "fact.*")
+    known = truth.withColumn("gt_sex", text.normalize_sex(F.col("sex"))).withColumn("gt_age", F.col("age_yrs"))
+    g = one_per_case(known, "gt_sex", "gt_age")
     return (
         x.join(g, "vaers_id")
         .withColumn("sex_match", F.col("x_sex") == F.col("gt_sex"))
@@ -64,32 +63,32 @@ def demographic_concordance(
     )
 
 
-def _pieces(name: Column) -> Column:
-    """Every distinct substring of a name, the empty one included."""
-    size = F.length(name)
-    starts = F.sequence(F.lit(1), size)
-    cut = F.flatten(
-        F.transform(
-            starts,
-            lambda i: F.transform(
-                F.sequence(F.lit(1), size - i + 1), lambda n: F.substring(name, i, n)
-            ),
-        )
-    )
-    empty = F.array(F.lit(""))
-    return F.when(size == 0, empty).otherwise(F.array_distinct(F.concat(empty, cut)))
+GRAM = 3
 
 
 def contained_names(names: DataFrame) -> DataFrame:
     """(name, part): every listed name that is a substring of a listed name, itself included.
 
-    Each name is cut into its substrings and those are matched by an equi-join, so the work
-    per name is bounded by its own length and no two names are compared.
+    A name's rarest run of ``GRAM`` characters occurs in every name that holds it: names meet by an
+    equi-join on that run and are then compared. A name gives as many rows as it has characters, and
+    common runs ("COV") bring no names together. Names shorter than a run are matched as they are.
     """
     listed = names.distinct()
-    return listed.select("name", F.explode(_pieces(F.col("name"))).alias("part")).join(
-        listed.select(F.col("name").alias("part")), "part", "left_semi"
-    )
+    size = F.length("name")
+    sizes = F.array(*[F.lit(n) for n in range(1, GRAM + 1)])
+    # runs of 1 to GRAM characters: one row per start and length, never an array of substrings
+    starts = listed.where(size > 0).select("name", F.explode(F.sequence(F.lit(1), size)).alias("start"))
+    cut = starts.select("name", "start", F.explode(sizes).alias("n")).where(F.col("start") + F.col("n") - 1 <= size)
+    runs = cut.select("name", "n", F.substring("name", F.col("start"), F.col("n")).alias("run")).distinct()
+    runs = stage_table(runs, "name-runs")
+    long = runs.where(F.col("n") == GRAM).select("name", "run")
+    often = long.groupBy("run").agg(F.count(F.lit(1)).alias("names"))
+    rarest = long.join(often, "run").groupBy("name").agg(F.min(F.struct("names", "run"))["run"].alias("run"))
+    keys = rarest.unionAll(listed.where((size > 0) & (size < GRAM)).select("name", F.col("name").alias("run")))
+    found = runs.select("name", "run").join(keys.withColumnRenamed("name", "part"), "run")
+    # the empty name, where it is listed, is inside every name
+    in_all = listed.withColumn("part", F.lit("")).join(listed.withColumnRenamed("name", "part"), "part", "left_semi")
+    return found.where(F.contains("name", F.col("part"))).select("name", "part").unionAll(in_all.select("name", "part"))
 
 
 def product_concordance(

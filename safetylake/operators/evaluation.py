@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from safetylake.functions import text
 from safetylake.functions.measures import f1_columns, guarded_corr, share_true
-from safetylake.operators.truth import gt_term
+from safetylake.operators.truth import gt_term, one_per_case
 
 RUN = ["run_id", "vaers_id", "pipeline_version"]
 
@@ -61,7 +61,7 @@ def eval_case(outputs: DataFrame, long: DataFrame, truth: DataFrame) -> DataFram
 
     tp and fp count every listed term, repeats included; fn counts distinct human terms the
     run did not list. Human terms are matched by an equi-join on (case, term); the term list
-    of a case is never gathered into one row.
+    of a case is never gathered into one row. Of a case loaded several times the newest truth counts.
     """
     human = gt_term(long)
     matched = (
@@ -76,7 +76,7 @@ def eval_case(outputs: DataFrame, long: DataFrame, truth: DataFrame) -> DataFram
         )
     )
     # One truth row per case, however often its report was loaded: the join stays linear.
-    once = truth.groupBy("vaers_id").agg(F.max("serious").alias("gt_serious"))
+    once = one_per_case(truth, "serious").withColumnRenamed("serious", "gt_serious")
     facts = human.groupBy("vaers_id").agg(F.count(F.lit(1)).alias("n_gt")).join(once, "vaers_id")
     counted = matched.join(facts, "vaers_id").withColumn("fn", F.col("n_gt") - F.col("found"))
     metrics = f1_columns(F.col("tp"), F.col("fp"), F.col("fn"))
@@ -146,21 +146,15 @@ def eval_extraction(extractions: DataFrame, truth: DataFrame) -> DataFrame:
         json_text("extracted", "$.onset_date").alias("x_onset"),
         json_array_size("extracted", "$.events").alias("x_n_events"),
     )
-    fact = F.struct("sex", "age_yrs", "onset_date", "n_coded_pts")
-    g = (
-        truth.groupBy("vaers_id")
-        .agg(F.max(fact).alias("fact"))
-        .select("vaers_id", "fact.*")
-        .select(
-            "vaers_id",
-            F.when(F.col("sex") == "M", "male")
-            .when(F.col("sex") == "F", "female")
-            .otherwise("unknown")
-            .alias("gt_sex"),
-            F.col("age_yrs").alias("gt_age"),
-            F.date_format("onset_date", "yyyy-MM-dd").alias("gt_onset"),
-            F.col("n_coded_pts").alias("gt_n_pts"),
-        )
+    g = one_per_case(truth, "sex", "age_yrs", "onset_date", "n_coded_pts").select(
+        "vaers_id",
+        F.when(F.col("sex") == "M", "male")
+        .when(F.col("sex") == "F", "female")
+        .otherwise("unknown")
+        .alias("gt_sex"),
+        F.col("age_yrs").alias("gt_age"),
+        F.date_format("onset_date", "yyyy-MM-dd").alias("gt_onset"),
+        F.col("n_coded_pts").alias("gt_n_pts"),
     )
     close = F.abs(F.col("x_age") - F.col("gt_age")) <= 1
     known_onset = F.col("x_onset").isNotNull()

@@ -40,6 +40,12 @@ LISTS = {
     "allergies": r"(?i)\ballerg(?:y|ies): *([^.]*)",
 }
 WORD = r"[\p{L}\p{N}]+|\||[.;:!?]+(?=\s|$)"
+# What follows a negation in its clause, up to four words, is not stated. "Not recovered from" denies the
+# recovery, not the event; a contrast ("but") ends the clause.
+NEGATION = r"(?i)\b(?:no|not|nor|without|never|denied|denies|denying)\b"
+DENIED = NEGATION + r"(?:[ \t]+[\p{L}\p{N}][\p{L}\p{N}'/-]*){1,4}"
+ONGOING = r"(?i)\bnot[ \t]+(?:yet[ \t]+)?(recovered|resolved|subsided|improved|gone|better)\b"
+CONTRAST = r"(?i)[ \t]+(but|however|although|except)\b"
 
 
 # A pattern is tried only where its lower-case cue occurs in the text, which is far cheaper.
@@ -132,6 +138,13 @@ def vocabulary(dictionary: DataFrame, products: DataFrame, scope: DataFrame) ->
     )
 
 
+def affirmed(narrative: Column) -> Column:
+    """The text without what it denies; a mark stands in its place, so no phrase spans the gap."""
+    clauses = F.regexp_replace(F.regexp_replace(narrative, ONGOING, "| $1"), CONTRAST, " | $1")
+    kept = F.regexp_replace(clauses, DENIED, " | ")
+    return F.when(F.rlike(narrative, F.lit(NEGATION)), kept).otherwise(narrative)
+
+
 def words(narrative: Column) -> Column:
     """Words in text order; a sentence end is a word of its own, so no phrase spans it."""
     return F.regexp_extract_all(narrative, F.lit(WORD), 0)
@@ -165,6 +178,7 @@ def read_reports(reports: DataFrame, vocab: DataFrame) -> DataFrame:
     never shuffled: phrases are matched against the vocabulary by an equi-join on the phrase,
     and only matches and the facts row of each report meet in one aggregation on run_id.
     The phrase lengths to try are those the vocabulary holds, so long terms are found too.
+    What a text denies ("no fever") is no mention; stated numbers, dates and lists are read as written.
     Reports with the same run_id are copies of one another; their matches collapse in the
     map-side part of that aggregation.
     """
@@ -176,7 +190,7 @@ def read_reports(reports: DataFrame, vocab: DataFrame) -> DataFrame:
         stated_texts(F.col("narrative"), F.col("lowered")).alias("texts"),
     )
     tokenised = lowered.select(
-        "run_id", facts.alias("facts"), words(F.col("narrative")).alias("tokens")
+        "run_id", facts.alias("facts"), words(affirmed(F.col("narrative"))).alias("tokens")
     )
     # Entry 0 of a report is its facts row. It carries a phrase no text can hold, different for
     # each report, so that it survives the left join and spreads evenly if that is shuffled.

@@ -17,6 +17,7 @@ SERIOUSNESS_FLAGS = {
     "birth_defect": ("birth_defect", "congenital_anomaly"),
 }
 DATE_FORMAT = "MMddyyyy"
+LOAD_STAMPS = ("_ingested_at", "_load_batch_id")
 
 
 def symptoms_long(symptoms: DataFrame) -> DataFrame:
@@ -98,8 +99,8 @@ def gt_case(
     )
 
 
-def gt_seriousness(raw: DataFrame, null_as_false: bool = False) -> DataFrame:
-    """Seriousness per case with the list of criteria met, in form order."""
+def gt_seriousness(raw: DataFrame, null_as_false: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Seriousness per case with the list of criteria met, in form order, and the report columns ``keep``."""
     met = [
         F.when(F.col(name) == "Y", F.lit(criterion))
         for name, (_, criterion) in SERIOUSNESS_FLAGS.items()
@@ -108,9 +109,22 @@ def gt_seriousness(raw: DataFrame, null_as_false: bool = False) -> DataFrame:
         "vaers_id",
         any_flag(null_as_false).alias("serious"),
         F.array_compact(F.array(*met)).alias("criteria_met"),
+        *keep,
     )
 
 
+def one_per_case(truth: DataFrame, *columns: str) -> DataFrame:
+    """vaers_id and ``columns`` of one row per case: of the newest load where the load stamps were kept.
+
+    Without the stamps (LOAD_STAMPS) the loads cannot be told apart and the largest values count.
+    """
+    stamps = [c for c in LOAD_STAMPS if c in truth.columns]
+    if not stamps and len(columns) == 1:
+        return truth.groupBy("vaers_id").agg(F.max(columns[0]).alias(columns[0]))
+    facts = F.struct(*stamps, *columns)
+    return truth.groupBy("vaers_id").agg(F.max(facts).alias("newest")).select("vaers_id", *[f"newest.{c}" for c in columns])
+
+
 def latest_batch(raw: DataFrame, ids: tuple[str, ...] = ("vaers_id",)) -> DataFrame:
     """Rows of the newest load batch that holds each id (undoes repeated loads)."""
     newest = raw.groupBy(*ids).agg(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +13,7 @@ from safetylake import schemas as S
 from safetylake.operators import stages
 from safetylake.operators.grounding import candidate_lists, embed_terms, ground_topk
 from safetylake.operators.mentions import read_reports, stated_date, vocabulary, with_run_id
-from safetylake.plans.predict import Predictor, checked, predict
+from safetylake.plans.predict import USAGE, Predictor, checked, predict
 from safetylake.session import stage_table
 
 RULES_MODEL = "rules-v1"
@@ -36,11 +36,20 @@ class Reference:
     dictionary: DataFrame  # pt_term, meddra_version
     products: DataFrame  # vax_name
     scope: DataFrame  # vax_name, in_scope
+    phrases: DataFrame | None = None  # the vocabulary made of the three, where it is written already
+
+    def written(self) -> Reference:
+        """The same tables, dictionary and vocabulary written once for many runs."""
+        dictionary = stage_table(self.dictionary, "dictionary")
+        phrases = stage_table(vocabulary(dictionary, self.products, self.scope), "vocabulary")
+        return replace(self, dictionary=dictionary, phrases=phrases)
 
 
 def read(reports: DataFrame, ref: Reference, version: str) -> DataFrame:
     """Facts and mentions per report; the vocabulary is written first so its size is known."""
-    vocab = stage_table(vocabulary(ref.dictionary, ref.products, ref.scope), "vocabulary")
+    vocab = ref.phrases
+    if vocab is None:
+        vocab = stage_table(vocabulary(ref.dictionary, ref.products, ref.scope), "vocabulary")
     return read_reports(with_run_id(reports, version), vocab)
 
 
@@ -200,10 +209,16 @@ def store(runs: DataFrame) -> DataFrame:
     return stage_table(runs, "runs")
 
 
-def failed_runs(failures: DataFrame, version: str) -> DataFrame:
-    """Run records of the cases a predictor failed on, one per run."""
+def failed_runs(failures: DataFrame, version: str, models: dict[str, str] | None = None) -> DataFrame:
+    """Run records of the cases a predictor failed on, one per run, with the model of the stage that failed."""
+    model = F.lit(None).cast("string")
+    for stage in S.STAGES:
+        named = F.to_json(F.struct(_model(models, stage).alias(S.STAGE_MODEL_KEY[stage])))
+        model = F.when(F.col("stage") == stage, named).otherwise(model)
     return failures.groupBy("run_id", "vaers_id").agg(
-        F.lit(version).alias("pipeline_version"), F.lit("failed").alias("status")
+        F.lit(version).alias("pipeline_version"), F.max(model).alias("model_config"), F.lit("failed").alias("status"),
+        F.lit(None).cast("double").alias("overall_confidence"), F.lit(None).cast("boolean").alias("hitl_required"),
+        F.current_timestamp().alias("started_at"), F.current_timestamp().alias("finished_at"),
     )
 
 
@@ -232,10 +247,17 @@ def _model(models: dict[str, str] | None, stage: str) -> Column:
     return F.lit((models or {}).get(stage, RULES_MODEL))
 
 
+def _usage(runs: DataFrame, stage: str, name: str) -> Column:
+    """What a predictor used for a stage; 0 where the rules ran."""
+    column = f"usage_{stage}"
+    return F.col(f"{column}.{name}") if column in runs.columns else F.lit(0).cast("bigint")
+
+
 def step_events(runs: DataFrame, models: dict[str, str] | None = None) -> DataFrame:
     """One row per stage that ran, numbered 1..n in stage order, with input and output hashes.
 
-    ``models`` names the model of each stage that a predictor did; the others ran by rules.
+    ``models`` names the model of each stage that a predictor did; the others ran by rules, without
+    tokens and with no time of their own.
     """
     verbatims = F.array_join("extraction.case.events.verbatim", " | ")
     input_hash = {
@@ -255,15 +277,15 @@ def step_events(runs: DataFrame, models: dict[str, str] | None = None) -> DataFr
             input_hash[stage].alias("input_hash"),
             F.to_json(F.col(stage), JSON).alias("output"),
             F.col(CONFIDENCE[stage]).alias("confidence"),
+            *[_usage(runs, stage, name).alias(name) for name in USAGE],
         )
         for seq, stage in enumerate(_present(runs), 1)
     ]
-    zero = F.lit(0).cast("bigint")
     return runs.select("run_id", "vaers_id", F.inline(F.array(*entries))).select(
         F.sha2(F.concat_ws("|", "run_id", "seq"), 256).alias("event_id"),
         "run_id", "vaers_id", "seq", "agent_name", "agent_version",
         "model", "prompt_version", "input_hash", "output", "confidence",
-        zero.alias("input_tokens"), zero.alias("output_tokens"), zero.alias("latency_ms"),
+        *USAGE,
         F.current_timestamp().alias("created_at"),
     )
 

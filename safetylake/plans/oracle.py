@@ -221,6 +221,35 @@ BODIES.update({
         SELECT vaers_id, 'extraction' AS stage, CASE WHEN contains(narrative, 'fatal') THEN 'unreadable report'
                ELSE 'contract: confidence: out of range' END AS error
         FROM fx_narratives WHERE contains(narrative, 'fatal') OR contains(narrative, 'Life-threatening')""",
+    "predicted_run": f"""
+        SELECT * FROM (WITH told AS (
+          SELECT run_id, vaers_id, narrative, contains(narrative, 'Congenital') AS unread, contains(narrative, 'Left disabled') AS broken,
+                 regexp_extract(narrative, 'Events: ([^.]*)\\.', 1) AS listed,
+                 regexp_matches(narrative, 'Symptoms began \\d+ days') AS timed FROM read_cases),
+        events AS (
+          SELECT run_id, i, string_split(listed, '; ')[i] AS verbatim
+          FROM (SELECT run_id, listed, unnest(range(1, len(string_split(listed, '; ')) + 1)) AS i FROM told WHERE listed <> 'none stated')),
+        picked AS (
+          SELECT run_id, string_agg(pt_term, '|' ORDER BY i) AS coded_pts, count(*) FILTER (pt_term IS NULL) AS n_open
+          FROM events LEFT JOIN (FROM term_top WHERE rank = 1) USING (verbatim) GROUP BY run_id),
+        done AS (
+          SELECT told.*, coalesce(coded_pts, '') AS coded_pts, coded_pts IS NOT NULL AS serious, coalesce(n_open, 0) AS n_open,
+                 least(CASE WHEN coded_pts IS NULL THEN 0.7::DOUBLE ELSE 0.8::DOUBLE END, 0.85::DOUBLE) AS overall_confidence
+          FROM told LEFT JOIN picked USING (run_id) WHERE NOT unread AND NOT broken)
+        SELECT run_id, vaers_id, '{FULL}' AS pipeline_version,
+               '{{"triage_model":"stand-in-triage","extraction_model":"stand-in-extraction","coding_model":"stand-in-coding","assessment_model":"stand-in-assessment","narrative_model":"stand-in-narrative_qc"}}' AS model_config,
+               'completed' AS status, overall_confidence, overall_confidence < 0.75 OR n_open > 0 OR timed AS hitl_required,
+               coded_pts, serious, CASE WHEN timed THEN 'possible' ELSE 'unassessable' END AS category,
+               CASE WHEN serious THEN 'A serious case.' ELSE 'A case.' END AS narrative,
+               'stand-in-assessment,stand-in-coding,stand-in-extraction,stand-in-narrative_qc,stand-in-triage' AS models,
+               CAST(length('Report ' || vaers_id || ':') + 2 + length(narrative) AS BIGINT) AS triage_tokens,
+               CAST(NULL AS VARCHAR) AS stage, CAST(NULL AS VARCHAR) AS error
+        FROM done
+        UNION ALL
+        SELECT run_id, vaers_id, '{FULL}', CASE WHEN unread THEN '{{"triage_model":"stand-in-triage"}}' ELSE '{{"extraction_model":"stand-in-extraction"}}' END,
+               'failed', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, CASE WHEN unread THEN 'triage' ELSE 'extraction' END,
+               CASE WHEN unread THEN 'unreadable report' ELSE 'contract: confidence: out of range' END
+        FROM told WHERE unread OR broken)""",
     "active_versions": f"""
         SELECT d.*, v.deployed_at, TRUE AS active
         FROM dashboard d JOIN (SELECT pipeline_version, min(created_at) AS deployed_at FROM fx_output GROUP BY 1) v

@@ -24,6 +24,14 @@ DATE = r"(\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4})"
 AGE = r"(?i)(?:^|[^\d.])(\d+(?:\.\d+)?)[- ]?(years?|yrs?|months?|mos?|weeks?|wks?|days?)[- ]old\b"
 AGE_SHORT = r"(?i)(?:^|[^\d.])(\d+(?:\.\d+)?)[- ]?y(?:\. ?|/)?o\b"
 AGED = r"(?i)\baged?[: ]+(\d+(?:\.\d+)?)\b"
+NEGATION = r"(?i)\b(?:no|not|nor|without|never|denied|denies|denying)\b"
+DENIED = NEGATION + r"(?:[ \t]+[\p{L}\p{N}][\p{L}\p{N}''/-]*){1,4}"
+ONGOING = r"(?i)\bnot[ \t]+(?:yet[ \t]+)?(recovered|resolved|subsided|improved|gone|better)\b"
+CONTRAST = r"(?i)[ \t]+(but|however|although|except)\b"
+AFFIRMED = (
+    f"CASE WHEN regexp_matches(narrative, '{NEGATION}') THEN regexp_replace(regexp_replace(regexp_replace("
+    f"narrative, '{ONGOING}', '| \\1', 'g'), '{CONTRAST}', ' | \\1', 'g'), '{DENIED}', ' | ', 'g') ELSE narrative END"
+)
 ONSET_PATTERN = r"(?i)\bonset\b[^0-9.]*" + DATE
 
 
@@ -87,9 +95,9 @@ CASE_VIEWS: dict[str, str] = {
               UNION ALL SELECT phrase, kind, name, FALSE FROM (VALUES {WORDS}) w(phrase, kind, name))
         WHERE phrase <> '' GROUP BY phrase, kind""",
     "tokenised": r"""
-        SELECT vaers_id, string_split(trim(regexp_replace(regexp_replace(narrative, '[.;:!?]+(\s|$)', ' | ', 'g'),
+        SELECT vaers_id, string_split(trim(regexp_replace(regexp_replace(affirmed, '[.;:!?]+(\s|$)', ' | ', 'g'),
                    '[^\p{L}\p{N}|]+', ' ', 'g')), ' ') AS tokens
-        FROM fx_narratives""",
+        FROM (SELECT vaers_id, """ + AFFIRMED + """ AS affirmed FROM fx_narratives)""",
     "grams": """
         SELECT vaers_id, pos, array_to_string(tokens[pos:pos + n - 1], ' ') AS verbatim
         FROM (SELECT vaers_id, tokens, n, unnest(range(1, len(tokens) - n + 2)) AS pos

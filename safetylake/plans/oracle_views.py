@@ -153,6 +153,9 @@ VIEWS: dict[str, str] = {
                || CASE WHEN o_orderkey % 17 = 0 THEN ' Life-threatening reaction.' ELSE '' END
                || CASE WHEN o_orderkey % 29 = 0 THEN ' Left disabled.' ELSE '' END
                || CASE WHEN o_orderkey % 101 = 0 THEN ' Congenital anomaly noted.' ELSE '' END
+               || CASE WHEN o_orderkey % 23 = 0 THEN ' Was not admitted, no birth defect.' ELSE '' END
+               || CASE WHEN o_orderkey % 21 = 0 THEN ' Denied hot anvil but felt hot gear.' ELSE '' END
+               || CASE WHEN o_orderkey % 25 = 0 THEN ' Has not recovered from hot plate.' ELSE '' END
                || CASE WHEN o_orderkey % 6 = 0 THEN ' History: asthma; diabetes.' ELSE '' END
                || CASE WHEN o_orderkey % 8 = 0 THEN ' Allergies: penicillin.' ELSE '' END
                || CASE WHEN o_orderkey % 10 = 0 THEN ' Concomitant medications: aspirin; metformin.' ELSE '' END

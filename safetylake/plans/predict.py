@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -10,48 +11,55 @@ from pyspark.sql import functions as F
 
 from safetylake.operators.contracts import parse, validate
 
-# list of input texts -> list of JSON outputs, one per text
-Predictor = Callable[[list[str]], list[str]]
+# One JSON output, alone or with its input and output token counts
+Answer = str | tuple[str, int, int]
+# list of input texts -> list of answers, one per text
+Predictor = Callable[[list[str]], list[Answer]]
+USAGE = ["input_tokens", "output_tokens", "latency_ms"]
 
 
 def predict(inputs: DataFrame, predictor: Predictor) -> DataFrame:
-    """Run a predictor over (run_id, input_text): (run_id, output, error).
+    """Run a predictor over (run_id, input_text): (run_id, output, error and the columns of USAGE).
 
     Each Arrow batch is one call. If it fails, its rows are tried one by one, so a bad row
-    costs only itself: it comes back with its error and without an output.
+    costs only itself: it comes back with its error and without an output. A row's latency is its
+    share of the call's time; token counts are 0 unless the predictor gives them.
     """
 
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def call(texts):
+            begun = time.perf_counter()
+            answers = list(predictor(texts))
+            if len(answers) != len(texts):
+                raise ValueError("one output per input is required")
+            spent = round(1000 * (time.perf_counter() - begun) / len(texts))
+            parts = [a if isinstance(a, tuple) else (a, 0, 0) for a in answers]
+            return [(output, None, int(read), int(written), spent) for output, read, written in parts]
+
         def one(text):
             try:
-                (output,) = predictor([text])
-                return output, None
+                return call([text])[0]
             except Exception as error:  # noqa: BLE001 - any failure belongs to its row
-                return None, str(error) or type(error).__name__
+                return None, str(error) or type(error).__name__, 0, 0, 0
 
         for batch in batches:
+            if batch.empty:
+                continue
             texts = batch["input_text"].tolist()
             try:
-                results = [(output, None) for output in predictor(texts)]
-                if len(results) != len(texts):
-                    raise ValueError("one output per input is required")
+                results = call(texts)
             except Exception:  # noqa: BLE001
                 results = [one(text) for text in texts]
-            yield pd.DataFrame(
-                {
-                    "run_id": batch["run_id"].tolist(),
-                    "output": [r[0] for r in results],
-                    "error": [r[1] for r in results],
-                }
-            )
+            found = pd.DataFrame(results, columns=["output", "error", *USAGE])
+            yield found.assign(run_id=batch["run_id"].to_numpy())[["run_id", "output", "error", *USAGE]]
 
     return inputs.select("run_id", "input_text").mapInPandas(
-        apply, "run_id string, output string, error string"
+        apply, "run_id string, output string, error string, input_tokens long, output_tokens long, latency_ms long"
     )
 
 
 def checked(predicted: DataFrame, stage: str) -> tuple[DataFrame, DataFrame]:
-    """Split predictions into (run_id, stage struct) and failures (run_id, stage, error).
+    """Split predictions into (run_id, stage struct, usage_<stage>) and failures (run_id, stage, error).
 
     An output that breaks the stage contract fails like an error of the predictor.
     """
@@ -62,6 +70,7 @@ def checked(predicted: DataFrame, stage: str) -> tuple[DataFrame, DataFrame]:
             F.when(~F.col("valid"), F.concat(F.lit("contract: "), F.array_join("errors", "; "))),
         ),
     )
-    good = parse(judged.filter("error is null"), "output", stage).select("run_id", stage)
+    usage = F.struct(*USAGE).alias(f"usage_{stage}")
+    good = parse(judged.filter("error is null"), "output", stage).select("run_id", stage, usage)
     bad = judged.filter("error is not null").select("run_id", F.lit(stage).alias("stage"), "error")
     return good, bad

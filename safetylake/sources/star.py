@@ -293,6 +293,9 @@ def narratives(spark: SparkSession, sf_dir: str) -> DataFrame:
         say(k % 17 == 0, " Life-threatening reaction."),
         say(k % 29 == 0, " Left disabled."),
         say(k % 101 == 0, " Congenital anomaly noted."),
+        say(k % 23 == 0, " Was not admitted, no birth defect."),
+        say(k % 21 == 0, " Denied hot anvil but felt hot gear."),
+        say(k % 25 == 0, " Has not recovered from hot plate."),
         say(k % 6 == 0, " History: asthma; diabetes."),
         say(k % 8 == 0, " Allergies: penicillin."),
         say(k % 10 == 0, " Concomitant medications: aspirin; metformin."),

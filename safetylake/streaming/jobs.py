@@ -15,13 +15,15 @@ from safetylake.operators import surfaces
 from safetylake.operators.contracts import contract_errors
 from safetylake.operators.mentions import with_run_id
 from safetylake.plans import case_run
-from safetylake.session import scratch
+from safetylake.plans.predict import Predictor
+from safetylake.session import scratch, stage_table
 from safetylake.sources.tables import table_path
-from safetylake.streaming.sink import BATCH, stored_before, write_batch
+from safetylake.streaming.sink import BATCH, drop_batches, newest_batch, stored_before, write_batch
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 QUARANTINE = "agt_step_event_quarantine"
 STATUS = "case_status"
+STATUS_GENERATION = 10  # status batches between two that hold the state of all cases
 
 
 def file_stream(
@@ -102,23 +104,42 @@ def status_stream(steps: DataFrame, warehouse: str, checkpoint: str, **options)
 
     The state is one small row per case and lives in RocksDB on the executors; events are
     folded per task before they are shuffled, so a busy case does not gather in one task.
+    Every STATUS_GENERATION-th batch writes the state of all cases, so that readers need only the
+    batches from there on; the folders before the last such batch but one are removed.
     """
-    steps.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    spark = steps.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     changed = surfaces.fold_status(surfaces.status_events(steps))
+    path = table_path(warehouse, STATUS)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{table_path(warehouse, STATUS)}/{BATCH}={batch_id}")
+        rows = batch
+        if batch_id and batch_id % STATUS_GENERATION == 0:
+            before = _states(spark, path, batch_id - 1)
+            rows = _newest(before.unionByName(batch.withColumn(BATCH, F.lit(batch_id)))).drop(BATCH)
+        rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        if batch_id and batch_id % STATUS_GENERATION == 0:
+            drop_batches(spark, path, batch_id - STATUS_GENERATION)
 
     return start(changed, each_batch, checkpoint, mode="update", **options)
 
 
+def _states(spark: SparkSession, path: str, last: int) -> DataFrame:
+    """Stored states up to batch ``last``, from the newest batch on that holds all cases."""
+    first = last - last % STATUS_GENERATION
+    return spark.read.option("basePath", path).parquet(path).filter(F.col(BATCH).between(first, last))
+
+
+def _newest(states: DataFrame) -> DataFrame:
+    order = Window.partitionBy("vaers_id").orderBy(F.col(BATCH).desc())
+    return states.withColumn("rn", F.row_number().over(order)).filter("rn = 1").drop("rn")
+
+
 def read_status(spark: SparkSession, warehouse: str, threshold: float = S.HITL_THRESHOLD) -> DataFrame:
     """Current state per case: the newest batch that changed it."""
     path = table_path(warehouse, STATUS)
-    newest = Window.partitionBy("vaers_id").orderBy(F.col(BATCH).desc())
-    states = spark.read.option("basePath", path).parquet(path)
-    current = states.withColumn("rn", F.row_number().over(newest)).filter("rn = 1")
-    return surfaces.with_hitl(current.drop("rn", BATCH), threshold)
+    current = _newest(_states(spark, path, newest_batch(spark, path)))
+    return surfaces.with_hitl(current.drop(BATCH), threshold)
 
 
 def intake_stream(
@@ -131,6 +152,8 @@ def intake_stream(
     chosen: tuple[str, ...] = tuple(S.STAGES),
     version: str = S.PIPELINE_VERSION["full"],
     skip_known: bool = True,
+    predictors: dict[str, Predictor] | None = None,
+    models: dict[str, str] | None = None,
     **options,
 ) -> StreamingQuery:
     """Process new in-scope reports with a long enough narrative and append their records.
@@ -138,8 +161,12 @@ def intake_stream(
     ``reports`` holds vaers_id, narrative and received_date. The checkpoint takes each file
     once and a retried batch replaces its folders. A report sent again has the same run id and is
     stored once, at the price of reading the stored run ids; ``skip_known=False`` stores it again.
-    The work folders of a batch are removed when it is written.
+    Stages named in ``predictors`` are done by them; a case they fail on gets a failed run record and is
+    tried again when it is sent again. The reference tables are written once, before the stream starts;
+    the work folders of a batch are removed when it is written.
     """
+    ref = ref.written()
+    scope_cases = stage_table(scope_cases, "scope-cases")
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         wanted = batch.filter(F.char_length("narrative") >= min_chars).join(
@@ -147,12 +174,16 @@ def intake_stream(
         )
         if skip_known and batch_id > 0:
             stored = stored_before(batch.sparkSession, warehouse, "agt_run", batch_id)
-            known = with_run_id(wanted, version).join(stored.select("run_id"), "run_id", "left_anti")
-            wanted = known.drop("run_id")
+            done = stored.filter("status <> 'failed'").select("run_id")
+            wanted = with_run_id(wanted, version).join(done, "run_id", "left_anti").drop("run_id")
         with scratch(batch.sparkSession):
-            runs = case_run.store(case_run.run_cases(wanted, ref, chosen, version))
-            write_batch(case_run.step_events(runs), warehouse, "agt_step_event", batch_id)
+            runs, failures = case_run.run_with_predictors(wanted, ref, predictors or {}, chosen, version)
+            runs = case_run.store(runs)
+            records = case_run.run_record(runs, models)
+            if failures is not None:
+                records = records.unionByName(case_run.failed_runs(failures, version, models))
+            write_batch(case_run.step_events(runs, models), warehouse, "agt_step_event", batch_id)
             write_batch(case_run.case_output(runs), warehouse, "agt_case_output", batch_id)
-            write_batch(case_run.run_record(runs), warehouse, "agt_run", batch_id)
+            write_batch(records, warehouse, "agt_run", batch_id)
 
     return start(reports, each_batch, checkpoint, **options)

@@ -46,6 +46,25 @@ def write_batch(
     ).parquet(folder)
 
 
+def batch_folders(spark: SparkSession, path: str) -> dict[int, object]:
+    """The batch folders of a table by number."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in files.listStatus(root)]
+    return {int(p.getName().split("=")[1]): p for p in found if p.getName().startswith(f"{BATCH}=")}
+
+
+def newest_batch(spark: SparkSession, path: str) -> int:
+    return max(batch_folders(spark, path))
+
+
+def drop_batches(spark: SparkSession, path: str, before: int) -> None:
+    """Remove the batch folders below ``before``, whose rows a later batch holds."""
+    for number, folder in batch_folders(spark, path).items():
+        if number < before:
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def _stored(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
     path = table_path(warehouse, table)
     return spark.read.schema(_schema(table)).option("basePath", path).parquet(path)

@@ -293,3 +293,34 @@ def test_stages_after_predictors_read_their_outputs(spark, reports, ref):
     assert any("Candidate PTs: " in p for p in prompts) and len(rows) == reports.count()
     steps = case_run.step_events(done, {"triage": "mine"}).collect()
     assert {(s["agent_name"], s["model"]) for s in steps if s["agent_name"] in ("triage", "coding")} == {("triage", "mine"), ("coding", case_run.RULES_MODEL)}
+
+
+@pytest.mark.parametrize(
+    ("told", "left"),
+    [
+        ("No hospitalization, it was not fatal.", "| , it was | ."), ("She denied headache but felt chills.", "She | | but felt chills."),
+        ("Has not recovered from rash.", "Has | recovered from rash."), ("A nodule, noted.", "A nodule, noted."),
+        ("Never had fever or chills or any rash today", "| or any rash today"), (None, None), ("", ""),
+    ],
+)
+def test_denied_words_are_not_read(spark, told, left):
+    row = spark.createDataFrame([(told,)], "t string").select(mentions.affirmed(F.col("t")).alias("t")).first()
+    assert (row["t"] and " ".join(row["t"].split())) == left
+
+
+def test_denied_criteria_and_events(spark, ref):
+    told = "A 40-year-old man received X. No hospitalization; the outcome was not fatal. Denied rash."
+    reports = spark.createDataFrame([("1", told, None)], "vaers_id string, narrative string, received_date string")
+    row = case_run.run_cases(reports, ref).first()
+    assert row["triage"]["seriousness_screen"]["criteria_flagged"] == []
+    assert row["extraction"]["case"]["events"] == []
+
+
+def test_predictors_tell_what_they_used(spark):
+    def counted(texts):
+        return [('{"result":{"coded":[],"uncoded":[]},"confidence":1}', len(t), 3) for t in texts]
+
+    inputs = spark.createDataFrame([("r", "four")], "run_id string, input_text string")
+    good, _ = checked(predict(inputs, counted), "coding")
+    used = good.first()["usage_coding"]
+    assert (used["input_tokens"], used["output_tokens"]) == (4, 3) and used["latency_ms"] >= 0

@@ -14,7 +14,7 @@ QUICK = [
     "eval_dashboard", "extraction_scorecard", "coding_prf", "product_recall", "signal_metrics",
     "signal_query", "screen_requests", "review_queue", "case_full", "open_cases", "csv_ingest",
     "validate_contract", "triage", "extract_case", "code_events", "ground_topk", "step_events",
-    "run_two_stage", "failed_cases", "stream_audit", "stream_case_status",
+    "run_two_stage", "failed_cases", "predicted_run", "stream_audit", "stream_case_status",
 ]
 NAMES = list(catalog.QUERIES) if os.environ.get("TEST_ALL") else QUICK
 

@@ -161,3 +161,13 @@ def test_repeated_runs_keep_sound_scores(spark, rows):
         ("r1", 1, 0, 2, False), ("r1", 2, 1, 1, True), ("r2", 0, 0, 1, None),
     ]
     assert found.filter("fn < 0 or recall > 1").count() == 0
+
+
+def test_newest_truth_counts(spark):
+    reports = spark.createDataFrame(
+        [("1", "Y", "M", "b1", 1), ("1", "N", "F", "b2", 2)], "vaers_id string, died string, sex string, _load_batch_id string, _ingested_at long"
+    ).select("*", *[F.lit("N").alias(c) for c in ("l_threat", "hospital", "disable", "birth_defect")])
+    facts = truth.gt_seriousness(reports, keep=truth.LOAD_STAMPS)
+    assert truth.one_per_case(facts, "serious").first()["serious"] is False
+    assert truth.one_per_case(reports, "sex").first()["sex"] == "F"
+    assert truth.one_per_case(reports.select("vaers_id", "sex"), "sex").first()["sex"] == "M"

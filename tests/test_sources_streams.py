@@ -1,6 +1,7 @@
 """Report files, tables and streams."""
 
 import datetime
+import json
 import os
 import random
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from safetylake import session
 from safetylake.operators import surfaces
-from safetylake.plans import predict
+from safetylake.plans import case_run, predict
 from safetylake.sources import reports, tables
 from safetylake.streaming import jobs, sink
 
@@ -247,3 +248,43 @@ def test_outputs_must_keep_their_contract(spark):
     rows = [("a", "1", "triage", 0.9, good, 1), ("b", "1", "triage", 0.9, '{"confidence":7}', 1), ("c", "1", "coding", 0.9, "{}", 1), ("d", "1", "coding", 0.9, None, 1)]
     judged = {r["event_id"]: r["sound"] for r in jobs.step_is_sound(steps(spark, rows)).collect()}
     assert judged == {"a": True, "b": False, "c": False, "d": False}
+
+
+def test_status_folders_are_compacted(spark, tmp_path, rows, monkeypatch):
+    monkeypatch.setattr(jobs, "STATUS_GENERATION", 2)
+    source, warehouse, checkpoint = str(tmp_path / "in"), str(tmp_path / "wh"), str(tmp_path / "cp")
+    data = [(f"e{n}", str(n % 3 if n < 6 else 7), "triage", 0.9, "{}", n + 1) for n in range(8)]
+    for step in data:
+        steps(spark, [step]).coalesce(1).write.mode("append").parquet(source)
+        stream = jobs.file_stream(spark, source, steps(spark, data).schema, files_per_batch=1)
+        jobs.status_stream(stream, warehouse, checkpoint).awaitTermination()
+    kept = sink.batch_folders(spark, f"{warehouse}/{jobs.STATUS}")
+    assert sorted(kept) == [4, 5, 6, 7]
+    batch = surfaces.case_status(steps(spark, data))
+    assert rows(jobs.read_status(spark, warehouse), *batch.columns) == rows(batch)
+
+
+def test_intake_records_failures_and_tries_them_again(spark, tmp_path):
+    dictionary = spark.createDataFrame([("Rash", "1")], "pt_term string, meddra_version string")
+    products = spark.createDataFrame([("X",)], "vax_name string")
+    ref = case_run.Reference(dictionary, products, spark.createDataFrame([("X", True)], "vax_name string, in_scope boolean"))
+    cases = spark.createDataFrame([("1",), ("2",)], "vaers_id string")
+    told = [("1", "Rash after X", "01012024"), ("2", "unreadable", "01012024")]
+    source, warehouse, checkpoint = str(tmp_path / "in"), str(tmp_path / "wh"), str(tmp_path / "cp")
+
+    def reader(fails):
+        def triage(texts):
+            if fails and any("unreadable" in t for t in texts):
+                raise ValueError("no text")
+            screen = {"serious": False, "criteria_flagged": []}
+            return [json.dumps({"valid": True, "missing_criteria": [], "seriousness_screen": screen, "priority": "standard", "confidence": 0.9}) for _ in texts]
+
+        return triage
+
+    for fails in (True, False, False):
+        reports_now = spark.createDataFrame(told, "vaers_id string, narrative string, received_date string")
+        reports_now.coalesce(1).write.mode("append").parquet(source)
+        stream = jobs.file_stream(spark, source, reports_now.schema)
+        jobs.intake_stream(stream, ref, cases, warehouse, checkpoint, min_chars=1, predictors={"triage": reader(fails)}, models={"triage": "m"}).awaitTermination()
+    stored = sink.read_stream_table(spark, warehouse, "agt_run").collect()
+    assert sorted((r["vaers_id"], r["status"]) for r in stored) == [("1", "completed"), ("2", "completed"), ("2", "failed")]
