@@ -170,6 +170,7 @@ def run_with_predictors(
         runs = stages.triage(runs, minor_terms)
     runs = runs.drop("events", "products")
     if {"triage", "extraction"} & set(predictors):
+        runs = stage_table(runs, "rules")  # predictions and failures join it: the text is read once
         prompts = with_run_id(reports, version).select(
             "run_id", report_prompt(F.col("vaers_id"), F.col("narrative")).alias("input_text")
         ).dropDuplicates(["run_id"])
