@@ -24,6 +24,7 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -34,6 +35,7 @@ from safetylake.llm import boosting
 from safetylake.llm.common import boxed, hash_sample
 
 SAMPLE = 200  # pages whose text the composed pages are made of, about as many
+SAMPLE_PIECES, PIECE = 40, 600  # pieces of one sampled page, chosen by a hash among all of it, and their characters
 COMPOSED = 400  # composed pages the trees are fitted on
 
 # Fixed values of HTML: elements without content, with raw text, that are blocks, and implied ends.
@@ -398,9 +400,14 @@ def extract_many(pages: list[str], trees: boosting.Trees) -> list[str]:
 def sample_texts(pages: DataFrame, sample: int = SAMPLE) -> list[str]:
     """Text blocks of a bounded sample of pages, as the executors cut them."""
 
+    def pieces(page: str) -> list[str]:
+        blocks = {n.text for n in walk(build(page)) if n.tag == "#text"}
+        cut = {b[i : i + PIECE] for b in blocks for i in range(0, len(b), PIECE)}
+        return sorted(cut, key=lambda t: (zlib.crc32(t.encode("utf-8", "replace")), t))[:SAMPLE_PIECES]
+
     @F.pandas_udf("array<string>")
     def blocks(found: pd.Series) -> pd.Series:
-        return found.map(lambda p: [n.text[:600] for n in walk(build(p)) if n.tag == "#text"][:40])
+        return found.map(pieces)
 
     some = pages.select("page_id", F.col("html")).where("html is not null and page_id is not null")
     picked = hash_sample(some, "page_id", sample, some.count()).select(F.explode(blocks("html")).alias("t")).distinct()

@@ -17,6 +17,7 @@ documents travel in a struct, so their names cannot clash.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,7 +29,7 @@ from safetylake.llm.common import boxed, held_out, text_of
 from safetylake.llm.labelled import training_rows
 
 SAMPLE = 4000  # labelled documents the chain is fitted on, about as many
-SAMPLE_LINES = 300  # lines of one document that fitting looks at; scoring reads all lines
+SAMPLE_LINES = 300  # consecutive lines that fitting looks at in one document, from a hashed line on; scoring reads all
 THRESHOLD = 0.3
 
 # Classes of bytes; bytes beyond ASCII are parts of letters.
@@ -223,13 +224,19 @@ def fit_chain(texts: list[tuple[np.ndarray, np.ndarray]], labels: list[int]) ->
     return Chain(mean, spread, weights, moves, (float(a), float(b)), share)
 
 
+def sampled_lines(text: str, own: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """At most SAMPLE_LINES consecutive lines of a document, their place chosen by a hash of the text."""
+    start = zlib.crc32(text.encode("utf-8", "replace")) % max(len(own) - SAMPLE_LINES + 1, 1)
+    return own[start : start + SAMPLE_LINES], length[start : start + SAMPLE_LINES]
+
+
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
     """The chain fitted on a bounded sample; line features are made by the executors."""
 
     @F.pandas_udf("own array<double>, length array<double>")
     def features(texts: pd.Series) -> pd.DataFrame:
-        made = [line_features(t) for t in texts]
-        return pd.DataFrame({"own": [o[:SAMPLE_LINES].ravel() for o, _ in made], "length": [n[:SAMPLE_LINES] for _, n in made]})
+        made = [sampled_lines(t, *line_features(t)) for t in texts]
+        return pd.DataFrame({"own": [o.ravel() for o, _ in made], "length": [n for _, n in made]})
 
     rows = training_rows(docs, labels, "quality", sample).where(F.length(F.trim("text")) > 0)
     found = sorted(rows.select(features("text").alias("f"), "label").collect(), key=lambda r: (r["label"], r["f"]["own"]))

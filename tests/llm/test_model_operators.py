@@ -246,3 +246,15 @@ def test_pipeline_stages_on_odd_rows(spark, odd, none):
         for _, stage in corpus_pipeline.STAGES:
             docs = corpus_pipeline.stage_table(stage(spark, docs, "/root/testdata/sf0.001"), "odd")
         assert (docs.count() > 0) == (frame is odd)
+
+
+def test_sampled_lines_are_a_run_of_the_whole_text():
+    starts = set()
+    for n in range(40):
+        text = "\n".join(f"line {n} {i}" for i in range(1000))
+        own, length = quality.line_features(text)
+        some, sizes = quality.sampled_lines(text, np.arange(1000)[:, None], length)
+        assert len(some) == len(sizes) == quality.SAMPLE_LINES and (np.diff(some.ravel()) == 1).all()
+        starts.add(int(some[0, 0]))
+    assert min(starts) < 200 and max(starts) > 500
+    assert len(quality.sampled_lines("a", *quality.line_features("a"))[0]) == 1
