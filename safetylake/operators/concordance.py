@@ -73,7 +73,7 @@ def contained_names(names: DataFrame) -> DataFrame:
     equi-join on that run and are then compared. A name gives as many rows as it has characters, and
     common runs ("COV") bring no names together. Names shorter than a run are matched as they are.
     """
-    listed = names.distinct()
+    listed = stage_table(names.distinct(), "names")  # few beside the cases, and read several times
     size = F.length("name")
     sizes = F.array(*[F.lit(n) for n in range(1, GRAM + 1)])
     # runs of 1 to GRAM characters: one row per start and length, never an array of substrings
