@@ -218,21 +218,21 @@ CASE_VIEWS: dict[str, str] = {
                CAST(len(coded) AS BIGINT) AS n_coded, CAST(len(uncoded) AS BIGINT) AS n_uncoded, serious
         FROM full_cases""",
     "stage_rows": """
-        SELECT run_id, vaers_id, 1 AS seq, 'triage' AS agent_name, 'triage-v1' AS prompt_version, sha256(narrative) AS input_hash,
+        SELECT run_id, vaers_id, 1 AS seq, 'triage' AS agent_name, 'triage-rules-1' AS prompt_version, sha256(narrative) AS input_hash,
                CAST(to_json({'valid': valid, 'missing_criteria': missing,
                     'seriousness_screen': {'serious': serious, 'criteria_flagged': criteria}, 'priority': priority,
                     'confidence': triage_confidence, 'rationale': triage_rationale}) AS VARCHAR) AS output, triage_confidence AS confidence
         FROM full_cases
-        UNION ALL SELECT run_id, vaers_id, 2, 'extraction', 'extract-v1', sha256(narrative),
+        UNION ALL SELECT run_id, vaers_id, 2, 'extraction', 'extraction-rules-1', sha256(narrative),
                CAST(to_json({'case': case_struct, 'confidence': extraction_confidence}) AS VARCHAR), extraction_confidence FROM full_cases
-        UNION ALL SELECT run_id, vaers_id, 3, 'coding', 'code-v1', sha256(array_to_string(list_transform(events, lambda e: e.verbatim), ' | ')),
+        UNION ALL SELECT run_id, vaers_id, 3, 'coding', 'coding-rules-1', sha256(array_to_string(list_transform(events, lambda e: e.verbatim), ' | ')),
                CAST(to_json({'result': {'coded': coded, 'uncoded': uncoded}, 'confidence': coding_confidence}) AS VARCHAR), coding_confidence
         FROM full_cases
-        UNION ALL SELECT run_id, vaers_id, 4, 'assessment', 'assess-v1', sha256(vaers_id),
+        UNION ALL SELECT run_id, vaers_id, 4, 'assessment', 'assessment-rules-1', sha256(vaers_id),
                CAST(to_json({'seriousness': {'serious': serious, 'criteria_met': criteria},
                     'causality': {'method': 'WHO-UMC', 'category': category, 'score': NULL::DOUBLE, 'rationale': causality_rationale},
                     'confidence': assessment_confidence}) AS VARCHAR), assessment_confidence FROM full_cases
-        UNION ALL SELECT run_id, vaers_id, 5, 'narrative_qc', 'narrative-v1', sha256(vaers_id),
+        UNION ALL SELECT run_id, vaers_id, 5, 'narrative_qc', 'narrative-rules-1', sha256(vaers_id),
                CAST(to_json({'narrative': written, 'completeness': {'completeness_score': completeness_score, 'gaps': gaps},
                     'qc_flags': flags, 'overall_confidence': qc_confidence, 'hitl_recommended': recommended}) AS VARCHAR), qc_confidence
         FROM full_cases""",
