@@ -291,47 +291,64 @@ def _likely_links(classes: DataFrame) -> DataFrame:
 # --- pass 3: confirmed links inside groups -------------------------------------------------------------
 
 
-def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """Whether two sorted distinct sets share ``percent`` of their union."""
-    n, m = len(a), len(b)
-    if 100 * min(n, m) < percent * max(n, m):
-        return False
-    both = np.concatenate([a, b])
-    both.sort(kind="stable")
-    common = int(np.count_nonzero(both[1:] == both[:-1]))
-    return 100 * common >= percent * (n + m - common)
+class Block:
+    """Sets that others are compared with; what a set shares with all of them is counted at once."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(s) for s in sets], dtype=np.int64)
+        both = np.concatenate(sets)
+        order = np.argsort(both, kind="stable")
+        self.shingles = both[order]
+        self.owner = np.repeat(np.arange(len(sets)), self.sizes)[order]
+
+    def linked(self, found: np.ndarray, percent: int) -> np.ndarray:
+        """Places of the sets that share ``percent`` of the union with ``found``."""
+        start, end = (np.searchsorted(self.shingles, found, side) for side in ("left", "right"))
+        times = end - start
+        at = np.repeat(start - np.cumsum(times) + times, times) + np.arange(times.sum())
+        common = np.bincount(self.owner[at], minlength=len(self.sizes))
+        return np.flatnonzero(100 * common >= percent * (self.sizes + len(found) - common))
 
 
 class Settling:
-    """Confirmed links of one group, added set by set; memory is ``most`` sets and those linked to none."""
+    """Confirmed links of one place: a spanning forest of all pairs, whatever their order.
+
+    Rows are taken block by block; a block is compared with itself and with every later row, also with those
+    that are linked already, unless row and block are one component.
+    """
 
     def __init__(self, percent: int, most: int):
         self.percent, self.most = percent, most
-        self.block: list[tuple[int, np.ndarray, np.ndarray]] = []
-        self.later: list[tuple[int, np.ndarray, np.ndarray]] = []
+        self.rows: list[tuple[int, np.ndarray]] = []
         self.union = Union()
         self.links: list[tuple[int, int]] = []
 
-    def add(self, key: int, found: np.ndarray, sketch: np.ndarray) -> None:
-        met = False
-        for other, other_set, other_sketch in self.block:
-            if self.union.root(key) == self.union.root(other):
-                met = True
-                continue
-            if np.count_nonzero(sketch == other_sketch) >= ALIKE and linked(found, other_set, self.percent):
-                self.union.join(other, key)
-                self.links.append((key, other))
-                met = True
-        if len(self.block) < self.most:
-            self.block.append((key, found, sketch))
-        elif not met:
-            self.later.append((key, found, sketch))
+    def add(self, key: int, found: np.ndarray) -> None:
+        self.rows.append((key, found))
+
+    def _link(self, a: int, b: int) -> None:
+        if self.union.join(a, b):
+            self.links.append((b, a))
 
     def finish(self) -> list[tuple[int, int]]:
-        while self.later:
-            todo, self.block, self.later = self.later, [], []
-            for item in todo:
-                self.add(*item)
+        rows, root, at = self.rows, self.union.root, 0
+        while len(rows) - at > 1:
+            upto, size = at, 0
+            while upto < len(rows) and upto - at < self.most and (upto == at or size + len(rows[upto][1]) <= TOGETHER_SIZE):
+                size += len(rows[upto][1])
+                upto += 1
+            keys = [key for key, _ in rows[at:upto]]
+            block = Block([found for _, found in rows[at:upto]])
+            for i in range(at + 1, len(rows)):
+                key, found = rows[i]
+                mine, others = root(key), keys[: i - at]
+                if any(root(other) != mine for other in others):
+                    for j in block.linked(found, self.percent):
+                        if j < len(others):
+                            self._link(others[j], key)
+            at = upto
+            if len({root(key) for key, _ in rows}) == 1:
+                break
         return self.links
 
 
@@ -379,7 +396,7 @@ def _confirmed_links(rows: DataFrame, words: int, percent: int) -> DataFrame:
                 if key_of(class_of(found)) != key:
                     continue  # another text under the same id
                 seen = key
-                group.add(key, found, _sketch(minwise(found)))
+                group.add(key, found)
         yield from out(group.finish())
 
     return rows.mapInArrow(run, "u long, v long")

@@ -222,6 +222,36 @@ def test_large_groups_of_copies_stay_linear(spark):
     assert near_dup.deduplicated(docs.selectExpr("*", "1 n_chars"), words=2).count() == sum(a == c for a, _, c in plain)
 
 
+def keyed(text, width=2):
+    return near_dup.key_of(near_dup.class_of(near_dup.shingles(text, width)))
+
+
+def star(rng, copies):
+    """Keyed texts: an original that sorts last, and copies that are like it but not like each other."""
+    while True:
+        words = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        out = {}
+        for i in range(copies):
+            text = list(words)
+            for n, at in enumerate(rng.sample(range(0, 200, 2), 9)):
+                text[at] = f"n{i}x{n}"
+            out[keyed(" ".join(text))] = " ".join(text)
+        if sum(key < keyed(" ".join(words)) for key in out) > 2 * near_dup.TOGETHER:
+            return keyed(" ".join(words)), " ".join(words), out
+
+
+def test_copies_of_one_original_are_one_group(spark):
+    original, text, copies = star(random.Random(12), 3000)
+    a, b = (near_dup.shingles(t, 2) for t in list(copies.values())[:2])
+    whole = near_dup.shingles(text, 2)
+    like = lambda x, y: len(np.intersect1d(x, y)) / len(np.union1d(x, y))
+    assert like(a, whole) >= 0.8 > like(a, b)
+    rows = [(1, key, t) for key, t in [*copies.items(), (original, text)]]
+    links = near_dup._confirmed_links(spark.createDataFrame(rows, "place long, key long, text string"), 2, 80).collect()
+    union = near_dup.Union()
+    assert all(union.join(r.u, r.v) for r in links) and len(links) == 3000
+
+
 def test_near_duplicates_of_nothing(none):
     assert near_dup.op9_near_dup(none).count() == 0
     assert near_dup.deduplicated(none).columns == none.columns
