@@ -1,9 +1,10 @@
 """Secret scans: fixed patterns, and a randomness test battery with false-discovery control.
 
 The patterns (assign, access, hex) give the base spans. The battery adds spans of kind ``random``: every run
-of 20 or more token characters is a candidate, its encoding is inferred from its alphabet, and three tests
-are taken: chi-squared uniformity over that alphabet, runs of character classes, and serial correlation of
-successive symbols. Two things are asked of a candidate:
+of 20 or more token characters is a candidate ("=" is only padding at its end, so a value after a name is a
+run of its own), its encoding is inferred from its alphabet, and three tests are taken: chi-squared
+uniformity over that alphabet, runs of character classes, and serial correlation of successive symbols.
+Two things are asked of a candidate:
 
 * ordinary text would hardly look that even and that mixed: the tail probabilities of the chi-squared and
   the runs statistic under a model of words are combined (Fisher) into ``p``; the largest p that keeps the
@@ -42,8 +43,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 
 SHORTEST = 20
-CANDIDATE = re.compile(rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{SHORTEST},}}")
-POSSIBLE = rf"(?i:{KEYWORD})|AKIA|[0-9a-f]{{32}}|[A-Za-z0-9+/_=-]{{{SHORTEST}}}"
+# "=" is padding at the end of a run; elsewhere it parts a name from its value.
+LONG_RUN = rf"[A-Za-z0-9+/_-]{{{SHORTEST}}}"
+CANDIDATE = re.compile(rf"(?<![A-Za-z0-9+/_-]){LONG_RUN}[A-Za-z0-9+/_-]*(?:={{1,6}}(?![A-Za-z0-9+/_=-]))?")
+POSSIBLE = rf"(?i:{KEYWORD})|AKIA|[0-9a-f]{{32}}|{LONG_RUN}"
 BANDS = (20, 32, 64)
 BINS_PER_DECADE, LAST_BIN = 10, 400
 RATE, FLOOR = 0.01, 1e-4
@@ -117,36 +120,59 @@ def battery(text: str) -> tuple[float, float]:
     return _fisher([words_p, words_runs]), _fisher([even_p, even_runs, even_serial])
 
 
+def base_spans(text: str) -> list[Span]:
+    spans = [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if len(m[1]) >= 8]
+    spans += [("access", m.start(), m.end()) for m in ACCESS.finditer(text)]
+    return spans + [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
+
+
+def outside(start: int, end: int, spans: list[Span]) -> Iterator[tuple[int, int]]:
+    """What spans sorted by start leave of start..end."""
+    for _, s, e in spans:
+        if start < e and s < end:
+            if s > start:
+                yield start, s
+            start = e
+    if start < end:
+        yield start, end
+
+
+def runs(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of every candidate: a run, then the long parts of it outside base spans."""
+    base = None
+    for m in CANDIDATE.finditer(text):
+        yield m.span()
+        base = sorted(base_spans(text), key=lambda s: s[1]) if base is None else base
+        parts = outside(*m.span(), base)
+        yield from ((s, e) for s, e in parts if (s, e) != m.span() and len(text[s:e].rstrip("=")) >= SHORTEST)
+
+
+def band_of(start: int, end: int) -> int:
+    return sum(end - start >= b for b in BANDS) - 1
+
+
 def candidates(text: str) -> Iterator[tuple[int, int, int, int]]:
     """(start, end, band, bin) of runs that a uniform source could have made; bin counts -log10 p."""
-    for m in CANDIDATE.finditer(text):
-        words, even = battery(m[0])
+    for start, end in runs(text):
+        words, even = battery(text[start:end])
         if even >= FLOOR:
-            band = sum(m.end() - m.start() >= b for b in BANDS) - 1
-            yield m.start(), m.end(), band, min(LAST_BIN, int(-math.log10(words) * BINS_PER_DECADE))
+            yield start, end, band_of(start, end), min(LAST_BIN, int(-math.log10(words) * BINS_PER_DECADE))
 
 
 def tested(text: str) -> list[int]:
     """Band of every candidate, whatever its tests say: the number of tests taken."""
-    return [sum(m.end() - m.start() >= b for b in BANDS) - 1 for m in CANDIDATE.finditer(text)]
-
-
-def base_spans(text: str) -> list[Span]:
-    spans = [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if len(m[1]) >= 8]
-    spans += [("access", m.start(), m.end()) for m in ACCESS.finditer(text)]
-    return spans + [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
+    return [band_of(start, end) for start, end in runs(text)]
 
 
 def spans_of(text: str, least_bin: dict[int, int]) -> tuple[list[Span], list[Span]]:
-    """(base spans, all spans), sorted by start and kind; an added span overlaps no base span."""
+    """(base spans, all spans), sorted by start and kind; an added span may overlap base spans, but not lie in them."""
     order = lambda s: (s[1], KINDS.index(s[0]))
     base = sorted(base_spans(text), key=order)
-    added = [
-        ("random", start, end)
-        for start, end, band, bin_ in candidates(text)
-        if bin_ >= least_bin[band] and not any(start < e and s < end for _, s, e in base)
-    ]
-    return base, sorted(base + added, key=order)
+    spans = base
+    for start, end, band, bin_ in candidates(text):
+        if bin_ >= least_bin[band] and any(outside(start, end, spans)):
+            spans = sorted([*spans, ("random", start, end)], key=order)
+    return base, spans
 
 
 def _possible(text: Column) -> Column:
@@ -164,7 +190,7 @@ def least_bins(docs: DataFrame, rate: float = RATE) -> dict[int, int]:
 
     found = (
         docs.select(_possible(text_of()).alias("text"))
-        .where(F.col("text").rlike(rf"[A-Za-z0-9+/_=-]{{{SHORTEST}}}"))
+        .where(F.col("text").rlike(LONG_RUN))
         .select(F.explode(counted("text")).alias("code"))
         .groupBy("code")
         .count()

@@ -151,6 +151,25 @@ def test_added_spans_and_redaction(spark):
     assert clean[0].text == "the words and [SECRET] between them" and clean[0].n_chars == len(clean[0].text)
 
 
+def test_values_after_names_and_runs_over_base_spans(spark):
+    rng = random.Random(8)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    rows, want = [], {}
+    for i in range(30):
+        key, access = "".join(rng.choices(letters, k=48)), "AKIA" + "".join(rng.choices(letters[:26], k=16))
+        for n, (head, secret, tail) in enumerate([("a session=", key, " b"), ("get /x?sig=", key, "&y=1"), ("AccountKey=", f"{key[:46]}==", " ."), ("see ", f"{access}/{key[:40]}", "")]):
+            rows.append((10 * i + n, head + secret + tail, "en", "s", 0))
+            want[10 * i + n] = (f"random:{len(head)}:{len(head) + len(secret)}", f"{head}[SECRET]{tail}")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    spans = {r.doc_id: r.spans.split(",") for r in secret_scan.op4_secret_scan(docs).collect()}
+    clean = {r.doc_id: r.text for r in secret_scan.redacted(docs).collect()}
+    for n in range(4):
+        assert sum(want[10 * i + n][0] in spans[10 * i + n] and clean[10 * i + n] == want[10 * i + n][1] for i in range(30)) >= 27
+    assert all(any(s.startswith("access:4:") for s in spans[10 * i + 3]) for i in range(30))
+    inside = "".join(rng.choices(letters, k=48))
+    assert secret_scan.spans_of(f"token={inside}", {0: 0, 1: 0, 2: 0})[1] == [("assign", 0, 54)]
+
+
 def test_secrets_against_plain_version(small, odd, none):
     for docs in (small, odd):
         found = secret_scan.op4_secret_scan(docs).collect()
