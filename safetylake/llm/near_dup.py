@@ -11,11 +11,13 @@ Rows of a node meet in one task, sorted. Small nodes are compared exhaustively o
 spanning forest of likely links; in larger nodes rows are compared with a block of pivots, and those that
 match none go on among themselves. The likely links make candidate groups. Groups are then settled on full
 sets: every link is confirmed on the sets themselves, pairs already connected are skipped, and again only
-a forest is kept, so nothing grows with the square of a group. Groups too large for one task are dealt
-by tree nodes instead. Confirmed links give the components.
+a forest is kept, so copies of one document cost time in proportion to their number. Groups too large for one
+task are dealt by tree nodes instead, and a node with too many rows by pairs of chunks: only rows that its
+first block leaves unconnected are compared again, so work grows with the square of those rows alone.
+Confirmed links give the components.
 
-A task holds one batch, one node's pivots and what matches none of them; no group, list of links or label
-comes to the driver.
+A task holds one batch, one node's pivots and what matches none of them, or two chunks of sets; no group, list
+of links or label comes to the driver.
 
 Defined results: null and empty texts, and texts of white space alone, have an empty set, are linked with
 nothing and are their own component; fewer words than a shingle make one shingle; repeated rows are in one
@@ -47,6 +49,7 @@ ALIKE = 17  # equal sketch bytes of a likely link; four standard deviations belo
 PIVOTS = 64
 TOGETHER = 512  # classes of a group that one task settles exhaustively
 TOGETHER_SIZE = 2_000_000  # and their shingles
+CHUNK, CHUNK_SIZE = 4096, 8_000_000  # classes that one task holds at once, and their shingles
 
 U = np.uint64
 _RNG = np.random.default_rng(20)
@@ -314,40 +317,77 @@ class Settling:
     """Confirmed links of one place: a spanning forest of all pairs, whatever their order.
 
     Rows are taken block by block; a block is compared with itself and with every later row, also with those
-    that are linked already, unless row and block are one component.
+    that are linked already, unless row and block are one component. A place beyond ``bounds`` (rows, shingles)
+    is only compared with its first block here; its other rows are given back in ``rest``.
     """
 
-    def __init__(self, percent: int, most: int):
-        self.percent, self.most = percent, most
+    def __init__(self, percent: int, most: int, bounds: tuple[float, float] = (math.inf, math.inf)):
+        self.percent, self.most, self.bounds = percent, most, bounds
         self.rows: list[tuple[int, np.ndarray]] = []
+        self.size = 0
         self.union = Union()
         self.links: list[tuple[int, int]] = []
-
-    def add(self, key: int, found: np.ndarray) -> None:
+        self.first: tuple[list[int], Block] | None = None
+        self.rest: list[tuple[int, int]] = []
+
+    def add(self, key: int, found: np.ndarray, component: int | None = None) -> None:
+        if component is not None:
+            self.union.join(component, key)
+        if self.first:
+            self._meet_first(key, found)
+            return
         self.rows.append((key, found))
+        self.size += len(found)
+        if len(self.rows) > self.bounds[0] or self.size > self.bounds[1]:
+            upto = self._block_end(0)
+            if upto < len(self.rows):
+                rows, self.rows = self.rows, self.rows[:upto]
+                self._settle(0, upto)
+                self.first = [key for key, _ in self.rows], Block([found for _, found in self.rows])
+                self.rows = []
+                for row in rows[upto:]:
+                    self._meet_first(*row)
+
+    def _meet_first(self, key: int, found: np.ndarray) -> None:
+        """Links of a row to the first block; the row itself is not kept."""
+        keys, block = self.first
+        met = {self.union.root(keys[j]): keys[j] for j in block.linked(found, self.percent)}
+        self.links += [(key, other) for other in met.values()]
+        for other in met:
+            self.union.join(next(iter(met)), other)
+        self.rest.append((key, len(found)))
 
     def _link(self, a: int, b: int) -> None:
         if self.union.join(a, b):
             self.links.append((b, a))
 
+    def _block_end(self, at: int) -> int:
+        upto, size = at, 0
+        while upto < len(self.rows) and upto - at < self.most and (upto == at or size + len(self.rows[upto][1]) <= TOGETHER_SIZE):
+            size += len(self.rows[upto][1])
+            upto += 1
+        return upto
+
+    def _settle(self, at: int, upto: int) -> None:
+        """Compares the block from ``at`` to ``upto`` with itself and all later rows."""
+        root = self.union.root
+        keys = [key for key, _ in self.rows[at:upto]]
+        block = Block([found for _, found in self.rows[at:upto]])
+        for i in range(at + 1, len(self.rows)):
+            key, found = self.rows[i]
+            mine, others = root(key), keys[: i - at]
+            if any(root(other) != mine for other in others):
+                for j in block.linked(found, self.percent):
+                    if j < len(others):
+                        self._link(others[j], key)
+
     def finish(self) -> list[tuple[int, int]]:
-        rows, root, at = self.rows, self.union.root, 0
-        while len(rows) - at > 1:
-            upto, size = at, 0
-            while upto < len(rows) and upto - at < self.most and (upto == at or size + len(rows[upto][1]) <= TOGETHER_SIZE):
-                size += len(rows[upto][1])
-                upto += 1
-            keys = [key for key, _ in rows[at:upto]]
-            block = Block([found for _, found in rows[at:upto]])
-            for i in range(at + 1, len(rows)):
-                key, found = rows[i]
-                mine, others = root(key), keys[: i - at]
-                if any(root(other) != mine for other in others):
-                    for j in block.linked(found, self.percent):
-                        if j < len(others):
-                            self._link(others[j], key)
+        at = 0
+        while len(self.rows) - at > 1:
+            upto = self._block_end(at)
+            self._settle(at, upto)
             at = upto
-            if len({root(key) for key, _ in rows}) == 1:
+            if len({self.union.root(key) for key, _ in self.rows}) == 1:
                 break
         return self.links
 
@@ -372,34 +412,98 @@ def _places(rows: DataFrame, words: int, depth: int, trees: int) -> DataFrame:
     return rows.select("key", "component", "large", "text").mapInArrow(run, "place long, key long, text string")
 
 
-def _confirmed_links(rows: DataFrame, words: int, percent: int) -> DataFrame:
-    """(u, v) for rows (place, key, text); rows of a place are compared with each other."""
+def _settled(rows: DataFrame, words: int, percent: int, bounds: tuple[float, float]) -> DataFrame:
+    """(place, u, v, n) for rows (place, key, text, component): links of the rows of each place.
+
+    In places beyond the bounds, rows outside the first block come as u with n shingles, and without v.
+    """
     rows = rows.repartition("place").sortWithinPartitions("place", "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, seen, group = None, None, Settling(percent, TOGETHER)
+        at, seen, group = None, None, Settling(percent, TOGETHER, bounds)
+
+        def out(found: list[tuple[int | None, ...]]) -> Iterator[pa.RecordBatch]:
+            if found:
+                columns = [pa.array(x, pa.int64()) for x in zip(*found, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array([at] * len(found), pa.int64()), *columns], ["place", "u", "v", "n"])
 
-        def out(links: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
-            if links:
-                u, v = zip(*links, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+        def taken(some: int) -> Iterator[pa.RecordBatch]:
+            """What the group gives so far, if it is more than ``some`` rows."""
+            if len(group.links) + len(group.rest) > some:
+                yield from out([*((u, v, None) for u, v in group.links), *((u, None, n) for u, n in group.rest)])
+                group.links, group.rest = [], []
 
         for batch in batches:
-            for place, key, text in zip(*(batch.column(i) for i in range(3)), strict=True):
+            for place, key, text, component in zip(*(batch.column(i) for i in range(4)), strict=True):
                 place, key = place.as_py(), key.as_py()
                 if place != at:
-                    yield from out(group.finish())
-                    at, seen, group = place, None, Settling(percent, TOGETHER)
+                    group.finish()
+                    yield from taken(0)
+                    at, seen, group = place, None, Settling(percent, TOGETHER, bounds)
                 if key == seen:
                     continue  # a repeated row
                 found = shingles(text.as_py(), words)
                 if key_of(class_of(found)) != key:
                     continue  # another text under the same id
                 seen = key
-                group.add(key, found)
-        yield from out(group.finish())
+                group.add(key, found, component.as_py())
+                yield from taken(4096)
+        group.finish()
+        yield from taken(0)
 
-    return rows.mapInArrow(run, "u long, v long")
+    return rows.select("place", "key", "text", "component").mapInArrow(run, "place long, u long, v long, n long")
+
+
+def _units(rest: DataFrame, found: DataFrame) -> DataFrame:
+    """(unit, place, key, component) for rows (place, key, n) whose pairs are open, and components so far.
+
+    Rows of a place are dealt into chunks, a large component into chunks of its own. A unit is a chunk or two;
+    every two rows of a place meet in one, unless they are known to be connected.
+    """
+    label = found.select(F.col("u").alias("key"), "component")
+    rows = rest.join(label, "key", "left").select("place", "key", "n", F.coalesce("component", "key").alias("component"))
+    parts = rows.groupBy("place", "component").agg(F.count("*").alias("m"), F.sum("n").alias("n"))
+    several = parts.groupBy("place").agg(F.count("*").alias("components")).where("components > 1").select("place")
+    load = F.greatest(F.col("m") / CHUNK, F.col("n") / CHUNK_SIZE)
+    parts = parts.join(several, "place").withColumn("owner", F.when(load > 0.5, F.col("component")))
+    chunks = parts.groupBy("place", "owner").agg(F.sum("m").alias("m"), F.sum("n").alias("n"))
+    chunks = chunks.select("place", "owner", F.ceil(load).cast("int").alias("count"))
+    owner = parts.select("place", "component", "owner")
+    rows = rows.join(owner, ["place", "component"])
+    sized = chunks.select(F.col("place").alias("p"), F.col("owner").alias("o"), "count")
+    rows = rows.join(sized, (rows["place"] == sized["p"]) & rows["owner"].eqNullSafe(sized["o"]))
+    rows = rows.withColumn("no", F.pmod(F.xxhash64("key"), F.col("count"))).select("place", "key", "component", "owner", "no")
+    rows = stage_table(rows, "open")
+    chunk = rows.select("place", "owner", "no").distinct().select("place", F.struct("owner", "no").alias("a"))
+    pairs = chunk.join(chunk.withColumnRenamed("a", "b"), "place").where("a <= b")
+    pairs = pairs.where("a.owner is null or b.owner is null or a.owner <> b.owner")
+    pairs = pairs.withColumn("unit", F.xxhash64("place", "a", "b"))
+    sides = pairs.select("place", "unit", F.explode(F.array_distinct(F.array("a", "b"))).alias("c"))
+    sides = sides.select(F.col("place").alias("p"), "unit", F.col("c.owner").alias("o"), F.col("c.no").alias("c"))
+    same = (rows["place"] == sides["p"]) & rows["owner"].eqNullSafe(sides["o"]) & (rows["no"] == sides["c"])
+    return rows.join(sides, same).select("unit", "place", "key", "component")
+
+
+def _confirmed_links(rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """(u, v) for rows (place, key, text); rows of a place are compared with each other.
+
+    A place within the bounds is settled by one task. Of a larger one, a task compares the first block with all
+    rows; the pairs that leaves open, if any, are dealt to units of bounded size and settled there.
+    """
+    none = F.lit(None).cast("long").alias("component")
+    found = stage_table(_settled(rows.select("place", "key", "text", none), words, percent, (CHUNK, CHUNK_SIZE)), "links")
+    links = found.where("v is not null").select("u", "v")
+    rest = found.where("v is null").select("place", F.col("u").alias("key"), "n")
+    if rest.isEmpty():
+        return links
+    units = stage_table(_units(rest, components(links)), "units")
+    if units.isEmpty():
+        return links
+    of = units.select("unit", F.col("place").alias("p"), F.col("key").alias("k"), "component")
+    again = rows.join(of, (rows["place"] == of["p"]) & (rows["key"] == of["k"]))
+    again = again.select(F.col("unit").alias("place"), "key", "text", "component")
+    more = _settled(again, words, percent, (math.inf, math.inf))
+    return links.unionByName(more.select("u", "v"))
 
 
 def key_of(cls: bytes) -> int:

@@ -245,18 +245,25 @@ def keyed(text, width=2):
     return near_dup.key_of(near_dup.class_of(near_dup.shingles(text, width)))
 
 
+def star_of(rng, copies):
+    """(key, text) of an original, and texts that are like it but not like each other."""
+    words = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    out = []
+    for i in range(copies):
+        text = list(words)
+        for n, at in enumerate(rng.sample(range(0, 200, 2), 9)):
+            text[at] = f"n{i}x{n}"
+        out.append(" ".join(text))
+    return keyed(" ".join(words)), " ".join(words), out
+
+
 def star(rng, copies):
-    """Keyed texts: an original that sorts last, and copies that are like it but not like each other."""
+    """star_of() with keyed copies, where the original sorts late."""
     while True:
-        words = [f"w{rng.randrange(10**6)}" for _ in range(200)]
-        out = {}
-        for i in range(copies):
-            text = list(words)
-            for n, at in enumerate(rng.sample(range(0, 200, 2), 9)):
-                text[at] = f"n{i}x{n}"
-            out[keyed(" ".join(text))] = " ".join(text)
-        if sum(key < keyed(" ".join(words)) for key in out) > 2 * near_dup.TOGETHER:
-            return keyed(" ".join(words)), " ".join(words), out
+        key, text, out = star_of(rng, copies)
+        keys = {keyed(t): t for t in out}
+        if sum(k < key for k in keys) > 2 * near_dup.TOGETHER:
+            return key, text, keys
 
 
 def test_copies_of_one_original_are_one_group(spark):
@@ -271,6 +278,36 @@ def test_copies_of_one_original_are_one_group(spark):
     assert all(union.join(r.u, r.v) for r in links) and len(links) == 3000
 
 
+def test_large_places_are_settled_in_bounded_units(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "CHUNK", 60)
+    monkeypatch.setattr(near_dup, "TOGETHER", 20)
+    rng = random.Random(13)
+    sets, rows = [], []
+    for _ in range(6):
+        _, text, copies = star_of(rng, 40)
+        sets += [text, *copies]
+    near = [f"v{i}" for i in range(200)]
+    for i in range(300):  # a large component, and rows unlike all others
+        sets.append(" ".join([*near[:195], *(f"m{i}x{k}" for k in range(5))]))
+    sets += [" ".join(f"u{rng.randrange(10**6)}" for _ in range(90)) for _ in range(100)]
+    rows = [(1, keyed(t), t) for t in sets]
+    docs = spark.createDataFrame(rows, "place long, key long, text string")
+    links = near_dup._confirmed_links(docs, 2, 80).collect()
+    union = near_dup.Union()
+    for r in links:
+        union.join(r.u, r.v)
+    plain = plain_groups([(key, text) for _, key, text in rows], 2)
+    groups = collections.defaultdict(set)
+    for key, _, least in plain:
+        groups[least].add(union.root(key))
+    assert all(len(g) == 1 for g in groups.values()) and len({min(g) for g in groups.values()}) == len(groups)
+    held = near_dup.Settling(80, near_dup.TOGETHER, (near_dup.CHUNK, near_dup.CHUNK_SIZE))
+    for _, key, text in sorted(rows):
+        held.add(key, near_dup.shingles(text, 2))
+        assert len(held.rows) <= near_dup.CHUNK
+    assert len(held.rest) == len(rows) - near_dup.TOGETHER
+
+
 def test_near_duplicates_of_nothing(none):
     assert near_dup.op9_near_dup(none).count() == 0
     assert near_dup.deduplicated(none).columns == none.columns
