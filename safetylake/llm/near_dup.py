@@ -147,7 +147,11 @@ def leaf_nodes(values: np.ndarray, depth: int, trees: int) -> tuple[np.ndarray,
 
 # --- pass 1: sets, classes, paths ----------------------------------------------------------------------
 
-SETS = "doc_id long, n long, cls binary, sketch binary, nodes array<long>"
+SETS = "doc_id long, digest binary, n long, cls binary, sketch binary, nodes array<long>"
+
+
+def _digest() -> Column:
+    return F.unhex(F.md5(text_of().cast("binary"))).alias("digest")
 
 
 def _sets(docs: DataFrame, words: int, depth: int, trees: int) -> DataFrame:
@@ -165,15 +169,15 @@ def _sets(docs: DataFrame, words: int, depth: int, trees: int) -> DataFrame:
                 offsets = np.searchsorted(row, np.arange(len(found) + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(0), pa.array([len(s) for s in found], pa.int64()),
+                        part.column(0), part.column(2), pa.array([len(s) for s in found], pa.int64()),
                         pa.array([class_of(s) for s in found], pa.binary()),
                         pa.array([b.tobytes() for b in _sketch(values)], pa.binary()),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(node.view(np.int64))),
                     ],
-                    ["doc_id", "n", "cls", "sketch", "nodes"],
+                    ["doc_id", "digest", "n", "cls", "sketch", "nodes"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(run, SETS)
+    return docs.select(F.col("doc_id").cast("long"), text_of().alias("text"), _digest()).mapInArrow(run, SETS)
 
 
 # --- pass 2: likely links inside nodes -----------------------------------------------------------------
@@ -518,8 +522,8 @@ def _key() -> Column:
 # --- the whole join ------------------------------------------------------------------------------------
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = PERCENT, recall: float = RECALL) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row for each row of ``docs``."""
+def _grouped(docs: DataFrame, words: int, percent: int, recall: float = RECALL) -> DataFrame:
+    """doc_id, digest of the text, n, component (key of a class), component_id: one row for each row of ``docs``."""
     spark: SparkSession = docs.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
     depth, trees = forest_size(docs.count(), recall, percent)
@@ -544,18 +548,30 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = PERCENT, rec
     labels = classes.select("cls", "key", "doc_id").join(links, classes["key"] == links["u"], "left")
     labels = labels.select("cls", F.coalesce("component", "key").alias("component"), "doc_id")
     least = labels.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    labels = labels.join(least, "component").select("cls", "component_id")
-    empty = F.col("n") == 0
-    found = sets.select("doc_id", "n", F.when(~empty, F.col("cls")).alias("cls")).join(labels, "cls", "left")
+    labels = labels.join(least, "component").select("cls", "component", "component_id")
+    cls = F.when(F.col("n") > 0, F.col("cls")).alias("cls")
+    return sets.select("doc_id", "digest", "n", cls).join(labels, "cls", "left").drop("cls")
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = PERCENT, recall: float = RECALL) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row for each row of ``docs``."""
+    found, empty = _grouped(docs, words, percent, recall), F.col("n") == 0
     component = F.when(empty, F.col("doc_id")).otherwise(F.col("component_id"))
     kept = F.coalesce(F.col("doc_id") == component, component.isNull())
     return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"))
 
 
 def deduplicated(docs: DataFrame, words: int = 5, percent: int = PERCENT) -> DataFrame:
-    """One document of each group, that of the smallest id; rows that repeat id and text count once."""
-    kept = near_duplicates(docs, words, percent).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id"))
+    """One document of each group: the smallest id, rows without id last, then the smallest digest of the text.
+
+    Rows that repeat id and text count once. Rows are told by id and text, as ids may be null or repeated.
+    """
+    found = _grouped(docs, words, percent)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("first")
+    kept = found.where("n > 0").groupBy("component").agg(first).select("first.doc_id", "first.digest")
+    kept = kept.unionByName(found.where("n = 0").select("doc_id", "digest").distinct())
+    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")) & (_digest() == F.col("kept_digest"))
     return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"])
 
 

@@ -308,6 +308,16 @@ def test_large_places_are_settled_in_bounded_units(spark, monkeypatch):
     assert len(held.rest) == len(rows) - near_dup.TOGETHER
 
 
+def test_one_row_of_each_group_is_kept(spark):
+    texts = {c: [f"{c}{i}" for i in range(60)] for c in "abcde"}
+    near = lambda c, k: " ".join([*texts[c], *(f"{c}x{k}",) * (k > 0)])
+    rows = [(0, near("b", 0)), (1, near("a", 0)), (1, near("b", 1)), (5, near("c", 0)), (None, near("c", 1))]
+    rows += [(None, near("d", k)) for k in range(3)] + [(None, ""), (9, None), (7, near("e", 0)), (7, near("e", 1))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r.doc_id, (r.text or "-")[0]) for r in near_dup.deduplicated(docs, words=2).collect()]
+    assert sorted(kept, key=str) == sorted([(0, "b"), (1, "a"), (5, "c"), (None, "d"), (None, "-"), (9, "-"), (7, "e")], key=str)
+
+
 def test_near_duplicates_of_nothing(none):
     assert near_dup.op9_near_dup(none).count() == 0
     assert near_dup.deduplicated(none).columns == none.columns
