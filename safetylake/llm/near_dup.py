@@ -42,10 +42,10 @@ from safetylake.llm.components import components
 from safetylake.session import stage_table
 
 PERCENT = 80  # of the union that two sets must share
-RECALL = 0.9999  # of pairs at the threshold, over all trees
+RECALL = 0.9999  # of pairs at the threshold, over all trees and the sketches, in nodes without pivots
 BACKGROUND = 0.08  # similarity up to which unrelated sets are parted
 COORDINATES, SKETCH = 96, 32  # minwise values for paths, and others for sketches
-ALIKE = 17  # equal sketch bytes of a likely link; four standard deviations below the threshold
+ALIKE = 16  # equal sketch bytes of a likely link; four standard deviations below the threshold
 PIVOTS = 64
 TOGETHER = 512  # classes of a group that one task settles exhaustively
 TOGETHER_SIZE = 2_000_000  # and their shingles
@@ -124,10 +124,30 @@ def meeting(depth: int, similarity: float) -> float:
     return p
 
 
+def binomial(n: int, p: float) -> list[float]:
+    return [math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(n + 1)]
+
+
+def sketch_loss(similarity: float) -> float:
+    """Probability that the sketches of two sets share less than ALIKE bytes."""
+    return sum(binomial(SKETCH, similarity + (1 - similarity) / 256)[:ALIKE])
+
+
+def missed(depth: int, trees: int, similarity: float) -> float:
+    """Probability that two sets meet in no tree; all trees draw from the same coordinates."""
+    shares = enumerate(binomial(COORDINATES, similarity))
+    return sum(p * (1 - meeting(depth, k / COORDINATES)) ** trees for k, p in shares)
+
+
 def forest_size(rows: int, recall: float = RECALL, percent: int = PERCENT) -> tuple[int, int]:
-    """(depth, trees) for a table of so many rows."""
-    depth = max(3, math.ceil(math.log(max(rows, 2)) / -math.log(BACKGROUND)))
-    return depth, math.ceil(math.log(1 - recall) / math.log(1 - meeting(depth, percent / 100)))
+    """(depth, trees) for a table of so many rows, so that trees and sketches together reach ``recall``."""
+    depth, similarity, trees = max(3, math.ceil(math.log(max(rows, 2)) / -math.log(BACKGROUND))), percent / 100, 1
+    # a recall that the sketches alone do not leave is aimed at by the trees
+    allowed = 1 - recall - sketch_loss(similarity)
+    allowed = allowed if allowed > 0 else 1 - recall
+    while trees < 1000 and missed(depth, trees, similarity) > allowed:
+        trees += 1
+    return depth, trees
 
 
 def leaf_nodes(values: np.ndarray, depth: int, trees: int) -> tuple[np.ndarray, np.ndarray]:

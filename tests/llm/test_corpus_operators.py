@@ -318,6 +318,16 @@ def test_one_row_of_each_group_is_kept(spark):
     assert sorted(kept, key=str) == sorted([(0, "b"), (1, "a"), (5, "c"), (None, "d"), (None, "-"), (9, "-"), (7, "e")], key=str)
 
 
+@pytest.mark.parametrize("rows", [500, 100_000, 10_000_000])
+def test_trees_and_sketches_reach_the_recall(rows):
+    depth, trees = near_dup.forest_size(rows)
+    rng = np.random.default_rng(14)
+    equal = rng.binomial(near_dup.COORDINATES, 0.8, 200_000) / near_dup.COORDINATES  # coordinates a pair shares
+    met = {k: 1 - (1 - near_dup.meeting(depth, k)) ** trees for k in np.unique(equal).tolist()}
+    bytes_ = rng.binomial(near_dup.SKETCH, 0.8 + 0.2 / 256, 200_000)
+    assert np.mean([met[k] for k in equal.tolist()]) - np.mean(bytes_ < near_dup.ALIKE) >= near_dup.RECALL - 5e-5
+
+
 def test_near_duplicates_of_nothing(none):
     assert near_dup.op9_near_dup(none).count() == 0
     assert near_dup.deduplicated(none).columns == none.columns
