@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from safetylake.llm import chat, extraction, mixing, near_dup, nearest, packing, quality, secret_scan, spotsigs, toxicity
+from safetylake.llm import chat, extraction, mixing, near_dup, nearest, packing, quality, secret_scan, spelling, spotsigs, toxicity
 from safetylake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,7 @@ QUERIES: dict[str, Query] = {
     "op8_nearest": lambda spark, sf: nearest.op8_nearest(table(spark, sf, "embeddings")),
     "op9_near_dup": lambda spark, sf: near_dup.op9_near_dup(table(spark, sf, "documents")),
     "op10_quality": lambda spark, sf: quality.op10_quality(table(spark, sf, "documents"), table(spark, sf, "labels")),
+    "op11_spelling": lambda spark, sf: spelling.op11_spelling(table(spark, sf, "documents")),
     "op7_toxicity": lambda spark, sf: toxicity.op7_toxicity(table(spark, sf, "documents"), table(spark, sf, "labels")),
 }
 
