@@ -52,18 +52,17 @@ def encoder(path: str):
 
     with open(path, encoding="utf-8") as file:
         model = json.load(file)
-    special = {x["content"] for x in model["added_tokens"]}
+    special = {x["content"]: x["id"] for x in model["added_tokens"]}  # found in texts as the library finds them
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     other = [b for b in range(256) if b not in set(plain)]
     byte_of = {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(other)}
     ranks = {bytes(byte_of[c] for c in t): i for t, i in model["model"]["vocab"].items() if t not in special}
-    fast = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    fast = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
     exact = Tokenizer.from_file(path)
-    exact.encode_special_tokens = True
 
     def encode(text: str) -> np.ndarray:
         try:
-            return fast.encode_to_numpy(text, disallowed_special=())
+            return fast.encode_to_numpy(text, allowed_special="all")
         except ValueError:
             return np.array(exact.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 

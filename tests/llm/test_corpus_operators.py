@@ -65,7 +65,6 @@ def test_packing_round_trip(small):
     rows = packing.pack(small).collect()
     windows, docs = unpacked(rows)
     exact = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
-    exact.encode_special_tokens = True
     for r in small.collect():
         parts = sorted(docs[r.doc_id], key=lambda p: p.start)
         ids = np.concatenate([np.frombuffer(p.ids, "<u4") for p in parts]).tolist()
@@ -88,7 +87,6 @@ def test_packing_odd_rows(odd, none):
 def test_encoder_equals_the_library():
     path = public_tokenizers.path(packing.VOCABULARY)
     exact = Tokenizer.from_file(path)
-    exact.encode_special_tokens = True
     fast = packing.encoder(path)
     rng = random.Random(3)
     texts = ["", " ", "<|endoftext|>", "a b", "\U0001f600 ́x", "x" * 5000, " " * 5000, "It's 12,345 don't\r\n\t"]
