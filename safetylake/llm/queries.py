@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from safetylake.llm import chat, extraction, mixing, near_dup, nearest, packing, quality, secret_scan, spelling, spotsigs, toxicity
+from safetylake.llm import chat, extraction, hard_negatives, mixing, near_dup, nearest, packing, quality, secret_scan, spelling, spotsigs, token_files, toxicity
 from safetylake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,7 +22,9 @@ QUERIES: dict[str, Query] = {
     "op9_near_dup": lambda spark, sf: near_dup.op9_near_dup(table(spark, sf, "documents")),
     "op10_quality": lambda spark, sf: quality.op10_quality(table(spark, sf, "documents"), table(spark, sf, "labels")),
     "op11_spelling": lambda spark, sf: spelling.op11_spelling(table(spark, sf, "documents")),
+    "op12_hard_negatives": lambda spark, sf: hard_negatives.op12_hard_negatives(table(spark, sf, "embeddings")),
+    "op13_token_files": lambda spark, sf: token_files.op13_token_files(table(spark, sf, "documents")),
     "op7_toxicity": lambda spark, sf: toxicity.op7_toxicity(table(spark, sf, "documents"), table(spark, sf, "labels")),
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_mixing": mixing.SQL}
+ORACLE_SQL: dict[str, str] = {"op1_mixing": mixing.SQL, "op12_hard_negatives": hard_negatives.SQL}
