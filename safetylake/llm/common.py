@@ -32,4 +32,4 @@ def hash_sample(rows: DataFrame, key: str, wanted: int, total: int) -> DataFrame
     """About ``wanted`` of ``total`` rows, chosen by a hash of ``key``; the same rows on every run."""
     if total <= wanted:
         return rows
-    return rows.where(F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1 << 24)) < F.lit((wanted << 24) // total))
+    return rows.where(F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1 << 62)) < F.lit((wanted << 62) // total))

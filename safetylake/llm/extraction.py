@@ -410,7 +410,8 @@ def sample_texts(pages: DataFrame, sample: int = SAMPLE) -> list[str]:
         return found.map(pieces)
 
     some = pages.select("page_id", F.col("html")).where("html is not null and page_id is not null")
-    picked = hash_sample(some, "page_id", sample, some.count()).select(F.explode(blocks("html")).alias("t")).distinct()
+    picked = hash_sample(some, "page_id", sample, some.count()).groupBy("page_id").agg(F.min("html").alias("html"))  # one page of an id
+    picked = picked.select(F.explode(blocks("html")).alias("t")).distinct()
     return sorted(r["t"] for r in picked.collect())
 
 

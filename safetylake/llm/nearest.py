@@ -12,9 +12,9 @@ indexed: rows are dealt by hash into chunks of about ``chunk`` rows, the queries
 memory does not depend on the table's size, and a vector that many rows share does not gather anywhere.
 
 Defined results: null, all-zero vectors, and those with a null or non-finite component or another length
-than most of the sample take no part, nor do null ids; rows that repeat an id count once, with the smallest
-vector; equal scores go to the smaller id; an empty table gives no rows; a query with fewer than k
-candidates gets them all; only vec_id and embedding are read, so other columns of any name are left aside.
+than most of the sample take no part, nor do null ids; rows that repeat an id are rows of their own, as
+candidates and as queries, and only its own row is no candidate of a query; equal scores go to the smaller id;
+an empty table gives no rows; a query with fewer than k candidates gets them all; only vec_id and embedding are read, so other columns of any name are left aside.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from safetylake.llm.common import hash_sample
+from safetylake.session import stage_table
 
 SAMPLE = 4096  # rows the rotation and the radius are fitted on, about as many
 BITS, SUB = 64, 16
@@ -103,23 +104,23 @@ def _matrix(vectors: pa.ChunkedArray) -> np.ndarray:
 
 
 def search_chunk(rows: pa.Table, queries: pa.Table, rotation: np.ndarray, radius: int, k: int) -> list[tuple]:
-    """(query_id, vec_id, score): each query's k best rows of one chunk, ties to the smaller id."""
+    """(query, query_id, vec_id, nr, score): each query's k best rows of one chunk, ties to the smaller id."""
     x, q = _matrix(rows["embedding"]), _matrix(queries["embedding"])
-    ids = rows["vec_id"].to_numpy()
+    ids, nrs = rows["vec_id"].to_numpy(), rows["nr"].to_numpy()
     length, q_length = (np.sqrt(np.einsum("ij,ij->i", m, m)) for m in (x, q))
     index, q_codes = Index(codes_of(x, rotation)), codes_of(q, rotation)
     out = []
-    for i, query_id in enumerate(queries["vec_id"].to_pylist()):
+    for i, (query, query_id) in enumerate(zip(queries["nr"].to_pylist(), queries["vec_id"].to_pylist(), strict=True)):
         reach = radius
         while True:
             found = index.within(q_codes[i], reach)
-            found = found[ids[found] != query_id]
+            found = found[nrs[found] != query]
             if len(found) >= k or reach >= BITS:
                 break
             reach += index.codes.shape[1]
         score = np.einsum("ij,j->i", x[found], q[i]) / (length[found] * q_length[i])
-        best = np.lexsort((ids[found], -score))[:k]
-        out += [(query_id, int(ids[found[b]]), float(score[b])) for b in best]
+        best = np.lexsort((nrs[found], ids[found], -score))[:k]
+        out += [(query, query_id, int(ids[found[b]]), int(nrs[found[b]]), float(score[b])) for b in best]
     return out
 
 
@@ -127,15 +128,12 @@ def nearest(
     vectors: DataFrame, queries: Column, k: int = 5, sample: int = SAMPLE, chunk: int = CHUNK, block: int = BLOCK
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found for every row that ``queries`` selects."""
-    rows = (
-        vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"))
-        .where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
-        .groupBy("vec_id")
-        .agg(F.min("embedding").alias("embedding"))
-    )
+    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"))
+    rows = rows.where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
+    rows = stage_table(rows.withColumn("nr", F.monotonically_increasing_id()), "vectors")  # numbers rows for good
     sizes = rows.agg(F.count("*").alias("n"), F.count(F.when(queries, 1)).alias("q")).first()
-    picked = hash_sample(rows, "vec_id", sample, sizes["n"]).select("embedding").collect()
-    schema = "query_id long, vec_id long, score double"
+    picked = hash_sample(rows, "nr", sample, sizes["n"]).select("embedding").collect()
+    schema = "query long, query_id long, vec_id long, nr long, score double"
     if not picked:
         found = rows.sparkSession.createDataFrame([], schema)
     else:
@@ -144,18 +142,20 @@ def nearest(
         rows = rows.where(F.size("embedding") == size)
         chunks, blocks = max(1, -(-sizes["n"] // chunk)), max(1, -(-sizes["q"] // block))
         every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-        dealt = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
+        dealt = lambda n: F.pmod(F.xxhash64("nr"), F.lit(n)).cast("int")
         left = rows.select("*", dealt(chunks).alias("chunk"), every(blocks).alias("block"))
-        right = rows.where(queries).select("*", dealt(blocks).alias("block"), every(chunks).alias("chunk"))
+        fresh = [F.col(c).alias(c) for c in rows.columns]  # columns that are not the left side's own
+        right = rows.where(queries).select(*fresh).select("*", dealt(blocks).alias("block"), every(chunks).alias("chunk"))
 
         def search(a: pa.Table, b: pa.Table) -> pa.Table:
             made = search_chunk(a, b, rotation, radius, k) if a.num_rows and b.num_rows else []
-            columns = zip(*made, strict=True) if made else ([], [], [])
-            types = [pa.int64(), pa.int64(), pa.float64()]
-            return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["query_id", "vec_id", "score"])
+            columns = zip(*made, strict=True) if made else [[]] * 5
+            types = [*[pa.int64()] * 4, pa.float64()]
+            names = ["query", "query_id", "vec_id", "nr", "score"]
+            return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
         found = left.groupBy("chunk", "block").cogroup(right.groupBy("chunk", "block")).applyInArrow(search, schema)
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "nr"))
     return found.select("query_id", place.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
 
 

@@ -2,8 +2,8 @@
 
 A common word (of up to three letters, or one of a fixed list) is an anchor; an anchor and the two content
 words that follow it make a signature, whatever common words stand between. The set of signature hashes is
-the fingerprint. A text with fewer than ``FEW`` signatures also gets its single content words with what
-stands before them, and a text without any its whole word sequence, so that short texts can be told apart.
+the fingerprint, at every length of text; only a text without any signature gets the hash of its whole word
+sequence instead.
 
 Two fingerprints are compared by the Jaccard measure of their sets. For a join, sets are partitioned by
 length: sets that share a part ``t`` of their union have lengths within a factor t, so a band of lengths
@@ -33,7 +33,6 @@ COMMON = (
     "when which will with would your dans pour avec cette mais sont plus elle nous vous leur comme nicht eine einen "
     "einer sich auch oder aber nach wird para como este esta pero sobre entre todo"
 ).split()
-FEW = 4
 
 
 def with_signatures(rows: DataFrame, text: str, out: str) -> DataFrame:
@@ -54,7 +53,6 @@ def with_signatures(rows: DataFrame, text: str, out: str) -> DataFrame:
     def following(column: str) -> Column:
         return F.slice(column, F.lit(2), F.greatest(F.lit(1), F.size(column)))
 
-    hashes = F.transform(steps, lambda w: F.hash(w))
     none = F.array().cast("array<int>")
     return (
         rows.withColumn(plain, F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")))
@@ -64,8 +62,7 @@ def with_signatures(rows: DataFrame, text: str, out: str) -> DataFrame:
         .withColumn(chains, F.array_compact(F.zip_with(steps, following(steps), chain)))
         .withColumn(
             out,
-            F.when(F.size(chains) >= FEW, F.array_sort(F.array_distinct(chains)))
-            .when(F.size(steps) > 0, F.array_sort(F.array_distinct(F.concat(chains, hashes))))
+            F.when(F.size(chains) > 0, F.array_sort(F.array_distinct(chains)))
             .when(F.col(plain) != "", F.array(F.hash(plain)))
             .otherwise(none),
         )

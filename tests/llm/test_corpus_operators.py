@@ -377,6 +377,31 @@ def test_fingerprints_on_odd_rows(odd, none, spark):
     assert alone.edited_sha256 == hashlib.sha256(b"abcdefab").hexdigest() and alone.near_next == 1.0
 
 
+def test_one_rule_for_fingerprints_of_any_length(spark):
+    text = "the red house of old brick the green door of"
+    rows = [(i, text + " new paint the high wall of cold stone the low roof" * i) for i in range(3)]
+    found = [r.fingerprint for r in spotsigs.op5_spotsigs(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()]
+    sets = [set(re.findall("." * 8, f)) for f in found]
+    assert all(sets) and sets[0] < sets[1] <= sets[2]  # a longer text only adds signatures
+
+
+def test_signatures_equal_a_plain_version(spark, small):
+    """A signature starts at a content word that a common word stands before, and takes the next content word."""
+
+    def plain(text):
+        words = re.sub(r"[^\w]+|_", " ", text.lower()).split()
+        common = [len(w) <= 3 or w in spotsigs.COMMON for w in words]
+        content = [i for i, c in enumerate(common) if not c]
+        return {(words[i - 1], words[i], words[j]) for i, j in zip(content, content[1:], strict=False) if i and common[i - 1]}
+
+    rows = [(r.doc_id, r.text) for r in small.collect() if r.text and r.text.isascii()][:80]
+    made = spotsigs.with_signatures(spark.createDataFrame(rows, "doc_id long, text string"), "text", "sets").collect()
+    assert len(made) > 20
+    for r in made:
+        expected = plain(r.text)
+        assert len(r.sets) == len(expected) or (not expected and len(r.sets) <= 1)
+
+
 def test_pairs_of_fingerprints_equal_all_pairs(small):
     rows = spotsigs.op5_spotsigs(small).collect()
     sets = {}

@@ -11,7 +11,9 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as entry
-from safetylake.llm import boosting, chat, extraction, nearest, quality, toxicity
+from pyspark.sql import functions as F
+
+from safetylake.llm import boosting, chat, common, extraction, labelled, nearest, quality, toxicity
 
 MIDDLE = "/root/testdata/sf0.01"
 
@@ -215,7 +217,10 @@ def test_nearest_on_odd_rows(spark):
     rows = [(0, [1.0, 0.0], "x"), (50, [1.0, 0.0], "x"), (50, [1.0, 0.0], "x"), (3, [2.0, 0.0], "x"), (2, [4.0, 0.0], "x"), (100, None, None), (150, [0.0, 0.0], "x"), (4, [nan, 1.0], "x"), (5, [inf, 1.0], "x"), (6, [None, 1.0], "x"), (7, [1.0], "x"), (None, [1.0, 1.0], "x")]
     data = spark.createDataFrame(rows, "vec_id long, embedding array<float>, rank string")
     found = {(r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in nearest.op8_nearest(data).collect()}
-    assert found == {(0, 1, 2, 1.0), (0, 2, 3, 1.0), (0, 3, 50, 1.0), (50, 1, 0, 1.0), (50, 2, 2, 1.0), (50, 3, 3, 1.0)}
+    # the rows that repeat an id are candidates each, and queries each
+    assert found == {(q, r, i, 1.0) for q, best in ((0, (2, 3, 50, 50)), (50, (0, 2, 3, 50))) for r, i in enumerate(best, 1)}
+    twice = spark.createDataFrame([(0, [1.0, 0.0]), (3, [1.0, 0.0]), (3, [0.0, 1.0])], "vec_id long, embedding array<float>")
+    assert [tuple(r)[1:] for r in nearest.op8_nearest(twice).orderBy("rank").collect()] == [(1, 3, 1.0), (2, 3, 0.0)]
     assert nearest.op8_nearest(data.where("false")).count() == 0
     many = spark.createDataFrame([(i, [float(i % 3), 1.0]) for i in range(300)], "vec_id long, embedding array<float>")
     split = nearest.nearest(many, nearest.F.col("vec_id") % 50 == 0, chunk=40, block=2)
@@ -223,6 +228,23 @@ def test_nearest_on_odd_rows(spark):
     assert sorted(split.collect()) == sorted(whole.collect())
 
 
+# --- samples ---------------------------------------------------------------------------------------
+
+
+def test_samples_are_bounded_and_not_empty(spark):
+    many = spark.range(1000).withColumn("text", F.lit("t"))
+    assert many.count() > common.hash_sample(many, "id", 100, 1000).count() > 50
+    assert common.hash_sample(many, "id", 999, 1000).count() > 900
+    # a table of 2 ** 40 rows still keeps a hash range that is not empty
+    kept = common.hash_sample(many, "id", 200, 1 << 40)._jdf.queryExecution().logical().toString()
+    assert str((200 << 62) // (1 << 40)) in kept
+    docs = spark.range(3000).select(F.lit(1).cast("long").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 1, 1)], "doc_id long, quality int, toxic int")
+    docs = docs.unionByName(spark.createDataFrame([(3, "b"), (3, "a")], docs.schema))
+    found = sorted(tuple(r) for r in labelled.training_rows(docs, labels, "quality", 10).collect())
+    assert found == [("0", 1), ("a", 1)]
+
+
 # --- pipeline --------------------------------------------------------------------------------------
 
 
