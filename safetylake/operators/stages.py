@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from safetylake import schemas as S
 from safetylake.functions import text
-from safetylake.operators.grounding import embed_terms, ground_topk
+from safetylake.operators.grounding import nearest_to
 from safetylake.session import stage_table
 
 # --- Fixed values: rule parameters ---------------------------------------------------
@@ -141,9 +141,7 @@ def code_terms(verbatims: DataFrame, dictionary: DataFrame) -> DataFrame:
     )
     other = looked_up.filter("pt_term is null").select("verbatim", "normal")
     words = other.filter("normal <> ''")
-    nearest = ground_topk(
-        embed_terms(words, "verbatim"), embed_terms(dictionary, "pt_term"), k=1
-    ).select("verbatim", "pt_term", "score")
+    nearest = nearest_to(words, dictionary, k=1).select("verbatim", "pt_term", "score")
     versions = dictionary.groupBy("pt_term").agg(F.min("meddra_version").alias("meddra_version"))
     scored = scored.unionAll(
         other.join(nearest, "verbatim", "left")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from safetylake import schemas as S
 from safetylake.operators import stages
-from safetylake.operators.grounding import candidate_lists, embed_terms, ground_topk
+from safetylake.operators.grounding import candidate_lists, nearest_to
 from safetylake.operators.mentions import read_reports, stated_date, vocabulary, with_run_id
 from safetylake.plans.predict import USAGE, Predictor, checked, predict
 from safetylake.session import stage_table
@@ -70,11 +70,10 @@ def stage_input(runs: DataFrame, stage: str) -> Column:
 
 
 def nearest_terms(dictionary: DataFrame, k: int = S.TOP_K_TERMS) -> Grounder:
-    """The default grounder: the ``k`` dictionary terms nearest by trigram vectors."""
+    """The default grounder: the ``k`` dictionary terms nearest by trigram vectors fitted on the dictionary."""
 
     def ground(verbatims: DataFrame) -> DataFrame:
-        tops = ground_topk(embed_terms(verbatims, "verbatim"), embed_terms(dictionary, "pt_term"), k)
-        return candidate_lists(verbatims, tops)
+        return candidate_lists(verbatims, nearest_to(verbatims, dictionary, k))
 
     return ground
 

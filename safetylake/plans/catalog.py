@@ -233,10 +233,12 @@ def _ground(i: Inputs) -> DataFrame:
 
 
 def _embedded(i: Inputs) -> DataFrame:
-    scaled = F.transform("vector", lambda x: F.round(x * 1000000).cast("bigint").cast("string"))
-    return grounding.embed_terms(i.listed, "pt_term").select(
-        "pt_term", F.array_join(scaled, ",").alias("vector")
-    )
+    model = stage_table(grounding.fit_vectors(i.listed, "pt_term"), "vector-model")
+    shown = F.zip_with(
+        "vector.slots", "vector.weights",
+        lambda slot, x: F.concat(slot.cast("string"), F.lit(":"), F.round(x * 1000000).cast("bigint").cast("string")),
+    )
+    return grounding.embed_terms(i.listed, "pt_term", model).select("pt_term", F.array_join(shown, ",").alias("vector"))
 
 
 def _coded(i: Inputs) -> DataFrame:
@@ -252,8 +254,7 @@ def _candidates(i: Inputs) -> DataFrame:
         "verbatims",
     )
     verbatims = cases.select(F.explode("verbatims").alias("verbatim")).distinct()
-    vectors = grounding.embed_terms(verbatims, "verbatim")
-    tops = grounding.ground_topk(vectors, grounding.embed_terms(i.listed, "pt_term"))
+    tops = grounding.nearest_to(verbatims, i.listed, S.TOP_K_TERMS)
     return stages.render_candidates(cases, grounding.candidate_lists(verbatims, tops))
 
 

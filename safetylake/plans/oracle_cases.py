@@ -48,19 +48,33 @@ def items(pattern: str) -> str:
     )
 
 
-def trigram_slots(term: str) -> str:
-    padded = f"(' ' || {term} || ' ')"
-    return (
-        f"list_transform(range(1, greatest(length({padded}) - 2, 1) + 1), lambda i: "
-        f"CAST('0x' || substr(md5(substr({padded}, i, 3)), 1, 6) AS BIGINT) % 256)"
-    )
+def trigrams(source: str, column: str) -> str:
+    """Rows (term, gram, n) of the trigrams of a column."""
+    padded = f"(' ' || upper(trim({column})) || ' ')"
+    return f"""
+        SELECT term, gram, count(*) AS n
+        FROM (SELECT {column} AS term, unnest(list_transform(range(1, greatest(length({padded}) - 2, 1) + 1),
+                     lambda i: substr({padded}, i, 3))) AS gram FROM (SELECT DISTINCT {column} FROM ({source}))) GROUP BY ALL"""
+
+
+def vectors_of(grams: str) -> str:
+    """Rows (term, slot, weight) of unit vectors; what the model does not hold is slot -1."""
+    return f"""
+        SELECT term, slot, round(weight / sqrt(sum(weight * weight) OVER (PARTITION BY term)), 9) AS weight
+        FROM (SELECT term, coalesce(slot, -1) AS slot,
+                     CASE WHEN min(slot) IS NULL THEN sqrt(sum((n * other) ** 2)) ELSE min(n * weight) END AS weight
+              FROM {grams} LEFT JOIN vector_model USING (gram), (SELECT round(ln(1.0 + count(*)) + 1, 9) AS other FROM dictionary)
+              GROUP BY term, coalesce(slot, -1))"""
 
 
-def vectors_of(source: str, column: str) -> str:
+def scored(queries: str, terms: str) -> str:
+    """Rows (verbatim, pt_term, score) of all pairs of the two tables of vectors."""
     return f"""
-        SELECT {column}, list_transform(counts, lambda x: round(x / sqrt(list_sum(list_transform(counts, lambda y: y * y))), 9)) AS vector
-        FROM (SELECT {column}, list_transform(range(0, 256), lambda d: CAST(len(list_filter(slots, lambda s: s = d)) AS DOUBLE)) AS counts
-              FROM (SELECT {column}, {trigram_slots(f"upper(trim({column}))")} AS slots FROM ({source})))"""
+        SELECT q.term AS verbatim, t.term AS pt_term, round(coalesce(d.dot, 0) / ((q.length + 1e-9) * (t.length + 1e-9)), 9) AS score
+        FROM (SELECT term, sqrt(sum(weight * weight)) AS length FROM {queries} GROUP BY term) q
+        CROSS JOIN (SELECT term, sqrt(sum(weight * weight)) AS length FROM {terms} GROUP BY term) t
+        LEFT JOIN (SELECT a.term AS q_term, b.term AS t_term, sum(a.weight * b.weight) AS dot
+                   FROM {queries} a JOIN {terms} b USING (slot) GROUP BY ALL) d ON d.q_term = q.term AND d.t_term = t.term"""
 
 
 def cosine(a: str, b: str) -> str:
@@ -236,20 +250,24 @@ CASE_VIEWS: dict[str, str] = {
                CAST(to_json({'narrative': written, 'completeness': {'completeness_score': completeness_score, 'gaps': gaps},
                     'qc_flags': flags, 'overall_confidence': qc_confidence, 'hitl_recommended': recommended}) AS VARCHAR), qc_confidence
         FROM full_cases""",
-    "embedded": vectors_of("SELECT pt_term FROM dictionary", "pt_term"),
+    "dictionary_grams": trigrams("SELECT pt_term FROM dictionary", "pt_term"),
+    "vector_model": """
+        SELECT gram, row_number() OVER (ORDER BY gram) - 1 AS slot,
+               round(ln((1.0 + (SELECT count(DISTINCT pt_term) FROM dictionary)) / (1 + count(DISTINCT term))) + 1, 9) AS weight
+        FROM dictionary_grams GROUP BY gram""",
+    "embedded": vectors_of("dictionary_grams"),
     "listed_terms": "SELECT DISTINCT unnest(coded_pts) AS verbatim FROM fx_output",
     "outside_terms": """
         SELECT verbatim FROM listed_terms WHERE trim(verbatim) <> ''
           AND upper(trim(verbatim)) NOT IN (SELECT upper(trim(pt_term)) FROM dictionary)""",
-    "outside_vectors": vectors_of("SELECT verbatim FROM outside_terms", "verbatim"),
+    "outside_grams": trigrams("SELECT verbatim FROM outside_terms", "verbatim"),
+    "outside_vectors": vectors_of("outside_grams"),
     "outside_best": f"""
-        SELECT verbatim, pt_term, {cosine('o.vector', 'e.vector')} AS score
-        FROM outside_vectors o CROSS JOIN embedded e
-        QUALIFY row_number() OVER (PARTITION BY verbatim ORDER BY {cosine('o.vector', 'e.vector')} DESC, pt_term) = 1""",
+        SELECT * FROM ({scored('outside_vectors', 'embedded')})
+        QUALIFY row_number() OVER (PARTITION BY verbatim ORDER BY score DESC, pt_term) = 1""",
     "term_top": f"""
-        SELECT q.pt_term AS verbatim, t.pt_term,
-               row_number() OVER (PARTITION BY q.pt_term ORDER BY {cosine('q.vector', 't.vector')} DESC, t.pt_term) AS rank
-        FROM embedded q CROSS JOIN embedded t QUALIFY rank <= 5""",
+        SELECT *, row_number() OVER (PARTITION BY verbatim ORDER BY score DESC, pt_term) AS rank
+        FROM ({scored('embedded', 'embedded')}) QUALIFY rank <= 5""",
 }
 MINOR = ["hot anvil", "hot bolt", "hot gear", "hot gizmo", "hot plate", "hot ring", "hot rod", "hot widget"]
 CASE_VIEWS["triaged"] = CASE_VIEWS["triaged"].replace(
@@ -272,8 +290,8 @@ CASE_BODIES: dict[str, str] = {
         FROM embeddings q CROSS JOIN embeddings t QUALIFY rank <= 5""",
     "ground_null": "SELECT 'verbatim-' || vec_id AS verbatim, CAST(0 AS BIGINT) AS n_candidates FROM embeddings",
     "embed_terms": """
-        SELECT pt_term, array_to_string(list_transform(vector, lambda x: CAST(CAST(round(x * 1000000) AS BIGINT) AS VARCHAR)), ',') AS vector
-        FROM embedded""",
+        SELECT term AS pt_term, string_agg(slot || ':' || CAST(round(weight * 1000000) AS BIGINT), ',' ORDER BY slot) AS vector
+        FROM embedded GROUP BY term""",
     "code_events": """
         SELECT l.verbatim, CASE WHEN d.pt_term IS NOT NULL THEN d.pt_term WHEN b.score >= 0.6 THEN b.pt_term END AS meddra_pt,
                CASE WHEN d.pt_term IS NOT NULL THEN d.meddra_version WHEN b.score >= 0.6 THEN n.meddra_version END AS meddra_version,
