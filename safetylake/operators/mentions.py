@@ -24,6 +24,29 @@ LEXICON = {
         "congenital_anomaly": ["CONGENITAL", "BIRTH DEFECT"],
         "other_medically_important": ["MEDICALLY IMPORTANT", "MEDICALLY SIGNIFICANT"],
     },
+    "outcome": {
+        "recovered": ["RECOVERED", "RESOLVED", "SUBSIDED"],
+        "recovering": ["RECOVERING", "RESOLVING", "IMPROVED", "IMPROVING"],
+        "not_recovered": ["ONGOING", "PERSISTED", "PERSISTING", "PERSISTS", "UNRESOLVED"],
+        "recovered_with_sequelae": ["SEQUELAE"],
+        "fatal": ["FATAL", "DIED"],
+    },
+    "route": {
+        "intramuscular": ["INTRAMUSCULAR", "INTRAMUSCULARLY", "IM"],
+        "subcutaneous": ["SUBCUTANEOUS", "SUBCUTANEOUSLY", "SC"],
+        "intradermal": ["INTRADERMAL", "INTRADERMALLY"],
+        "intranasal": ["INTRANASAL", "INTRANASALLY"],
+        "oral": ["ORAL", "ORALLY"],
+    },
+    "dose": {
+        **{
+            str(n): [f"{word} DOSE", f"{n}{end} DOSE", f"DOSE {n}", f"DOSE NUMBER {n}"]
+            for n, (word, end) in enumerate(
+                zip("FIRST SECOND THIRD FOURTH FIFTH SIXTH SEVENTH".split(), "ST ND RD TH TH TH TH".split(), strict=True), 1
+            )
+        },
+        "booster": ["BOOSTER", "BOOSTER DOSE"],
+    },
 }
 # --- Fixed values: patterns of the other stated facts --------------------------------
 # An age says so: "old", "y/o" or "aged"; a number of years alone is a duration.
@@ -39,9 +62,14 @@ LISTS = {
     "medical_history": r"(?i)\bhistory: *([^.]*)",
     "allergies": r"(?i)\ballerg(?:y|ies): *([^.]*)",
 }
-WORD = r"[\p{L}\p{N}]+|\||[.;:!?]+(?=\s|$)"
+# A date is one word; a sentence end is a word of its own.
+WORD = r"\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|[\p{L}\p{N}]+|\||[.;:!?]+(?=\s|$)"
+ENDS = list("|.;:!?")
+# Words that part what they stand between inside a clause: each counts as so many words of distance.
+PARTING = ["AND", "THEN", "WHILE", "PLUS", "FOLLOWED"]
+PARTED = 10
 # What follows a negation in its clause, up to four words, is not stated. "Not recovered from" denies the
-# recovery, not the event; a contrast ("but") ends the clause.
+# recovery, not the event, and states that it goes on; a contrast ("but") ends the clause.
 NEGATION = r"(?i)\b(?:no|not|nor|without|never|denied|denies|denying)\b"
 DENIED = NEGATION + r"(?:[ \t]+[\p{L}\p{N}][\p{L}\p{N}'/-]*){1,4}"
 ONGOING = r"(?i)\bnot[ \t]+(?:yet[ \t]+)?(recovered|resolved|subsided|improved|gone|better)\b"
@@ -106,41 +134,48 @@ def lexicon(spark: SparkSession) -> DataFrame:
 
 
 def vocabulary(dictionary: DataFrame, products: DataFrame, scope: DataFrame) -> DataFrame:
-    """Phrases to look for: dictionary terms, product names and the fixed words.
+    """Phrases to look for: dictionary terms, product names, makers and the fixed words.
 
-    One row per (phrase, kind). ``dictionary`` holds pt_term, ``products`` vax_name, ``scope``
-    vax_name and in_scope.
+    One row per (phrase, kind), with its number of words ``n`` and its anchor: the word of it that fewest
+    phrases hold, and that word's ``offset`` in it. ``dictionary`` holds pt_term, ``products`` vax_name and,
+    where known, vax_manu, ``scope`` vax_name and in_scope.
     """
-    terms = dictionary.select(
-        text.phrase_key(F.col("pt_term")).alias("phrase"),
-        F.lit("event").alias("kind"),
-        F.col("pt_term").alias("name"),
-        F.lit(False).alias("in_scope"),
-    )
-    listed = scope.filter("in_scope").select("vax_name").distinct()
-    names = (
-        products.select("vax_name")
-        .distinct()
-        .join(listed.withColumn("in_scope", F.lit(True)), "vax_name", "left")
-        .select(
-            text.phrase_key(F.col("vax_name")).alias("phrase"),
-            F.lit("product").alias("kind"),
-            F.col("vax_name").alias("name"),
-            F.coalesce("in_scope", F.lit(False)).alias("in_scope"),
+
+    def named(rows: DataFrame, column: str, kind: str) -> DataFrame:
+        return rows.select(
+            text.phrase_key(F.col(column)).alias("phrase"), F.lit(kind).alias("kind"), F.col(column).alias("name"), "in_scope"
         )
-    )
-    return (
-        terms.unionAll(names)
+
+    listed = scope.filter("in_scope").select("vax_name").distinct().withColumn("in_scope", F.lit(True))
+    names = products.select("vax_name").distinct().join(listed, "vax_name", "left")
+    names = names.withColumn("in_scope", F.coalesce("in_scope", F.lit(False)))
+    found = (
+        named(dictionary.withColumn("in_scope", F.lit(False)), "pt_term", "event")
+        .unionAll(named(names, "vax_name", "product"))
         .unionAll(lexicon(dictionary.sparkSession))
-        .filter(F.col("phrase") != "")
+    )
+    if "vax_manu" in products.columns:
+        makers = products.select("vax_manu").distinct().withColumn("in_scope", F.lit(False))
+        found = found.unionAll(named(makers, "vax_manu", "maker"))
+    found = (
+        found.filter(F.col("phrase") != "")
         .groupBy("phrase", "kind")
         .agg(F.min("name").alias("name"), F.max("in_scope").alias("in_scope"))
     )
+    parts = found.select("phrase", "kind", F.posexplode(F.split("phrase", " ")).alias("offset", "word"))
+    holders = parts.groupBy("word").agg(F.count_distinct("phrase").alias("holders"))
+    anchors = (
+        parts.join(holders, "word")
+        .groupBy("phrase", "kind")
+        .agg(F.min(F.struct("holders", "offset", "word")).alias("anchor"), F.count("*").cast("int").alias("n"))
+        .select("phrase", "kind", "n", "anchor.word", "anchor.offset")
+    )
+    return found.join(anchors, ["phrase", "kind"])
 
 
 def affirmed(narrative: Column) -> Column:
     """The text without what it denies; a mark stands in its place, so no phrase spans the gap."""
-    clauses = F.regexp_replace(F.regexp_replace(narrative, ONGOING, "| $1"), CONTRAST, " | $1")
+    clauses = F.regexp_replace(F.regexp_replace(narrative, ONGOING, "| ongoing"), CONTRAST, " | $1")
     kept = F.regexp_replace(clauses, DENIED, " | ")
     return F.when(F.rlike(narrative, F.lit(NEGATION)), kept).otherwise(narrative)
 
@@ -150,73 +185,66 @@ def words(narrative: Column) -> Column:
     return F.regexp_extract_all(narrative, F.lit(WORD), 0)
 
 
-def phrase_lengths(vocab: DataFrame) -> list[int]:
-    """Word counts that occur among the vocabulary's phrases (a handful of numbers)."""
-    sizes = vocab.select(F.size(F.split("phrase", " ")).alias("n")).distinct()
-    return sorted(row["n"] for row in sizes.collect())
-
-
-def phrases(tokens: Column, lengths: list[int]) -> list[Column]:
-    """For each length, the run of that many words at every position (NULL past the end).
-
-    Runs grow word by word, each from the one before, so every array is as long as ``tokens``
-    and an index is the same text position in all of them.
-    """
-    runs, found = tokens, {1: tokens}
-    for n in range(2, max(lengths, default=0) + 1):
-        runs = F.zip_with(
-            runs, F.slice(tokens, n, F.size(tokens)), lambda a, b: F.concat(a, F.lit(" "), b)
-        )
-        found[n] = runs
-    return [found[n] for n in lengths]
-
-
 def read_reports(reports: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Facts and dictionary mentions per report: run_id, vaers_id, facts, events, products.
+    """Facts and dictionary mentions per report: run_id, vaers_id, facts, events, products, linked.
 
     ``reports`` holds run_id, vaers_id, narrative, received_date. The text is read once and
-    never shuffled: phrases are matched against the vocabulary by an equi-join on the phrase,
-    and only matches and the facts row of each report meet in one aggregation on run_id.
-    The phrase lengths to try are those the vocabulary holds, so long terms are found too.
+    never shuffled: every word meets the phrases that it anchors in an equi-join, and only there is the
+    rest of the phrase compared, so a word is one row of the join whatever the lengths of phrases.
+    Only matches and the facts row of each report meet in one aggregation on run_id.
     What a text denies ("no fever") is no mention; stated numbers, dates and lists are read as written.
     Reports with the same run_id are copies of one another; their matches collapse in the
-    map-side part of that aggregation.
+    map-side part of that aggregation. ``linked`` ties facts to their event or product, see ``links``.
     """
     lowered = reports.withColumn("lowered", F.lower("narrative"))
+    read = lowered.select("*", words(affirmed(F.col("narrative"))).alias("tokens"))
+    ends = F.array_compact(F.transform("tokens", lambda t, i: F.when(F.substring(t, 1, 1).isin(ENDS), i + 1)))
+    parts = F.array_compact(F.transform("tokens", lambda t, i: F.when(F.upper(t).isin(PARTING), i + 1)))
     facts = F.struct(
         "vaers_id",
         "received_date",
         F.sha2("narrative", 256).alias("input_hash"),
         stated_texts(F.col("narrative"), F.col("lowered")).alias("texts"),
+        ends.alias("ends"),
+        parts.alias("parts"),
     )
-    tokenised = lowered.select(
-        "run_id", facts.alias("facts"), words(affirmed(F.col("narrative"))).alias("tokens")
-    )
-    # Entry 0 of a report is its facts row. It carries a phrase no text can hold, different for
+    # Entry 0 of a report is its facts row. It carries a word no text can hold, different for
     # each report, so that it survives the left join and spreads evenly if that is shuffled.
-    lead = F.array(F.concat(F.lit("|"), F.col("run_id")))
-    listed = F.concat(lead, *phrases(F.col("tokens"), phrase_lengths(vocab)))
+    listed = F.concat(F.array(F.concat(F.lit("|"), F.col("run_id"))), F.col("tokens"))
     is_lead = F.col("k") == 0
-    # Only the facts row takes the facts along: the word runs go through the join without them.
-    rows = tokenised.select(
-        "run_id", "facts", F.size("tokens").alias("n_words"), F.posexplode(listed).alias("k", "verbatim")
-    ).withColumn("facts", F.when(is_lead, F.col("facts")))
+    # Only the facts row takes the facts along, and a word takes the words that a phrase around it can hold.
+    reach = vocab.agg(F.max("offset").alias("before"), F.max(F.col("n") - F.col("offset")).alias("after")).first()
+    before, after = reach["before"] or 0, reach["after"] or 1
+    near_from = F.greatest(F.lit(1), F.col("k") - before)
+    read = read.select("run_id", facts.alias("facts"), "tokens")
+    rows = read.select("*", F.posexplode(listed).alias("k", "token")).select(
+        "run_id", F.when(is_lead, F.col("facts")).alias("facts"), "k", "token", near_from.alias("near_from"),
+        F.when(~is_lead, F.slice("tokens", near_from, F.col("k") + after - near_from)).alias("near"),
+    )
+    joined = rows.join(vocab, F.upper("token") == F.col("word"), "left")
+    start = F.col("k") - F.col("offset")
+    inside = (start >= F.col("near_from")) & (start - F.col("near_from") + F.col("n") <= F.size("near"))
+    run = F.when(inside, F.array_join(F.slice("near", F.greatest(start - F.col("near_from") + 1, F.lit(1)), F.col("n")), " "))
+    is_date = F.col("kind").isNull() & ~is_lead & (F.contains("token", F.lit("-")) | F.contains("token", F.lit("/")))
+    date = F.date_format(stated_date(F.col("token")), "yyyy-MM-dd")
     matched = (
-        rows.filter("verbatim is not null")
-        .withColumn("phrase", F.upper("verbatim"))
-        .join(vocab, "phrase", "left")
-        .filter(is_lead | F.col("kind").isNotNull())
+        joined.withColumn("verbatim", F.when(F.col("kind").isNotNull(), run))
+        .filter(is_lead | is_date | (F.upper("verbatim") == F.col("phrase")))
         .select(
             "run_id",
             "facts",
-            ((F.col("k") - 1) % F.col("n_words") + 1).alias("pos"),
-            "verbatim", "kind", "name", "in_scope",
+            F.when(is_date, F.lit("date")).otherwise(F.col("kind")).alias("kind"),
+            F.when(is_date, date).otherwise(F.col("name")).alias("name"),
+            F.when(is_date, F.col("k")).otherwise(start).alias("pos"),
+            F.when(is_date, F.lit(1)).otherwise(F.col("n")).alias("n"),
+            F.when(is_date, F.col("token")).otherwise(F.col("verbatim")).alias("verbatim"),
+            F.coalesce("in_scope", F.lit(False)).alias("in_scope"),
         )
     )
-    mention = F.struct("kind", "name", "pos", "verbatim", "in_scope")
+    mention = F.struct("kind", "name", "pos", "n", "verbatim", "in_scope")
     grouped = matched.groupBy("run_id").agg(
         F.first("facts", ignorenulls=True).alias("facts"),
-        F.array_sort(F.collect_set(F.when(F.col("kind").isNotNull(), mention))).alias("mentions"),
+        F.array_sort(F.collect_set(F.when(F.col("name").isNotNull(), mention))).alias("mentions"),
     )
     # Sorted by kind, name and position: the first of each name is its first mention.
     firsts = F.filter(
@@ -262,8 +290,62 @@ def read_reports(reports: DataFrame, vocab: DataFrame) -> DataFrame:
         stated.alias("stated"),
         of_kind("event").alias("events"),
         of_kind("product").alias("products"),
+        links(F.col("mentions"), F.col("facts.ends"), F.col("facts.parts")).alias("linked"),
+    )
+
+
+# What a fact may belong to; a date belongs to the nearer of events and products.
+LINKED = {"date": ("event", "product"), "outcome": ("event",), "dose": ("product",), "route": ("product",), "maker": ("product",)}
+
+
+def links(mentions: Column, ends: Column, parts: Column) -> Column:
+    """For each kind of fact the facts tied to an event or product: array of (gap, pos, value, kind, name).
+
+    A mention is an interval of words. A fact belongs to the nearest interval of its clause (between two
+    entries of ``ends``) by the number of words in between, where those at ``parts`` count PARTED more; of
+    equally near ones to the first, and of those that start together to the longest.
+    """
+    placed = F.transform(
+        mentions,
+        lambda m: F.struct(
+            m["kind"].alias("kind"), m["name"].alias("name"), m["pos"].alias("pos"), m["n"].alias("n"),
+            F.size(F.filter(ends, lambda e: e < m["pos"])).alias("clause"),
+            F.size(F.filter(parts, lambda e: e < m["pos"])).alias("part"),
+        ),
     )
 
+    def gap(a: Column, b: Column) -> Column:
+        words = F.greatest(F.lit(0), a["pos"] - b["pos"] - b["n"], b["pos"] - a["pos"] - a["n"])
+        return words + PARTED * F.abs(a["part"] - b["part"])
+
+    def tied(fact: str, kinds: tuple[str, ...]) -> Column:
+        targets = F.filter(placed, lambda m: m["kind"].isin(*kinds))
+
+        def nearest(f: Column) -> Column:
+            here = F.filter(targets, lambda t: t["clause"] == f["clause"])
+            return F.array_min(
+                F.transform(
+                    here,
+                    lambda t: F.struct(
+                        gap(f, t).alias("gap"), t["pos"].alias("start"), (-t["n"]).alias("longest"), t["kind"].alias("kind"), t["name"].alias("name")
+                    ),
+                )
+            )
+
+        found = F.transform(F.filter(placed, lambda m: m["kind"] == fact), lambda f: F.struct(nearest(f).alias("to"), f["pos"].alias("pos"), f["name"].alias("value")))
+        return F.transform(
+            F.filter(found, lambda x: x["to"].isNotNull()),
+            lambda x: F.struct(x["to"]["gap"].alias("gap"), x["pos"].alias("pos"), x["value"].alias("value"), x["to"]["kind"].alias("kind"), x["to"]["name"].alias("name")),
+        )
+
+    return F.struct(*[tied(fact, kinds).alias(fact) for fact, kinds in LINKED.items()])
+
+
+def linked_value(fact: str, kind: str, name: Column) -> Column:
+    """The value of the nearest ``fact`` tied to an event or product; NULL if there is none."""
+    own = F.filter(F.col(f"linked.{fact}"), lambda x: (x["kind"] == kind) & (x["name"] == name))
+    return F.array_min(own)["value"]
+
 
 def with_run_id(reports: DataFrame, version: str) -> DataFrame:
     """Report rows with an id made of their content and the pipeline version.

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from safetylake import schemas as S
 from safetylake.functions import text
 from safetylake.operators.grounding import nearest_to
+from safetylake.operators.mentions import linked_value
 from safetylake.session import stage_table
 
 # --- Fixed values: rule parameters ---------------------------------------------------
@@ -75,22 +76,29 @@ def _iso(date: Column) -> Column:
 
 
 def extraction(reports: DataFrame) -> DataFrame:
-    """Structured case from stated facts and mentions; what is not stated stays NULL."""
+    """Structured case from stated facts and mentions; what is not stated stays NULL.
+
+    A product takes the maker, dose number and route, an event the onset date and outcome that are
+    tied to it inside a clause.
+    """
     stated = F.col("stated")
     gap = F.datediff(stated["onset_date"], stated["vaccination_date"]).cast("bigint")
-    none = F.lit(None).cast("string")
     products = F.transform(
         "products",
         lambda p: F.struct(
-            p["name"].alias("name"), none.alias("manufacturer"), none.alias("dose_series"),
-            none.alias("route"),
+            p["name"].alias("name"),
+            linked_value("maker", "product", p["name"]).alias("manufacturer"),
+            linked_value("dose", "product", p["name"]).alias("dose_series"),
+            linked_value("route", "product", p["name"]).alias("route"),
             F.when(p["in_scope"], "suspect").otherwise("concomitant").alias("role"),
         ),
     )
     events = F.transform(
         "events",
         lambda e: F.struct(
-            e["verbatim"].alias("verbatim"), none.alias("onset_date"), none.alias("outcome")
+            e["verbatim"].alias("verbatim"),
+            linked_value("date", "event", e["name"]).alias("onset_date"),
+            linked_value("outcome", "event", e["name"]).alias("outcome"),
         ),
     )
     found = [

@@ -167,7 +167,7 @@ def run_with_predictors(
     runs = stages.extraction(read(reports, ref, version))
     if "triage" in chosen:
         runs = stages.triage(runs, minor_terms)
-    runs = runs.drop("events", "products")
+    runs = runs.drop("events", "products", "linked")
     if {"triage", "extraction"} & set(predictors):
         runs = stage_table(runs, "rules")  # predictions and failures join it: the text is read once
         prompts = with_run_id(reports, version).select(

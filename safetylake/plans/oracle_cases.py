@@ -2,23 +2,14 @@
 
 from __future__ import annotations
 
+from safetylake.operators.mentions import LEXICON
+
 FULL = "pipeline@0.3.0-phase3"
 TWO_STAGE = "pipeline@0.2.0-phase2"
 
-WORDS = """
-    ('PATIENT','reporter','patient'), ('NURSE','reporter','nurse'), ('PHYSICIAN','reporter','physician'),
-    ('PHARMACIST','reporter','pharmacist'), ('PARENT','reporter','parent'), ('REPORTER','reporter','reporter'),
-    ('MALE','sex','male'), ('MAN','sex','male'), ('BOY','sex','male'),
-    ('FEMALE','sex','female'), ('WOMAN','sex','female'), ('GIRL','sex','female'),
-    ('DIED','criterion','death'), ('DEATH','criterion','death'), ('FATAL','criterion','death'),
-    ('DECEASED','criterion','death'), ('LIFE THREATENING','criterion','life_threatening'),
-    ('HOSPITALIZED','criterion','hospitalization'), ('HOSPITALISED','criterion','hospitalization'),
-    ('HOSPITALIZATION','criterion','hospitalization'), ('HOSPITALISATION','criterion','hospitalization'),
-    ('ADMITTED','criterion','hospitalization'), ('DISABLED','criterion','disability'),
-    ('DISABILITY','criterion','disability'), ('DISABLING','criterion','disability'),
-    ('CONGENITAL','criterion','congenital_anomaly'), ('BIRTH DEFECT','criterion','congenital_anomaly'),
-    ('MEDICALLY IMPORTANT','criterion','other_medically_important'),
-    ('MEDICALLY SIGNIFICANT','criterion','other_medically_important')"""
+WORDS = ", ".join(
+    f"('{phrase}','{kind}','{name}')" for kind, names in LEXICON.items() for name, phrases in names.items() for phrase in phrases
+)
 PHRASE = "trim(regexp_replace(upper({}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
 DATE = r"(\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4})"
 AGE = r"(?i)(?:^|[^\d.])(\d+(?:\.\d+)?)[- ]?(years?|yrs?|months?|mos?|weeks?|wks?|days?)[- ]old\b"
@@ -30,7 +21,7 @@ ONGOING = r"(?i)\bnot[ \t]+(?:yet[ \t]+)?(recovered|resolved|subsided|improved|g
 CONTRAST = r"(?i)[ \t]+(but|however|although|except)\b"
 AFFIRMED = (
     f"CASE WHEN regexp_matches(narrative, '{NEGATION}') THEN regexp_replace(regexp_replace(regexp_replace("
-    f"narrative, '{ONGOING}', '| \\1', 'g'), '{CONTRAST}', ' | \\1', 'g'), '{DENIED}', ' | ', 'g') ELSE narrative END"
+    f"narrative, '{ONGOING}', '| ongoing', 'g'), '{CONTRAST}', ' | \\1', 'g'), '{DENIED}', ' | ', 'g') ELSE narrative END"
 )
 ONSET_PATTERN = r"(?i)\bonset\b[^0-9.]*" + DATE
 
@@ -91,12 +82,11 @@ def overall(*confidences: str) -> str:
     return f"least({', '.join(confidences)})"
 
 
-NULLS = "'manufacturer': NULL::VARCHAR, 'dose_series': NULL::VARCHAR, 'route': NULL::VARCHAR"
 CASE_STRUCT = f"""{{
     'patient': {{'age_years': age_years, 'sex': coalesce(sex, 'unknown')}},
-    'products': list_transform(products, lambda p: {{'name': p.name, {NULLS},
+    'products': list_transform(products, lambda p: {{'name': p.name, 'manufacturer': p.maker, 'dose_series': p.dose, 'route': p.route,
         'role': CASE WHEN p.in_scope THEN 'suspect' ELSE 'concomitant' END}}),
-    'events': list_transform(events, lambda e: {{'verbatim': e.verbatim, 'onset_date': NULL::VARCHAR, 'outcome': NULL::VARCHAR}}),
+    'events': list_transform(events, lambda e: {{'verbatim': e.verbatim, 'onset_date': e.onset_date, 'outcome': e.outcome}}),
     'vaccination_date': strftime(dose, '%Y-%m-%d'), 'onset_date': strftime(onset, '%Y-%m-%d'),
     'days_to_onset': days_to_onset, 'concomitant_meds': meds, 'medical_history': history, 'allergies': allergies}}"""
 
@@ -106,27 +96,55 @@ CASE_VIEWS: dict[str, str] = {
         FROM (SELECT {PHRASE.format('pt_term')} AS phrase, 'event' AS kind, pt_term AS name, FALSE AS in_scope FROM dictionary
               UNION ALL SELECT DISTINCT {PHRASE.format('vax_name')}, 'product', vax_name,
                      vax_name IN (SELECT vax_name FROM scope WHERE in_scope) FROM fx_vax
+              UNION ALL SELECT DISTINCT {PHRASE.format('vax_manu')}, 'maker', vax_manu, FALSE FROM fx_vax
               UNION ALL SELECT phrase, kind, name, FALSE FROM (VALUES {WORDS}) w(phrase, kind, name))
         WHERE phrase <> '' GROUP BY phrase, kind""",
     "tokenised": r"""
-        SELECT vaers_id, string_split(trim(regexp_replace(regexp_replace(affirmed, '[.;:!?]+(\s|$)', ' | ', 'g'),
-                   '[^\p{L}\p{N}|]+', ' ', 'g')), ' ') AS tokens
+        SELECT vaers_id, string_split(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(affirmed,
+                   '(^|[^\p{L}\p{N}])(\d{4})-(\d{2})-(\d{2})', '\1 \2D\3D\4 ', 'g'), '(^|[^\p{L}\p{N}])(\d{1,2})/(\d{1,2})/(\d{4})', '\1 \2S\3S\4 ', 'g'),
+                   '[.;:!?]+(\s|$)', ' | ', 'g'), '[^\p{L}\p{N}|]+', ' ', 'g')), ' ') AS tokens
         FROM (SELECT vaers_id, """ + AFFIRMED + """ AS affirmed FROM fx_narratives)""",
     "grams": """
-        SELECT vaers_id, pos, array_to_string(tokens[pos:pos + n - 1], ' ') AS verbatim
+        SELECT vaers_id, pos, n, array_to_string(tokens[pos:pos + n - 1], ' ') AS verbatim
         FROM (SELECT vaers_id, tokens, n, unnest(range(1, len(tokens) - n + 2)) AS pos
               FROM tokenised, (SELECT DISTINCT len(string_split(phrase, ' ')) AS n FROM voc))""",
+    "found": """
+        SELECT vaers_id, kind, name, pos, n, verbatim, in_scope FROM grams JOIN voc ON voc.phrase = upper(verbatim)""",
     "mentioned": """
         SELECT vaers_id, kind, name, min(pos) AS pos, arg_min(verbatim, pos) AS verbatim, bool_or(in_scope) AS in_scope
-        FROM grams JOIN voc ON voc.phrase = upper(verbatim) GROUP BY vaers_id, kind, name""",
+        FROM found GROUP BY vaers_id, kind, name""",
+    "clauses": """
+        SELECT vaers_id, pos, token, sum((token = '|')::INT) OVER (PARTITION BY vaers_id ORDER BY pos) AS clause,
+               sum((upper(token) IN ('AND', 'THEN', 'WHILE', 'PLUS', 'FOLLOWED'))::INT) OVER (PARTITION BY vaers_id ORDER BY pos) AS part
+        FROM (SELECT vaers_id, unnest(tokens) AS token, unnest(range(1, len(tokens) + 1)) AS pos FROM tokenised)""",
+    "intervals": r"""
+        SELECT vaers_id, clause, part, kind, name, pos, n
+        FROM (SELECT DISTINCT vaers_id, kind, name, pos, n FROM found
+              UNION ALL SELECT vaers_id, 'date', coalesce(strftime(try_strptime(token, '%YD%mD%d'), '%Y-%m-%d'),
+                     strftime(try_strptime(token, '%mS%dS%Y'), '%Y-%m-%d')), pos, 1
+              FROM clauses WHERE regexp_matches(token, '^(\d{4}D\d{2}D\d{2}|\d{1,2}S\d{1,2}S\d{4})$'))
+        JOIN clauses USING (vaers_id, pos) WHERE name IS NOT NULL""",
+    "linked": """
+        SELECT vaers_id, kind, name, fact, list(value ORDER BY gap, fact_pos, value)[1] AS value
+        FROM (SELECT f.vaers_id, f.kind AS fact, f.name AS value, f.pos AS fact_pos, t.kind, t.name,
+                     greatest(0, f.pos - t.pos - t.n, t.pos - f.pos - f.n) + 10 * abs(f.part - t.part) AS gap
+              FROM intervals f JOIN intervals t ON f.vaers_id = t.vaers_id AND f.clause = t.clause
+               AND ((f.kind = 'date' AND t.kind IN ('event', 'product')) OR (f.kind = 'outcome' AND t.kind = 'event')
+                    OR (f.kind IN ('dose', 'route', 'maker') AND t.kind = 'product'))
+              QUALIFY row_number() OVER (PARTITION BY f.vaers_id, f.kind, f.name, f.pos ORDER BY gap, t.pos, -t.n, t.kind, t.name) = 1)
+        GROUP BY ALL""",
+    "tied": """
+        SELECT vaers_id, kind, name, max(value) FILTER (fact = 'date') AS onset_date, max(value) FILTER (fact = 'outcome') AS outcome,
+               max(value) FILTER (fact = 'dose') AS dose, max(value) FILTER (fact = 'route') AS route, max(value) FILTER (fact = 'maker') AS maker
+        FROM linked GROUP BY ALL""",
     "mention_lists": """
         SELECT vaers_id,
-               list(struct_pack(verbatim := verbatim, name := name) ORDER BY pos, name) FILTER (kind = 'event') AS events,
-               list(struct_pack(name := name, in_scope := in_scope) ORDER BY pos, name) FILTER (kind = 'product') AS products,
+               list(struct_pack(verbatim := verbatim, name := name, onset_date := onset_date, outcome := outcome) ORDER BY pos, name) FILTER (kind = 'event') AS events,
+               list(struct_pack(name := name, in_scope := in_scope, maker := maker, dose := dose, route := route) ORDER BY pos, name) FILTER (kind = 'product') AS products,
                arg_min(name, pos) FILTER (kind = 'sex') AS sex,
                list(name) FILTER (kind = 'criterion') AS met,
                count(*) FILTER (kind = 'reporter') > 0 AS has_reporter
-        FROM mentioned GROUP BY vaers_id""",
+        FROM mentioned LEFT JOIN tied USING (vaers_id, kind, name) GROUP BY vaers_id""",
     "facts": f"""
         SELECT n.vaers_id, n.received_date, narrative, {run_id(FULL)} AS run_id,
                coalesce(round(TRY_CAST(regexp_extract(narrative, '{AGE}', 1) AS DOUBLE)

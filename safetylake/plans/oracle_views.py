@@ -156,12 +156,15 @@ VIEWS: dict[str, str] = {
                || CASE WHEN o_orderkey % 23 = 0 THEN ' Was not admitted, no birth defect.' ELSE '' END
                || CASE WHEN o_orderkey % 21 = 0 THEN ' Denied hot anvil but felt hot gear.' ELSE '' END
                || CASE WHEN o_orderkey % 25 = 0 THEN ' Has not recovered from hot plate.' ELSE '' END
+               || CASE WHEN o_orderkey % 9 = 0 THEN ' Then got ' || coalesce(last, 'the same') || ' as second dose intramuscularly on '
+                       || strftime(CAST(o_orderdate AS DATE) + 40, '%Y-%m-%d') || ' and felt hot gear from '
+                       || strftime(CAST(o_orderdate AS DATE) + 41, '%-m/%-d/%Y') || ', hot bolt resolved while hot plate is ongoing.' ELSE '' END
                || CASE WHEN o_orderkey % 6 = 0 THEN ' History: asthma; diabetes.' ELSE '' END
                || CASE WHEN o_orderkey % 8 = 0 THEN ' Allergies: penicillin.' ELSE '' END
                || CASE WHEN o_orderkey % 10 = 0 THEN ' Concomitant medications: aspirin; metformin.' ELSE '' END
                AS narrative
         FROM orders
-        LEFT JOIN (SELECT l_orderkey, min(product) AS product, string_agg(DISTINCT p_name, '; ' ORDER BY p_name) AS names
+        LEFT JOIN (SELECT l_orderkey, min(product) AS product, max(product) AS last, string_agg(DISTINCT p_name, '; ' ORDER BY p_name) AS names
                    FROM fx_lines GROUP BY l_orderkey) f ON f.l_orderkey = o_orderkey""",
     "scope": """
         SELECT 'PROMO family' AS scope_label, vax_type, vax_name, min(vax_manu) AS vax_manu, TRUE AS in_scope,

@@ -268,6 +268,7 @@ def narratives(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
         .agg(
             F.min(_product()).alias("product"),
+            F.max(_product()).alias("last"),
             F.array_join(F.sort_array(F.collect_set("p_name")), "; ").alias("events"),
         )
     )
@@ -296,6 +297,15 @@ def narratives(spark: SparkSession, sf_dir: str) -> DataFrame:
         say(k % 23 == 0, " Was not admitted, no birth defect."),
         say(k % 21 == 0, " Denied hot anvil but felt hot gear."),
         say(k % 25 == 0, " Has not recovered from hot plate."),
+        F.when(
+            k % 9 == 0,
+            F.concat(
+                F.lit(" Then got "), F.coalesce("last", F.lit("the same")), F.lit(" as second dose intramuscularly on "),
+                F.date_format(F.date_add(F.to_date("o_orderdate"), 40), "yyyy-MM-dd"), F.lit(" and felt hot gear from "),
+                F.date_format(F.date_add(F.to_date("o_orderdate"), 41), "M/d/yyyy"),
+                F.lit(", hot bolt resolved while hot plate is ongoing."),
+            ),
+        ).otherwise(F.lit("")),
         say(k % 6 == 0, " History: asthma; diabetes."),
         say(k % 8 == 0, " Allergies: penicillin."),
         say(k % 10 == 0, " Concomitant medications: aspirin; metformin."),
