@@ -136,9 +136,9 @@ def lexicon(spark: SparkSession) -> DataFrame:
 def vocabulary(dictionary: DataFrame, products: DataFrame, scope: DataFrame) -> DataFrame:
     """Phrases to look for: dictionary terms, product names, makers and the fixed words.
 
-    One row per (phrase, kind), with its number of words ``n`` and its anchor: the word of it that fewest
-    phrases hold, and that word's ``offset`` in it. ``dictionary`` holds pt_term, ``products`` vax_name and,
-    where known, vax_manu, ``scope`` vax_name and in_scope.
+    One row per (phrase, kind), with its number of words ``n`` and its anchor: of its pairs of neighbouring
+    words the ``key`` that fewest phrases hold, and its ``offset``; a phrase of one word is its own key.
+    ``dictionary`` holds pt_term, ``products`` vax_name and, where known, vax_manu, ``scope`` vax_name and in_scope.
     """
 
     def named(rows: DataFrame, column: str, kind: str) -> DataFrame:
@@ -162,13 +162,16 @@ def vocabulary(dictionary: DataFrame, products: DataFrame, scope: DataFrame) ->
         .groupBy("phrase", "kind")
         .agg(F.min("name").alias("name"), F.max("in_scope").alias("in_scope"))
     )
-    parts = found.select("phrase", "kind", F.posexplode(F.split("phrase", " ")).alias("offset", "word"))
-    holders = parts.groupBy("word").agg(F.count_distinct("phrase").alias("holders"))
+    singles = F.split("phrase", " ")
+    pairs = F.zip_with(singles, F.slice(singles, 2, F.size(singles)), lambda a, b: F.concat(a, F.lit(" "), b))
+    keys = F.when(F.size(singles) == 1, singles).otherwise(F.array_compact(pairs))
+    parts = found.select("phrase", "kind", F.size(singles).alias("n"), F.posexplode(keys).alias("offset", "key"))
+    holders = parts.groupBy("key").agg(F.count_distinct("phrase").alias("holders"))
     anchors = (
-        parts.join(holders, "word")
-        .groupBy("phrase", "kind")
-        .agg(F.min(F.struct("holders", "offset", "word")).alias("anchor"), F.count("*").cast("int").alias("n"))
-        .select("phrase", "kind", "n", "anchor.word", "anchor.offset")
+        parts.join(holders, "key")
+        .groupBy("phrase", "kind", "n")
+        .agg(F.min(F.struct("holders", "offset", "key")).alias("anchor"))
+        .select("phrase", "kind", "n", "anchor.key", "anchor.offset")
     )
     return found.join(anchors, ["phrase", "kind"])
 
@@ -189,8 +192,9 @@ def read_reports(reports: DataFrame, vocab: DataFrame) -> DataFrame:
     """Facts and dictionary mentions per report: run_id, vaers_id, facts, events, products, linked.
 
     ``reports`` holds run_id, vaers_id, narrative, received_date. The text is read once and
-    never shuffled: every word meets the phrases that it anchors in an equi-join, and only there is the
-    rest of the phrase compared, so a word is one row of the join whatever the lengths of phrases.
+    never shuffled: every word and every pair of neighbours meets the phrases that it anchors in an
+    equi-join, and only there is the rest of the phrase compared, so a word is two rows of the join
+    whatever the lengths of phrases.
     Only matches and the facts row of each report meet in one aggregation on run_id.
     What a text denies ("no fever") is no mention; stated numbers, dates and lists are read as written.
     Reports with the same run_id are copies of one another; their matches collapse in the
@@ -198,52 +202,65 @@ def read_reports(reports: DataFrame, vocab: DataFrame) -> DataFrame:
     """
     lowered = reports.withColumn("lowered", F.lower("narrative"))
     read = lowered.select("*", words(affirmed(F.col("narrative"))).alias("tokens"))
-    ends = F.array_compact(F.transform("tokens", lambda t, i: F.when(F.substring(t, 1, 1).isin(ENDS), i + 1)))
-    parts = F.array_compact(F.transform("tokens", lambda t, i: F.when(F.upper(t).isin(PARTING), i + 1)))
+    parting = [form(w) for w in PARTING for form in (str.upper, str.lower, str.capitalize)]
+    mark = lambda t, i: F.when(F.substring(t, 1, 1).isin(ENDS), i + 1).when(t.isin(parting), -i - 1)
     facts = F.struct(
         "vaers_id",
         "received_date",
         F.sha2("narrative", 256).alias("input_hash"),
         stated_texts(F.col("narrative"), F.col("lowered")).alias("texts"),
-        ends.alias("ends"),
-        parts.alias("parts"),
     )
+    marks = F.array_compact(F.transform("tokens", mark))  # apart from the facts, so that who needs no links skips them
     # Entry 0 of a report is its facts row. It carries a word no text can hold, different for
     # each report, so that it survives the left join and spreads evenly if that is shuffled.
-    listed = F.concat(F.array(F.concat(F.lit("|"), F.col("run_id"))), F.col("tokens"))
+    lead = F.array(F.concat(F.lit("|"), F.col("run_id")))
+    # As long as the words, so that an index is the same place; the last word has no pair.
+    pairs = F.zip_with("tokens", F.slice("tokens", 2, F.size("tokens")), lambda a, b: F.concat(a, F.lit(" "), b))
     is_lead = F.col("k") == 0
-    # Only the facts row takes the facts along, and a word takes the words that a phrase around it can hold.
+    # Only the facts row takes the facts along, and a place takes the words that a phrase around it can hold.
     reach = vocab.agg(F.max("offset").alias("before"), F.max(F.col("n") - F.col("offset")).alias("after")).first()
     before, after = reach["before"] or 0, reach["after"] or 1
-    near_from = F.greatest(F.lit(1), F.col("k") - before)
-    read = read.select("run_id", facts.alias("facts"), "tokens")
-    rows = read.select("*", F.posexplode(listed).alias("k", "token")).select(
-        "run_id", F.when(is_lead, F.col("facts")).alias("facts"), "k", "token", near_from.alias("near_from"),
-        F.when(~is_lead, F.slice("tokens", near_from, F.col("k") + after - near_from)).alias("near"),
+    at = F.when(is_lead, F.lit(0)).otherwise((F.col("k") - 1) % F.col("n_words") + 1)
+    near_from = F.greatest(F.lit(1), F.col("at") - before)
+    read = read.select("run_id", facts.alias("facts"), marks.alias("marks"), "tokens", F.size("tokens").alias("n_words"))
+    rows = (
+        read.select("*", F.posexplode(F.concat(lead, "tokens", pairs)).alias("k", "run"))
+        .filter("run is not null")
+        .select(
+            "run_id", F.when(is_lead, F.col("facts")).alias("facts"), F.when(is_lead, F.col("marks")).alias("marks"),
+            at.alias("at"), "run", "tokens", (F.col("k") > F.col("n_words")).alias("is_pair"),
+        )
+        .withColumn("near_from", near_from)
+        .withColumn("near", F.when(F.col("is_pair"), F.slice("tokens", F.col("near_from"), F.col("at") + after - F.col("near_from"))))
+        .drop("tokens", "is_pair")
     )
-    joined = rows.join(vocab, F.upper("token") == F.col("word"), "left")
-    start = F.col("k") - F.col("offset")
+    joined = rows.join(vocab, F.upper("run") == F.col("key"), "left")
+    is_lead = F.col("at") == 0
+    is_date = F.col("kind").isNull() & ~is_lead & (F.contains("run", F.lit("-")) | F.contains("run", F.lit("/"))) & ~F.contains("run", F.lit(" "))
+    start = F.col("at") - F.col("offset")
     inside = (start >= F.col("near_from")) & (start - F.col("near_from") + F.col("n") <= F.size("near"))
-    run = F.when(inside, F.array_join(F.slice("near", F.greatest(start - F.col("near_from") + 1, F.lit(1)), F.col("n")), " "))
-    is_date = F.col("kind").isNull() & ~is_lead & (F.contains("token", F.lit("-")) | F.contains("token", F.lit("/")))
-    date = F.date_format(stated_date(F.col("token")), "yyyy-MM-dd")
+    whole = F.when(inside, F.array_join(F.slice("near", F.greatest(start - F.col("near_from") + 1, F.lit(1)), F.col("n")), " "))
+    verbatim = F.when(F.col("n") <= 2, F.col("run")).otherwise(whole)
+    date = F.date_format(stated_date(F.col("run")), "yyyy-MM-dd")
     matched = (
-        joined.withColumn("verbatim", F.when(F.col("kind").isNotNull(), run))
-        .filter(is_lead | is_date | (F.upper("verbatim") == F.col("phrase")))
+        joined.filter(is_lead | is_date | F.col("kind").isNotNull())
+        .filter(F.coalesce(F.col("n") <= 2, F.lit(True)) | (F.upper(verbatim) == F.col("phrase")))
         .select(
             "run_id",
             "facts",
+            "marks",
             F.when(is_date, F.lit("date")).otherwise(F.col("kind")).alias("kind"),
             F.when(is_date, date).otherwise(F.col("name")).alias("name"),
-            F.when(is_date, F.col("k")).otherwise(start).alias("pos"),
+            F.when(is_date, F.col("at")).otherwise(start).alias("pos"),
             F.when(is_date, F.lit(1)).otherwise(F.col("n")).alias("n"),
-            F.when(is_date, F.col("token")).otherwise(F.col("verbatim")).alias("verbatim"),
+            F.when(is_date, F.col("run")).otherwise(verbatim).alias("verbatim"),
             F.coalesce("in_scope", F.lit(False)).alias("in_scope"),
         )
     )
     mention = F.struct("kind", "name", "pos", "n", "verbatim", "in_scope")
     grouped = matched.groupBy("run_id").agg(
         F.first("facts", ignorenulls=True).alias("facts"),
+        F.first("marks", ignorenulls=True).alias("marks"),
         F.array_sort(F.collect_set(F.when(F.col("name").isNotNull(), mention))).alias("mentions"),
     )
     # Sorted by kind, name and position: the first of each name is its first mention.
@@ -282,6 +299,9 @@ def read_reports(reports: DataFrame, vocab: DataFrame) -> DataFrame:
         F.col("facts.texts.days").try_cast("bigint").alias("stated_days"),
         *[_items(F.col(f"facts.texts.{name}")).alias(name) for name in LISTS],
     )
+    # Columns of their own, so that each is computed once.
+    grouped = grouped.withColumn("placed", placed_mentions(F.col("mentions"), F.col("marks")))
+    grouped = grouped.withColumn("targets", F.filter("placed", lambda m: m["kind"].isin("event", "product")))
     return grouped.withColumn("firsts", firsts).select(
         "run_id",
         "facts.vaers_id",
@@ -290,7 +310,7 @@ def read_reports(reports: DataFrame, vocab: DataFrame) -> DataFrame:
         stated.alias("stated"),
         of_kind("event").alias("events"),
         of_kind("product").alias("products"),
-        links(F.col("mentions"), F.col("facts.ends"), F.col("facts.parts")).alias("linked"),
+        links(F.col("placed"), F.col("targets")).alias("linked"),
     )
 
 
@@ -298,31 +318,37 @@ def read_reports(reports: DataFrame, vocab: DataFrame) -> DataFrame:
 LINKED = {"date": ("event", "product"), "outcome": ("event",), "dose": ("product",), "route": ("product",), "maker": ("product",)}
 
 
-def links(mentions: Column, ends: Column, parts: Column) -> Column:
-    """For each kind of fact the facts tied to an event or product: array of (gap, pos, value, kind, name).
+def placed_mentions(mentions: Column, marks: Column) -> Column:
+    """Events, products and facts that may belong to them, with their clause and their part of it.
 
-    A mention is an interval of words. A fact belongs to the nearest interval of its clause (between two
-    entries of ``ends``) by the number of words in between, where those at ``parts`` count PARTED more; of
-    equally near ones to the first, and of those that start together to the longest.
+    ``marks`` lists the places of clause ends and, negative, of parting words.
     """
-    placed = F.transform(
-        mentions,
+    kinds = {*LINKED, *(k for allowed in LINKED.values() for k in allowed)}
+    return F.transform(
+        F.filter(mentions, lambda m: m["kind"].isin(*sorted(kinds))),
         lambda m: F.struct(
             m["kind"].alias("kind"), m["name"].alias("name"), m["pos"].alias("pos"), m["n"].alias("n"),
-            F.size(F.filter(ends, lambda e: e < m["pos"])).alias("clause"),
-            F.size(F.filter(parts, lambda e: e < m["pos"])).alias("part"),
+            F.size(F.filter(marks, lambda e: (e > 0) & (e < m["pos"]))).alias("clause"),
+            F.size(F.filter(marks, lambda e: (e < 0) & (-e < m["pos"]))).alias("part"),
         ),
     )
 
+
+def links(placed: Column, targets: Column) -> Column:
+    """For each kind of fact the facts tied to an event or product: array of (gap, pos, value, kind, name).
+
+    A mention is an interval of words. A fact belongs to the nearest interval of its clause by the number of
+    words in between, where parting words count PARTED more; of equally near ones to the first, and of those
+    that start together to the longest.
+    """
+
     def gap(a: Column, b: Column) -> Column:
         words = F.greatest(F.lit(0), a["pos"] - b["pos"] - b["n"], b["pos"] - a["pos"] - a["n"])
         return words + PARTED * F.abs(a["part"] - b["part"])
 
     def tied(fact: str, kinds: tuple[str, ...]) -> Column:
-        targets = F.filter(placed, lambda m: m["kind"].isin(*kinds))
-
         def nearest(f: Column) -> Column:
-            here = F.filter(targets, lambda t: t["clause"] == f["clause"])
+            here = F.filter(targets, lambda t: (t["clause"] == f["clause"]) & t["kind"].isin(*kinds))
             return F.array_min(
                 F.transform(
                     here,

@@ -79,12 +79,12 @@ def test_phrases_equal_a_plain_search(spark):
             assert (e.pos, e.verbatim) == (first + 1, e.name)
 
 
-def test_anchors_are_the_rarest_words(spark):
+def test_anchors_are_the_rarest_pairs(spark):
     dictionary = spark.createDataFrame([("Pain in arm",), ("Pain in leg",), ("Pain",), (None,), ("--",)], "pt_term string")
     empty = spark.createDataFrame([], "vax_name string, in_scope boolean")
     rows = mentions.vocabulary(dictionary, empty.select("vax_name"), empty).filter("kind = 'event'")
-    assert {(r.phrase, r.word, r.offset, r.n) for r in rows.collect()} == {
-        ("PAIN IN ARM", "ARM", 2, 3), ("PAIN IN LEG", "LEG", 2, 3), ("PAIN", "PAIN", 0, 1),
+    assert {(r.phrase, r.key, r.offset, r.n) for r in rows.collect()} == {
+        ("PAIN IN ARM", "IN ARM", 1, 3), ("PAIN IN LEG", "IN LEG", 1, 3), ("PAIN", "PAIN", 0, 1),
     }
 
 
