@@ -24,6 +24,7 @@ Numbers written in decimal digits alone are never candidates.
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from collections import Counter
@@ -137,13 +138,30 @@ def outside(start: int, end: int, spans: list[Span]) -> Iterator[tuple[int, int]
         yield start, end
 
 
+class Overlaps:
+    """Base spans of a text by kind; those of one kind do not overlap, so the ones that meet a run are neighbours."""
+
+    def __init__(self, text: str):
+        self.kinds = [[s for s in base_spans(text) if s[0] == kind] for kind in KINDS]
+        self.ends = [[e for _, _, e in spans] for spans in self.kinds]
+
+    def of(self, start: int, end: int) -> list[Span]:
+        found = []
+        for spans, ends in zip(self.kinds, self.ends, strict=True):
+            at = bisect.bisect_right(ends, start)
+            while at < len(spans) and spans[at][1] < end:
+                found.append(spans[at])
+                at += 1
+        return found
+
+
 def runs(text: str) -> Iterator[tuple[int, int]]:
     """(start, end) of every candidate: a run, then the long parts of it outside base spans."""
     base = None
     for m in CANDIDATE.finditer(text):
         yield m.span()
-        base = sorted(base_spans(text), key=lambda s: s[1]) if base is None else base
-        parts = outside(*m.span(), base)
+        base = Overlaps(text) if base is None else base
+        parts = outside(*m.span(), sorted(base.of(*m.span()), key=lambda s: s[1]))
         yield from ((s, e) for s, e in parts if (s, e) != m.span() and len(text[s:e].rstrip("=")) >= SHORTEST)
 
 
@@ -167,12 +185,15 @@ def tested(text: str) -> list[int]:
 def spans_of(text: str, least_bin: dict[int, int]) -> tuple[list[Span], list[Span]]:
     """(base spans, all spans), sorted by start and kind; an added span may overlap base spans, but not lie in them."""
     order = lambda s: (s[1], KINDS.index(s[0]))
-    base = sorted(base_spans(text), key=order)
-    spans = base
+    base, known = sorted(base_spans(text), key=order), Overlaps(text)
+    added: list[Span] = []
     for start, end, band, bin_ in candidates(text):
-        if bin_ >= least_bin[band] and any(outside(start, end, spans)):
-            spans = sorted([*spans, ("random", start, end)], key=order)
-    return base, spans
+        if bin_ >= least_bin[band]:
+            # runs come in order and do not overlap, nor do the parts of one: only the last can lie over this one
+            near = sorted([*known.of(start, end), *added[-1:]], key=order)
+            if any(outside(start, end, near)):
+                added.append(("random", start, end))
+    return base, sorted([*base, *added], key=order)
 
 
 def _possible(text: Column) -> Column:

@@ -4,6 +4,8 @@ import collections
 import hashlib
 import random
 import re
+import string
+import time
 import zlib
 
 import numpy as np
@@ -412,3 +414,16 @@ def test_pairs_of_fingerprints_equal_all_pairs(small):
     plain = {(i, j) for a, (i, s) in enumerate(items) for j, t in items[a + 1 :] if len(s & t) / len(s | t) >= 0.5}
     found = {(r.a, r.b) for r in spotsigs.near_pairs(small, 0.5).collect()}
     assert found == plain
+
+
+def test_secret_scan_takes_time_in_proportion_to_the_text():
+    rng = random.Random(9)
+    token = lambda n: "".join(rng.choices(string.ascii_letters + string.digits, k=n))
+    seconds = []
+    for n in (2000, 16000):
+        text = " ".join(f"token={token(30)} {token(20)}" for _ in range(n))
+        start = time.perf_counter()
+        base, spans = secret_scan.spans_of(text, {0: 10, 1: 10, 2: 10})
+        seconds.append(time.perf_counter() - start)
+        assert len(base) == n and len(spans) > n
+    assert seconds[1] < 8 * 4 * seconds[0]
