@@ -23,6 +23,9 @@ class Field:
     values: tuple[str, ...] = ()
     fields: dict[str, Field] | None = None
     items: Field | None = None
+    open: bool = False  # an object that may hold further fields
+    low: float | None = None
+    high: float | None = None
 
 
 def _req(kind: str, **kw) -> Field:
@@ -75,6 +78,13 @@ _CAUSALITY = _obj(
     method=_enum(S.CAUSALITY_METHOD), category=_enum(S.CAUSALITY_CATEGORY),
     score=_opt("number"), rationale=_req("string"),
 )
+_SIGNAL_ROW = Field(
+    "object", required=True, open=True,
+    fields={
+        "event_pt": _req("string"), **{n: Field("int") for n in ("a", "b", "c", "d", "n_total")},
+        "prr": _opt("number"), "ror": _opt("number"), "signal_flag": Field("bool"),
+    },
+)
 CONTRACTS = {
     "triage": _obj(
         valid=_req("bool"),
@@ -98,6 +108,15 @@ CONTRACTS = {
         overall_confidence=_req("unit"),
         hitl_recommended=_req("bool"),
     ),
+    "signal": _obj(
+        generated_sql=_req("string"), results=_list(_SIGNAL_ROW), summary=_req("string"), caveats=_list(Field("string")),
+    ),
+    "assembled_case": _obj(
+        run_id=_req("string"), vaers_id=_req("string"), pipeline_version=Field("string"), extracted=_CASE,
+        coded_pts=Field("list", required=True, items=Field("string")), coded_detail=Field("object", fields=_CODING.fields),
+        seriousness=_SERIOUSNESS, causality=_CAUSALITY, narrative=_req("string"), overall_confidence=_req("unit"),
+        hitl_required=_req("bool"),
+    ),
     "case": _CASE,
     "coding_result": _CODING,
     "seriousness": _SERIOUSNESS,
@@ -137,14 +156,17 @@ def _check(root: Column, at: str, field: Field, path: str) -> Column:
         verdict = F.when(number.isNull(), _say(path, "not a number"))
         if field.kind == "int":
             verdict = verdict.when(number != F.floor(number), _say(path, "not whole"))
-        if field.kind == "unit":
-            verdict = verdict.when(~number.between(0.0, 1.0), _say(path, "out of range"))
+        low, high = (0.0, 1.0) if field.kind == "unit" else (field.low, field.high)
+        if low is not None:
+            verdict = verdict.when(number < low, _say(path, "out of range"))
+        if high is not None:
+            verdict = verdict.when(number > high, _say(path, "out of range"))
         return verdict.otherwise(_none())
     if field.kind == "list":
         items = typed("array<variant>")
         inner = F.transform(items, lambda v: _value_errors(v, "$", field.items, f"{path}[]"))
         return F.coalesce(F.flatten(inner), _say(path, "not a list"))
-    return _object_errors(root, at, field.fields, path)
+    return _object_errors(root, at, field, path)
 
 
 def _value_errors(root: Column, at: str, field: Field, path: str) -> Column:
@@ -159,29 +181,102 @@ def _value_errors(root: Column, at: str, field: Field, path: str) -> Column:
     )
 
 
-def _object_errors(root: Column, at: str, fields: dict[str, Field], path: str) -> Column:
-    prefix = f"{path}." if path else ""
+def _object_errors(root: Column, at: str, contract: Field, path: str) -> Column:
+    prefix, fields = f"{path}." if path else "", contract.fields
     names = F.map_keys(F.try_variant_get(root, at, "map<string,variant>"))
     unknown = F.transform(
         F.array_except(names, F.array(*[F.lit(n) for n in fields])),
         lambda name: F.concat(F.lit(prefix), name, F.lit(": unknown field")),
     )
-    found = [unknown] + [
+    found = ([] if contract.open else [unknown]) + [
         _value_errors(root, f"{at}.{name}", field, prefix + name) for name, field in fields.items()
     ]
     no_object = F.array(F.lit(f"{path}: not an object" if path else "not an object"))
-    return F.when(names.isNull(), no_object).otherwise(F.concat(*found))
+    return F.when(names.isNull(), no_object).otherwise(F.concat(_none(), *found))
 
 
-def contract_errors(value: Column, contract: str) -> Column:
-    """Sorted distinct errors of one output, given as a variant column; empty when sound."""
-    errors = F.when(value.isNull(), F.array(F.lit("not JSON"))).otherwise(
-        _object_errors(value, "$", CONTRACTS[contract].fields, "")
-    )
+def contract_errors(value: Column, contract: str | Field) -> Column:
+    """Sorted distinct errors of one output, given as a variant column; empty when sound.
+
+    ``contract`` is a name of CONTRACTS or what ``compile_schema`` made of a registry.
+    """
+    contract = CONTRACTS[contract] if isinstance(contract, str) else contract
+    errors = F.when(value.isNull(), F.array(F.lit("not JSON"))).otherwise(_object_errors(value, "$", contract, ""))
     return F.array_sort(F.array_distinct(errors))
 
 
-def validate(outputs: DataFrame, column: str, contract: str) -> DataFrame:
+def compile_schema(schema: dict, registry: dict, required: bool = True) -> Field:
+    """A contract from a JSON schema, as stage registries hold them.
+
+    Read are types (a list of types may hold "null"), enumerations, ranges of numbers, items, properties, required
+    ones, additionalProperties (allowed unless it is false) and references (``#/...``) into ``registry``. Other
+    words, such as descriptions, check nothing. A schema that contains itself cannot be compiled.
+    """
+
+    def resolved(node: dict, seen: tuple[str, ...]) -> tuple[dict, tuple[str, ...]]:
+        while "$ref" in node:
+            ref = node["$ref"]
+            if ref in seen:
+                raise ValueError(f"{ref} contains itself")
+            seen, node = (*seen, ref), registry
+            for step in ref.removeprefix("#/").split("/"):
+                if step not in node:
+                    raise ValueError(f"{ref} is not in the registry")
+                node = node[step]
+        return node, seen
+
+    def made(node: dict, is_required: bool, seen: tuple[str, ...]) -> Field:
+        node, seen = resolved(node, seen)
+        kinds = node.get("type", "string" if "enum" in node else "object")
+        kinds = [kinds] if isinstance(kinds, str) else list(kinds)
+        values = tuple(v for v in node.get("enum", ()) if v is not None)
+        common = {"required": is_required, "nullable": "null" in kinds or None in node.get("enum", ())}
+        plain = [k for k in kinds if k != "null"]
+        if len(plain) != 1:
+            raise ValueError(f"one type besides null is needed, not {kinds}")
+        if values:
+            return Field("enum", values=values, **common)
+        if plain[0] == "object":
+            needed = node.get("required", [])
+            fields = {name: made(inner, name in needed, seen) for name, inner in node.get("properties", {}).items()}
+            return Field("object", fields=fields, open=node.get("additionalProperties", True) is not False, **common)
+        if plain[0] == "array":
+            return Field("list", items=made(node["items"], True, seen), **common)
+        if plain[0] in ("number", "integer"):
+            low, high = node.get("minimum"), node.get("maximum")
+            return Field("int" if plain[0] == "integer" else "number", low=low, high=high, **common)
+        return Field({"boolean": "bool", "string": "string"}[plain[0]], **common)
+
+    return made(schema, required, ())
+
+
+def drift(old: Field, new: Field, path: str = "") -> list[str]:
+    """What two versions of a contract disagree in, with the path of each field."""
+    here = path or "$"
+    found = []
+    kinds = {"unit": "number"}
+    if kinds.get(old.kind, old.kind) != kinds.get(new.kind, new.kind):
+        return [f"{here}: {old.kind} became {new.kind}"]
+    for name in ("required", "nullable", "open"):
+        if getattr(old, name) != getattr(new, name):
+            found.append(f"{here}: {'now' if getattr(new, name) else 'no longer'} {name}")
+    ranges = [(0.0, 1.0) if f.kind == "unit" else (f.low, f.high) for f in (old, new)]
+    if ranges[0] != ranges[1]:
+        found.append(f"{here}: range changed")
+    if set(old.values) != set(new.values):
+        found.append(f"{here}: values changed")
+    if old.items and new.items:
+        found += drift(old.items, new.items, f"{here}[]")
+    a, b = old.fields or {}, new.fields or {}
+    below = lambda name: f"{path}.{name}" if path else name
+    found += [f"{below(n)}: removed" for n in a if n not in b] + [f"{below(n)}: added" for n in b if n not in a]
+    for name in a:
+        if name in b:
+            found += drift(a[name], b[name], below(name))
+    return sorted(found)
+
+
+def validate(outputs: DataFrame, column: str, contract: str | Field) -> DataFrame:
     """Adds errors and valid; split the result on ``valid`` into good rows and quarantine.
 
     The text is parsed in a projection of its own, once per row however many fields are checked.

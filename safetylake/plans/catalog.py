@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -366,6 +366,66 @@ def _views(i: Inputs) -> DataFrame:
     )
 
 
+# A sound output of every contract, and faults: text to replace and what stands there instead.
+_CASE = (
+    '{"patient":{"age_years":30,"sex":"male"},"products":[{"name":"X","role":"suspect"}],'
+    '"events":[{"verbatim":"rash","outcome":"recovered"}],"days_to_onset":2}'
+)
+_CODED = '{"coded":[{"verbatim":"rash","meddra_pt":"Rash","confidence":0.9}],"uncoded":["itch"]}'
+_GRAVE = '{"serious":true,"criteria_met":["death"]}'
+_CAUSE = '{"method":"WHO-UMC","category":"possible","score":null,"rationale":"r"}'
+SAMPLES: dict[str, tuple[str, list[tuple[str, str]]]] = {
+    "triage": (
+        '{"valid":true,"missing_criteria":[],"seriousness_screen":{"serious":false,"criteria_flagged":[]},"priority":"standard","confidence":0.8}',
+        [('"standard"', '"urgent"'), ('"confidence":0.8', '"confidence":-0.1'), ('"serious":false,', ""), ("[]}", '["none"]}'), ("true", '"perhaps"')],
+    ),
+    "extraction": (
+        f'{{"case":{_CASE},"confidence":0.6}}',
+        [('"male"', '"m"'), ('"days_to_onset":2', '"days_to_onset":2.5'), ('"recovered"', '"well"'), ('"name":"X",', ""), ("30", '"old"')],
+    ),
+    "coding": (
+        f'{{"result":{_CODED},"confidence":0.9}}',
+        [('"Rash"', "7"), ('"confidence":0.9}]', '"confidence":9}]'), ('"uncoded":["itch"]', '"uncoded":"itch"'), ('"result"', '"results"')],
+    ),
+    "assessment": (f'{{"seriousness":{_GRAVE},"causality":{_CAUSE},"confidence":0.8}}', [('"death"', "null"), ('"WHO-UMC"', '"guess"'), (',"rationale":"r"', "")]),
+    "narrative_qc": (
+        '{"narrative":"n","completeness":{"completeness_score":0.5,"gaps":["age"]},"qc_flags":[{"type":"missing_field","severity":"warning","detail":null}],'
+        '"overall_confidence":0.9,"hitl_recommended":false}',
+        [('"warning"', '"mild"'), ("0.5", "5"), ('"narrative":"n",', ""), ('"detail":null', '"detail":null,"more":1')],
+    ),
+    "signal": (
+        '{"generated_sql":"q","results":[{"event_pt":"Rash","a":3,"prr":2.5,"other":1}],"summary":"s","caveats":[]}',
+        [('"event_pt":"Rash",', ""), ('"a":3', '"a":null'), ('"summary":"s"', '"summary":1'), ('"caveats"', '"caveat"')],
+    ),
+    "assembled_case": (
+        f'{{"run_id":"r","vaers_id":"v","extracted":{_CASE},"coded_pts":["Rash"],"coded_detail":{_CODED},"seriousness":{_GRAVE},'
+        f'"causality":{_CAUSE},"narrative":"n","overall_confidence":0.7,"hitl_required":true}}',
+        [('"coded_pts":["Rash"],', ""), ('"vaers_id":"v"', '"vaers_id":5'), ('"suspect"', '"main"'), ("0.7", "1.01")],
+    ),
+}
+
+
+def _stage_outputs(i: Inputs) -> DataFrame:
+    """case_key, contract and output: one per order, by turns sound and with each fault of its contract."""
+    k = F.col("o_orderkey")
+    text_of = F.lit(None).cast("string")
+    for n, (sound, faults) in enumerate(SAMPLES.values()):
+        fault = F.floor(k / len(SAMPLES)) % (len(faults) + 1)
+        output = F.lit(sound)
+        for f, (old, new) in enumerate(faults, 1):
+            assert sound.count(old), old
+            output = F.when(fault == f, F.lit(sound.replace(old, new, 1))).otherwise(output)
+        text_of = F.when(k % len(SAMPLES) == n, output).otherwise(text_of)
+    contract = F.element_at(F.array(*[F.lit(c) for c in SAMPLES]), (k % len(SAMPLES) + 1).cast("int"))
+    return star.table(i.spark, i.sf_dir, "orders").select(k.alias("case_key"), contract.alias("contract"), text_of.alias("output"))
+
+
+def _validated_stages(i: Inputs) -> DataFrame:
+    outputs = stage_table(_stage_outputs(i), "outputs")
+    parts = [contracts.validate(outputs.filter(F.col("contract") == name), "output", name) for name in SAMPLES]
+    return reduce(DataFrame.unionByName, parts).select("case_key", "contract", "valid", F.array_join("errors", "|").alias("errors"))
+
+
 def _broken_outputs(i: Inputs) -> DataFrame:
     """Assessment outputs as JSON text, one per order, many with a fault."""
     k = F.col("o_orderkey")
@@ -656,6 +716,7 @@ QUERIES: dict[str, Query] = {
     "scored_run": _using(_scored_run),
     "slice_run": _using(_slice_run),
     "validate_contract": _using(_validated),
+    "validate_stages": _using(_validated_stages),
     "failed_cases": _using(_failed),
     "predicted_run": _using(_predicted_run),
     "active_versions": _using(_active),

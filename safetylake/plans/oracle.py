@@ -217,6 +217,28 @@ BODIES.update({
         SELECT case_key, errors = '' AS valid, errors
         FROM (SELECT case_key, CASE WHEN NOT json_valid(output) THEN 'not JSON' ELSE array_to_string({FAULTS}, '|') END AS errors
               FROM (SELECT *, CASE WHEN json_valid(output) THEN CAST(output AS JSON) END AS j FROM ({FAULTY})))""",
+    "validate_stages": """
+        SELECT o_orderkey AS case_key, c.contract, coalesce(errors, '') = '' AS valid, coalesce(errors, '') AS errors
+        FROM (SELECT o_orderkey, o_orderkey % 7 AS stage, o_orderkey // 7 AS round FROM orders)
+        JOIN (VALUES (0, 'triage', 6), (1, 'extraction', 6), (2, 'coding', 5), (3, 'assessment', 4), (4, 'narrative_qc', 5), (5, 'signal', 5),
+                     (6, 'assembled_case', 5)) c(stage, contract, rounds) USING (stage)
+        LEFT JOIN (VALUES
+          ('triage', 1, 'priority: not in list'), ('triage', 2, 'confidence: out of range'), ('triage', 3, 'seriousness_screen.serious: missing'),
+          ('triage', 4, 'seriousness_screen.criteria_flagged[]: not in list'), ('triage', 5, 'valid: not a truth value'),
+          ('extraction', 1, 'case.patient.sex: not in list'), ('extraction', 2, 'case.days_to_onset: not whole'),
+          ('extraction', 3, 'case.events[].outcome: not in list'), ('extraction', 4, 'case.products[].name: missing'),
+          ('extraction', 5, 'case.patient.age_years: not a number'),
+          ('coding', 1, 'result.coded[].meddra_pt: not text'), ('coding', 2, 'result.coded[].confidence: out of range'),
+          ('coding', 3, 'result.uncoded: not a list'), ('coding', 4, 'result: missing|results: unknown field'),
+          ('assessment', 1, 'seriousness.criteria_met[]: null'), ('assessment', 2, 'causality.method: not in list'),
+          ('assessment', 3, 'causality.rationale: missing'),
+          ('narrative_qc', 1, 'qc_flags[].severity: not in list'), ('narrative_qc', 2, 'completeness.completeness_score: out of range'),
+          ('narrative_qc', 3, 'narrative: missing'), ('narrative_qc', 4, 'qc_flags[].more: unknown field'),
+          ('signal', 1, 'results[].event_pt: missing'), ('signal', 2, 'results[].a: null'), ('signal', 3, 'summary: not text'),
+          ('signal', 4, 'caveat: unknown field'),
+          ('assembled_case', 1, 'coded_pts: missing'), ('assembled_case', 2, 'vaers_id: not text'),
+          ('assembled_case', 3, 'extracted.products[].role: not in list'), ('assembled_case', 4, 'overall_confidence: out of range')
+        ) e(contract, fault, errors) ON e.contract = c.contract AND e.fault = round % rounds""",
     "failed_cases": """
         SELECT vaers_id, 'extraction' AS stage, CASE WHEN contains(narrative, 'fatal') THEN 'unreadable report'
                ELSE 'contract: confidence: out of range' END AS error

@@ -18,12 +18,28 @@ Predictor = Callable[[list[str]], list[Answer]]
 USAGE = ["input_tokens", "output_tokens", "latency_ms"]
 
 
+def in_halves(call: Callable[[list[str]], list[tuple]], texts: list[str]) -> list[tuple]:
+    """Results of ``call`` for all texts in order; what fails is halved, and a single text that fails is an error row."""
+    results, waiting = [], [texts]
+    while waiting:
+        part = waiting.pop()
+        try:
+            results += call(part)
+        except Exception as error:  # noqa: BLE001 - any failure belongs to its row
+            if len(part) == 1:
+                results.append((None, str(error) or type(error).__name__, 0, 0, 0))
+            else:
+                middle = len(part) // 2
+                waiting += [part[middle:], part[:middle]]
+    return results
+
+
 def predict(inputs: DataFrame, predictor: Predictor) -> DataFrame:
     """Run a predictor over (run_id, input_text): (run_id, output, error and the columns of USAGE).
 
-    Each Arrow batch is one call. If it fails, its rows are tried one by one, so a bad row
-    costs only itself: it comes back with its error and without an output. A row's latency is its
-    share of the call's time; token counts are 0 unless the predictor gives them.
+    Each Arrow batch is one call. A batch that fails is halved until the bad row stands alone, so a bad
+    row costs about two calls for each halving: it comes back with its error and without an output. A row's
+    latency is its share of the call's time; token counts are 0 unless the predictor gives them.
     """
 
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -36,20 +52,10 @@ def predict(inputs: DataFrame, predictor: Predictor) -> DataFrame:
             parts = [a if isinstance(a, tuple) else (a, 0, 0) for a in answers]
             return [(output, None, int(read), int(written), spent) for output, read, written in parts]
 
-        def one(text):
-            try:
-                return call([text])[0]
-            except Exception as error:  # noqa: BLE001 - any failure belongs to its row
-                return None, str(error) or type(error).__name__, 0, 0, 0
-
         for batch in batches:
             if batch.empty:
                 continue
-            texts = batch["input_text"].tolist()
-            try:
-                results = call(texts)
-            except Exception:  # noqa: BLE001
-                results = [one(text) for text in texts]
+            results = in_halves(call, batch["input_text"].tolist())
             found = pd.DataFrame(results, columns=["output", "error", *USAGE])
             yield found.assign(run_id=batch["run_id"].to_numpy())[["run_id", "output", "error", *USAGE]]
 
