@@ -113,6 +113,13 @@ class Inputs:
         return signals.signal_metrics(self.cells)
 
 
+    @cached_property
+    def by_scope(self) -> DataFrame:
+        """Signals of every product type."""
+        scopes = self.vax.select(F.col("vax_type").alias("product_scope"), "vax_name")
+        exposed = signals.scope_exposure(self.outputs, self.vax, scopes)
+        return signals.signal_metrics(signals.scope_cells(self.outputs, signals.case_event(self.outputs), exposed))
+
     @cached_property
     def ref(self) -> case_run.Reference:
         return case_run.Reference(self.listed, self.vax, self.scope)
@@ -668,6 +675,10 @@ QUERIES: dict[str, Query] = {
     "signal_cells": _named("cells"),
     "signal_metrics": _using(lambda i: signals.signal_report(i.metrics)),
     "signal_query": _using(lambda i: signals.signal_query(i.metrics, "ror", min_count=100, pattern="g", limit=40)[0]),
+    "signal_by_scope": _named("by_scope"),
+    "signal_scope_query": _using(
+        lambda i: signals.signal_query(i.by_scope, "a", min_count=2, limit=40, product_scope=star.SCOPE_TYPE)[0]
+    ),
     "signal_rows": _using(lambda i: signals.signal_rows(i.metrics.select("event_pt", "a", "prr", "signal_flag"))),
     "screen_requests": _using(lambda i: signals.screen_requests(_requests(i), ["signal_metrics"])),
     # curated surfaces

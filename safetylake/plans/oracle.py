@@ -124,6 +124,10 @@ BODIES: dict[str, str] = {
     "signal_query": """
         SELECT * FROM metrics WHERE a >= 100 AND contains(event_pt, 'G')
         ORDER BY ror DESC NULLS LAST, event_pt LIMIT 40""",
+    "signal_by_scope": "SELECT * FROM scope_metrics",
+    "signal_scope_query": """
+        SELECT event_pt, a, b, c, d, n_total, prr, ror, signal_flag FROM scope_metrics WHERE product_scope = 'PROMO' AND a >= 2
+        ORDER BY a DESC, event_pt LIMIT 40""",
     "signal_rows": """
         SELECT event_pt, a, CAST(0 AS BIGINT) AS b, CAST(0 AS BIGINT) AS c, CAST(0 AS BIGINT) AS d,
                CAST(0 AS BIGINT) AS n_total, prr, CAST(NULL AS DOUBLE) AS ror, coalesce(signal_flag, FALSE) AS signal_flag

@@ -246,6 +246,20 @@ VIEWS: dict[str, str] = {
                round({sql_ratio('CAST(a AS DOUBLE) * d', 'CAST(b AS DOUBLE) * c')}, 3) AS ror,
                raw_prr >= 2 AND a >= 3 AS signal_flag
         FROM (SELECT *, {sql_ratio(sql_ratio('a', 'a + b'), sql_ratio('c', 'c + d'))} AS raw_prr FROM cells)""",
+    "scope_metrics": f"""
+        SELECT product_scope, event_pt, a, b, c, d, n_total, round(raw_prr, 3) AS prr,
+               round({sql_ratio('CAST(a AS DOUBLE) * d', 'CAST(b AS DOUBLE) * c')}, 3) AS ror,
+               raw_prr >= 2 AND a >= 3 AS signal_flag
+        FROM (SELECT *, {sql_ratio(sql_ratio('a', 'a + b'), sql_ratio('c', 'c + d'))} AS raw_prr
+              FROM (SELECT vax_type AS product_scope, event_pt, count(DISTINCT e.vaers_id) AS a,
+                           (SELECT count(DISTINCT v2.vaers_id) FROM fx_vax v2 JOIN fx_output o2 USING (vaers_id) WHERE v2.vax_type = v.vax_type)
+                             - count(DISTINCT e.vaers_id) AS b,
+                           (SELECT count(*) FROM case_events e2 WHERE e2.event_pt = e.event_pt) - count(DISTINCT e.vaers_id) AS c,
+                           (SELECT count(DISTINCT vaers_id) FROM fx_output)
+                             - (SELECT count(DISTINCT v2.vaers_id) FROM fx_vax v2 JOIN fx_output o2 USING (vaers_id) WHERE v2.vax_type = v.vax_type)
+                             - (SELECT count(*) FROM case_events e2 WHERE e2.event_pt = e.event_pt) + count(DISTINCT e.vaers_id) AS d,
+                           (SELECT count(DISTINCT vaers_id) FROM fx_output) AS n_total
+                    FROM case_events e JOIN fx_vax v USING (vaers_id) GROUP BY v.vax_type, e.event_pt))""",
     "latest": """
         SELECT * FROM fx_output
         QUALIFY row_number() OVER (PARTITION BY vaers_id ORDER BY created_at DESC, run_id DESC) = 1""",
