@@ -3,6 +3,12 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes each result as Parquet in the
 shared folder and reads it back as the next stage's docs, so a lost executor costs a re-read at most. All
 stages but the last return the columns of documents.
+
+Defined results of every stage: texts of any length are read whole; an empty table gives an empty one; extra columns go
+through, whatever their names, but for packing, which reads doc_id and text only. Null and empty texts are scored like others
+by quality, are near duplicates of nothing, hold no secrets, have size 0 and so take no part in the mix. A null doc_id or
+source is carried along (a null source is a source of its own), and its row is never learned from. Repeated rows are judged
+alike; near_duplicates keeps one of them, by id and then by text. Ties are broken by id, then by a hash of the text.
 """
 
 from __future__ import annotations
