@@ -176,9 +176,12 @@ def vocabulary(dictionary: DataFrame, products: DataFrame, scope: DataFrame) ->
     return found.join(anchors, ["phrase", "kind"])
 
 
-def affirmed(narrative: Column) -> Column:
-    """The text without what it denies; a mark stands in its place, so no phrase spans the gap."""
-    clauses = F.regexp_replace(F.regexp_replace(narrative, ONGOING, "| ongoing"), CONTRAST, " | $1")
+def affirmed(narrative: Column, unrecovered: str = "| $1") -> Column:
+    """The text without what it denies; a mark stands in its place, so no phrase spans the gap.
+
+    ``unrecovered`` replaces a denied recovery, whose word is group 1.
+    """
+    clauses = F.regexp_replace(F.regexp_replace(narrative, ONGOING, unrecovered), CONTRAST, " | $1")
     kept = F.regexp_replace(clauses, DENIED, " | ")
     return F.when(F.rlike(narrative, F.lit(NEGATION)), kept).otherwise(narrative)
 
@@ -201,7 +204,7 @@ def read_reports(reports: DataFrame, vocab: DataFrame) -> DataFrame:
     map-side part of that aggregation. ``linked`` ties facts to their event or product, see ``links``.
     """
     lowered = reports.withColumn("lowered", F.lower("narrative"))
-    read = lowered.select("*", words(affirmed(F.col("narrative"))).alias("tokens"))
+    read = lowered.select("*", words(affirmed(F.col("narrative"), "| ongoing")).alias("tokens"))
     parting = [form(w) for w in PARTING for form in (str.upper, str.lower, str.capitalize)]
     mark = lambda t, i: F.when(F.substring(t, 1, 1).isin(ENDS), i + 1).when(t.isin(parting), -i - 1)
     facts = F.struct(
