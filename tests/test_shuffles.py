@@ -7,6 +7,7 @@ import pytest
 
 from safetylake.operators.postings import Postings
 from safetylake.plans import case_run
+from safetylake.plans.predict import checked, predict
 from safetylake.session import stage_by_key, tune
 
 
@@ -82,3 +83,46 @@ def test_scores_of_a_dense_block_are_held_a_few_at_a_time():
     best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
     for (rows, values), b, s in zip(found, best, scores, strict=True):
         assert rows.tolist() == b.tolist() and np.allclose(values, s[b], atol=2e-9)
+
+
+def test_reading_neither_sorts_nor_groups_matches(spark, reports, ref):
+    told = plan(case_run.read(reports, ref, "v"))
+    after_words = told[: told.index("Generate posexplode")]  # the tree prints parents first
+    assert "Aggregate" not in after_words and "Sort" not in after_words
+
+
+def test_a_large_vocabulary_is_dealt_and_gives_the_same(spark, reports, ref):
+    def found(df):
+        return sorted(map(str, df.select("vaers_id", "stated", "events", "products", "linked").collect()))
+
+    small = found(case_run.read(reports, ref, "v"))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        assert found(case_run.read(reports, ref, "v")) == small
+        assert "BroadcastHashJoin" not in plan(case_run.read(reports, ref, "v"))
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_reports_that_reach_beyond_a_batch_are_whole(spark, reports, ref):
+    def found():
+        return sorted(map(str, case_run.read(reports, ref, "v").collect()))
+
+    whole = found()
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "2")
+    try:
+        assert found() == whole
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_outputs_are_judged_once(spark):
+    inputs = spark.createDataFrame([("1", "a"), ("2", "b")], "run_id string, input_text string")
+    sound = '{"valid":true,"missing_criteria":[],"seriousness_screen":{"serious":false,"criteria_flagged":[]},"priority":"standard","confidence":0.8}'
+    good, bad = checked(predict(inputs, lambda texts: [sound if t == "a" else "{}" for t in texts]), "triage")
+    assert "parse_json" not in plan(bad) and "MapInPandas" not in plan(good) + plan(bad)
+    assert [r["run_id"] for r in good.collect()] == ["1"] and [r["run_id"] for r in bad.collect()] == ["2"]
