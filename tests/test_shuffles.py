@@ -126,3 +126,26 @@ def test_outputs_are_judged_once(spark):
     good, bad = checked(predict(inputs, lambda texts: [sound if t == "a" else "{}" for t in texts]), "triage")
     assert "parse_json" not in plan(bad) and "MapInPandas" not in plan(good) + plan(bad)
     assert [r["run_id"] for r in good.collect()] == ["1"] and [r["run_id"] for r in bad.collect()] == ["2"]
+
+
+def test_coding_neither_sorts_nor_groups_cases(reports, ref):
+    runs = case_run.run_cases(reports, ref)
+    assert "Aggregate" not in plan(runs) and "Sort" not in plan(runs)
+
+
+def test_more_terms_than_a_broadcast_holds_code_the_same(spark, reports, ref):
+    def found():
+        return sorted(str((r["vaers_id"], r["extraction"], r["coding"])) for r in case_run.run_cases(reports, ref).collect())
+
+    narrow = found()
+    limit, batch = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = {key: spark.conf.get(key) for key in (limit, batch)}
+    try:
+        spark.conf.set(batch, "2")  # the events of a case reach beyond a batch
+        assert found() == narrow
+        spark.conf.set(limit, "-1")
+        assert found() == narrow
+        assert "BroadcastHashJoin" not in plan(case_run.run_cases(reports, ref))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
