@@ -149,3 +149,15 @@ def test_more_terms_than_a_broadcast_holds_code_the_same(spark, reports, ref):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def test_a_task_does_not_grow_with_the_input_when_partitions_stay(spark):
+    tune(spark)
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "32k")
+    try:
+        tasks = [spark.range(n).selectExpr("uuid() u").groupBy("u").count().rdd.getNumPartitions() for n in (10_000, 100_000)]
+    finally:
+        spark.conf.set(key, before)
+    assert int(spark.conf.get("spark.sql.shuffle.partitions")) < tasks[0] and 4 * tasks[0] < tasks[1]
