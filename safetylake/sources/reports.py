@@ -15,7 +15,7 @@ from safetylake.functions import text
 from safetylake.session import stage_table
 from safetylake.sources.tables import append, table_path
 
-CORRUPT = "_corrupt"
+CORRUPT, KEPT_OUT = "_corrupt", "_kept_out"
 
 
 @dataclass(frozen=True)
@@ -131,7 +131,7 @@ def _records(lines: DataFrame) -> DataFrame:
 
 
 def read_report_csv(
-    spark: SparkSession, path: str | list[str], encoding: str = "ISO-8859-1"
+    spark: SparkSession, path: str | list[str], encoding: str = "ISO-8859-1", seen: Observation | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, quarantine) of report CSVs.
 
@@ -142,16 +142,18 @@ def read_report_csv(
 
     One small row per file says whether any of its lines leaves a quoted field open. If none does,
     every line is a record; else the records are put together split by split. No file is read by a
-    single task because of its size, and only the distinct headers come to the driver.
+    single task because of its size, and only the distinct headers come to the driver. ``seen`` counts, while the rows
+    are used, the records that go to the quarantine (n): where there are none, it need not be read.
     """
     lines = _lines(spark, path, encoding)
     first = F.when(F.col("block") == 0, F.col("id"))
-    files = lines.groupBy("_source_file").agg(
-        F.max("opens").alias("broken"), F.min(first).alias("header_id"), F.min_by("line", first).alias("header")
-    )
+    files = lines.groupBy("_source_file").agg(F.max("opens").alias("broken"), F.min(first).alias("header_id"))
     # Written once: the planner sees how small it is and does not shuffle the lines to meet it.
     files = stage_table(files, "files")
-    found = files.filter("header is not null").groupBy("header").agg(F.max("broken").alias("broken")).collect()
+    # Looked up apart: a text in the aggregation above would have all lines sorted by file.
+    heads = lines.join(files, "_source_file").filter("id = header_id and line is not null")
+    heads = stage_table(heads.select("_source_file", "broken", F.col("line").alias("header")), "headers")
+    found = heads.groupBy("header").agg(F.max("broken").alias("broken")).collect()
     headers = sorted(r["header"] for r in found)
     if not headers:
         raise ValueError(f"no header line in {path}")
@@ -162,23 +164,27 @@ def read_report_csv(
     if any(r["broken"] for r in found):
         records = plain.unionByName(_records(tagged.filter("broken = 1").select(*lines.columns)))
     if len(headers) == 1:
-        return _parsed(records, headers[0], encoding)
-    records = records.join(files.select("_source_file", "header"), "_source_file")
-    parts = [_parsed(records.filter(F.col("header") == h), h, encoding) for h in headers]
-    rows = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), [good for good, _ in parts])
-    return rows, reduce(DataFrame.unionByName, [bad for _, bad in parts])
+        rows = _parsed(records, headers[0], encoding)
+    else:
+        records = records.join(heads.select("_source_file", "header"), "_source_file")
+        parts = [_parsed(records.filter(F.col("header") == h), h, encoding) for h in headers]
+        rows = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    good = rows if seen is None else rows.observe(seen, F.count(KEPT_OUT).alias("n"))
+    return (
+        good.filter(F.col(KEPT_OUT).isNull()).drop(KEPT_OUT),
+        rows.filter(F.col(KEPT_OUT).isNotNull()).select("_source_file", f"{KEPT_OUT}.*"),
+    )
 
 
-def _parsed(records: DataFrame, header: str, encoding: str) -> tuple[DataFrame, DataFrame]:
-    """(rows, quarantine) of (_source_file, record) under one header line."""
+def _parsed(records: DataFrame, header: str, encoding: str) -> DataFrame:
+    """The fields of (_source_file, record) under one header line; a record with too many of them is in KEPT_OUT."""
     names = [c.strip().lower() for c in next(csv.reader([header]))]
     schema = T.StructType([*[T.StructField(n, T.StringType()) for n in names], T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_csv("record", schema.simpleString(), _options(encoding) | {"header": "false"})
-    rows = records.select(parsed.alias("r"), "_source_file", "record")
     too_long = field_count(F.col("record")) > len(names)
-    return (
-        rows.filter(~too_long).select(*[F.nullif(F.col(f"r.`{n}`"), F.lit("")).alias(n) for n in names], "_source_file"),
-        rows.filter(too_long).select("_source_file", F.col(f"r.`{names[0]}`").alias("first_field"), F.col("record").alias("raw")),
+    kept_out = F.struct(F.col(f"r.`{names[0]}`").alias("first_field"), F.col("record").alias("raw"))
+    return records.select(parsed.alias("r"), "_source_file", "record").select(
+        *[F.nullif(F.col(f"r.`{n}`"), F.lit("")).alias(n) for n in names], "_source_file", F.when(too_long, kept_out).alias(KEPT_OUT)
     )
 
 
@@ -239,17 +245,20 @@ def load_files(
 ) -> dict[str, int | str]:
     """Append the three report files to their raw tables; rows per table and the batch id.
 
-    Rows are counted by an observation while they are written, not by a second pass. Records with
+    Rows and records with too many fields are counted by observations while the rows are written, not by a second pass. Records with
     too many fields are appended to ``<table>_quarantine`` and counted as ``<table>_quarantined``
     if there are any.
     """
     counts: dict[str, int | str] = {}
     for table, path in paths.items():
-        rows, bad = read_report_csv(spark, path)
+        apart = Observation(f"quarantine_{table}")
+        rows, bad = read_report_csv(spark, path, seen=apart)
         seen = Observation(f"load_{table}")
         counted = conform(rows, table, batch_id).observe(seen, F.count(F.lit(1)).alias("n"))
         append(counted, warehouse, table)
         counts[table] = seen.get["n"]
+        if not apart.get["n"]:
+            continue
         kept_out = stage_table(bad.withColumn("_load_batch_id", F.lit(batch_id)), f"{table}_quarantine")
         if n := kept_out.count():
             kept_out.write.mode("append").parquet(table_path(warehouse, f"{table}_quarantine"))

@@ -8,7 +8,8 @@ import pytest
 from safetylake.operators.postings import Postings
 from safetylake.plans import case_run
 from safetylake.plans.predict import checked, predict
-from safetylake.session import stage_by_key, tune
+from safetylake.session import stage_by_key, stage_table, tune
+from safetylake.sources import reports as reports_csv
 
 
 def plan(df):
@@ -161,3 +162,22 @@ def test_a_task_does_not_grow_with_the_input_when_partitions_stay(spark):
     finally:
         spark.conf.set(key, before)
     assert int(spark.conf.get("spark.sql.shuffle.partitions")) < tasks[0] and 4 * tasks[0] < tasks[1]
+
+
+def test_loading_sorts_no_lines_and_reads_a_quarantine_only_if_there_is_one(spark, tmp_path, monkeypatch):
+    staged = {}
+
+    def recorded(df, label):
+        staged[label] = plan(df)
+        return stage_table(df, label)
+
+    monkeypatch.setattr(reports_csv, "stage_table", recorded)
+    head = "VAERS_ID,SYMPTOM_TEXT\n"
+    for name, lines in {"a": '1,"x\ny"\n2,z\n', "b": "3,x\n4,y,too,many\n"}.items():
+        (tmp_path / f"{name}.csv").write_text(head + lines)
+    load = lambda name: reports_csv.load_files(spark, {"raw_vaers_data": str(tmp_path / f"{name}.csv")}, str(tmp_path / f"raw-{name}"), "b")
+    assert load("a") == {"raw_vaers_data": 2, "batch_id": "b"}
+    assert "raw_vaers_data_quarantine" not in staged and "Sort" not in staged["files"]
+    assert load("b") == {"raw_vaers_data": 1, "raw_vaers_data_quarantined": 1, "batch_id": "b"}
+    kept_out = spark.read.parquet(str(tmp_path / "raw-b" / "raw_vaers_data_quarantine")).first()
+    assert kept_out["first_field"] == "4" and kept_out["raw"] == "4,y,too,many"
