@@ -10,6 +10,7 @@ from safetylake.plans import case_run
 from safetylake.plans.predict import checked, predict
 from safetylake.session import stage_by_key, stage_table, tune
 from safetylake.sources import reports as reports_csv
+from safetylake.sources import tables
 
 
 def plan(df):
@@ -181,3 +182,11 @@ def test_loading_sorts_no_lines_and_reads_a_quarantine_only_if_there_is_one(spar
     assert load("b") == {"raw_vaers_data": 1, "raw_vaers_data_quarantined": 1, "batch_id": "b"}
     kept_out = spark.read.parquet(str(tmp_path / "raw-b" / "raw_vaers_data_quarantine")).first()
     assert kept_out["first_field"] == "4" and kept_out["raw"] == "4,y,too,many"
+
+
+def test_hashed_row_ids_are_stored_as_half_their_digits(spark, tmp_path):
+    rows = spark.range(20_000).selectExpr("cast(id as string) vaers_id", "sha2(cast(id as string), 256) _row_id")
+    tables.append(rows, str(tmp_path), "raw_vaers_vax")
+    assert sum(p.stat().st_size for p in (tmp_path / "raw_vaers_vax").glob("*.parquet")) < 20_000 * 48
+    stored = tables.read_table(spark, str(tmp_path), "raw_vaers_vax").select(*rows.columns)
+    assert stored.count() == 20_000 and stored.exceptAll(rows).count() == 0
