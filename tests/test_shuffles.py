@@ -5,6 +5,7 @@ import tracemalloc
 import numpy as np
 import pytest
 
+from safetylake.operators import stages
 from safetylake.operators.postings import Postings
 from safetylake.plans import case_run
 from safetylake.plans.predict import checked, predict
@@ -190,3 +191,39 @@ def test_hashed_row_ids_are_stored_as_half_their_digits(spark, tmp_path):
     assert sum(p.stat().st_size for p in (tmp_path / "raw_vaers_vax").glob("*.parquet")) < 20_000 * 48
     stored = tables.read_table(spark, str(tmp_path), "raw_vaers_vax").select(*rows.columns)
     assert stored.count() == 20_000 and stored.exceptAll(rows).count() == 0
+
+
+def test_cases_pass_through_predictors_without_a_join(spark, reports, ref):
+    def extractor(prompts):
+        return ['{"case":{"patient":{"sex":"unknown"}},"confidence":%s}' % (7 if "Nothing" in p else 0.5) for p in prompts]
+
+    done, failed = case_run.run_with_predictors(reports, ref, {"extraction": extractor}, ("triage", "extraction"))
+    assert "Join" not in plan(done) and "Exchange" not in plan(done) and "Join" not in plan(failed)
+    found = done.select("vaers_id", "triage.valid", "extraction.confidence", "received_date").collect()
+    assert [tuple(r) for r in found] == [("1", True, 0.5, "01022024")]
+    lost = {r["vaers_id"]: r["error"] for r in failed.collect()}
+    assert set(lost) == {"2", None} and "confidence" in lost["2"]  # without an id there is no prompt
+    assert not {"narrative", "input_text"} & set(done.columns)
+
+
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_coding_prompts_of_cases_are_the_rendered_ones(spark, threshold):
+    cases = spark.createDataFrame(
+        [("r1", "a", ["rash", "itch", "rash", None]), ("r2", "b", []), ("r3", "c", ["other"])], "run_id string, vaers_id string, verbatims array<string>"
+    )
+    found = spark.createDataFrame([("rash", ["Rash", "Chills"]), ("itch", []), ("itch", ["Itch"])], "verbatim string, candidates array<string>")
+    event = "transform(verbatims, v -> named_struct('verbatim', v))"
+    runs = cases.selectExpr("run_id", "vaers_id", f"named_struct('case', named_struct('events', {event})) extraction")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, threshold)
+    try:
+        given = {r["run_id"]: (r["vaers_id"], r["input_text"]) for r in stages.with_candidates(runs, found, ["vaers_id", "extraction"]).collect()}
+        rendered = {r["run_id"]: r["prompt"] for r in stages.render_candidates(cases, found).collect()}
+    finally:
+        spark.conf.set(key, before)
+    assert given == {"r1": ("a", rendered["r1"]), "r2": ("b", stages.CODE_HEADER), "r3": ("c", rendered["r3"])}
+
+
+def test_batches_are_not_sized_row_by_row(spark):
+    assert tune(spark).conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(2**31 - 1)
