@@ -1,11 +1,13 @@
 """What a run shuffles and what a task holds."""
 
+import re
 import tracemalloc
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from safetylake.operators import stages
+from safetylake.operators import evaluation, stages
 from safetylake.operators.postings import Postings
 from safetylake.plans import case_run
 from safetylake.plans.predict import checked, predict
@@ -227,3 +229,34 @@ def test_coding_prompts_of_cases_are_the_rendered_ones(spark, threshold):
 
 def test_batches_are_not_sized_row_by_row(spark):
     assert tune(spark).conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(2**31 - 1)
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+OUTPUTS = "run_id string, vaers_id string, pipeline_version string, coded_pts array<string>, seriousness string"
+
+
+def test_scoring_deals_outputs_by_case_and_no_term_row(spark, no_broadcast):
+    sure, unsure = '{"serious":true}', "{}"
+    outputs = [
+        ("r1", "1", "v", ["Rash", " rash", "Itch", None], sure), ("r1", "1", "v", ["Rash", " rash", "Itch", None], sure),
+        ("r1", "1", "v", ["Itch"], unsure), ("r2", "1", "v", [], sure), ("r3", "2", "v", None, None), (None, "1", None, ["Pain"], sure), ("r4", None, "v", ["Rash"], sure),
+    ]
+    human = [("1", "RASH", 26.0), ("1", "rash ", 25.0), ("1", "Pain", 26.0), ("2", "Itch", 26.0), (None, "Rash", 26.0)]
+    long = spark.createDataFrame(human, "vaers_id string, pt_term string, meddra_version double")
+    facts = spark.createDataFrame([("1", True), ("2", False), (None, True)], "vaers_id string, serious boolean")
+    scored = evaluation.eval_case(spark.createDataFrame(outputs, OUTPUTS), long, facts)
+    assert not re.search(r"Exchange hashpartitioning\(run_id|Exchange hashpartitioning\(vaers_id#\d+, pt_term", plan(scored))
+    found = scored.select("run_id", "vaers_id", "tp", "fp", "fn", "agent_serious", "gt_serious").collect()
+    assert sorted(map(tuple, found), key=str) == sorted(
+        [("r1", "1", 2, 1, 1, True, True), ("r1", "1", 0, 1, 2, None, True), ("r2", "1", 0, 0, 2, True, True),
+         ("r3", "2", 0, 0, 1, None, False), (None, "1", 1, 0, 1, True, True)], key=str)
