@@ -1,5 +1,6 @@
 """What a run shuffles and what a task holds."""
 
+import os
 import re
 import tracemalloc
 
@@ -7,13 +8,14 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from safetylake.operators import evaluation, stages
+from safetylake.operators import evaluation, stages, surfaces
 from safetylake.operators.postings import Postings
-from safetylake.plans import case_run
+from safetylake.plans import case_run, catalog
 from safetylake.plans.predict import checked, predict
 from safetylake.session import stage_by_key, stage_table, tune
 from safetylake.sources import reports as reports_csv
-from safetylake.sources import tables
+from safetylake.sources import star, tables
+from safetylake.streaming import sink
 
 
 def plan(df):
@@ -260,3 +262,24 @@ def test_scoring_deals_outputs_by_case_and_no_term_row(spark, no_broadcast):
     assert sorted(map(tuple, found), key=str) == sorted(
         [("r1", "1", 2, 1, 1, True, True), ("r1", "1", 0, 1, 2, None, True), ("r2", "1", 0, 0, 2, True, True),
          ("r3", "2", 0, 0, 1, None, False), (None, "1", 1, 0, 1, True, True)], key=str)
+
+
+def test_latest_runs_are_dealt_once_for_the_full_case(spark, no_broadcast):
+    runs = spark.createDataFrame([("a", "1", 1), ("b", "1", 2), ("c", "2", 1), ("d", None, 1)], "run_id string, vaers_id string, day int")
+    texts = [F.lit("x").alias(c) for c in ("pipeline_version", "extracted", "seriousness", "causality", "narrative")]
+    made = F.timestamp_seconds("day").alias("created_at")
+    runs = runs.select("*", made, *texts, F.array().cast("array<string>").alias("coded_pts"), F.lit(0.5).alias("overall_confidence"), F.lit(True).alias("hitl_required"))
+    scores = "vaers_id string, run_id string, f1 double, precision double, recall double, seriousness_match boolean"
+    scored = spark.createDataFrame([("1", "a", 0.1, 0.1, 0.1, True), ("1", "b", 0.2, 0.2, 0.2, False), ("2", "x", 0.3, 0.3, 0.3, True)], scores)
+    facts = spark.createDataFrame([("1", "t"), ("1", "t"), ("2", "u"), ("3", "w"), (None, "n")], "vaers_id string, symptom_text string")
+    facts = facts.select("*", F.lit(1.0).alias("age_yrs"), F.lit("M").alias("sex"), F.lit(True).alias("serious"), F.lit(2).alias("n_coded_pts"))
+    full = surfaces.case_full(facts, runs, scored)
+    assert not re.search(r"Exchange hashpartitioning\(vaers_id#\d+, run_id", plan(full))
+    found = full.select("vaers_id", "run_id", "coding_f1").collect()
+    assert sorted(map(tuple, found), key=str) == [("1", "b", 0.2), ("1", "b", 0.2), ("2", "c", None), ("3", None, None), (None, None, None)]
+
+
+def test_both_runs_of_an_order_are_made_of_one_row(spark, no_broadcast):
+    made = star.outputs(spark, "/root/testdata/sf0.001")
+    assert "v#" not in "".join(re.findall(r"Exchange hashpartitioning\([^)]*\)", plan(made)))
+    assert made.count() == 2 * star.table(spark, "/root/testdata/sf0.001", "orders").count()
