@@ -102,11 +102,13 @@ def _records(lines: DataFrame) -> DataFrame:
     before = F.last("set", ignorenulls=True).over(earlier)
     flipped = F.coalesce(F.last("flips").over(earlier), F.lit(0))
     state = F.when(before.isNull(), F.col("is_open") + flipped).otherwise(before["to"] + flipped - before["at"]) % 2
-    in_split = through
+    in_split, in_order = through, Window.partitionBy(*split).orderBy("id")
     started = (
         marked.join(open_before, split)
         .withColumn("starts", (state == 0).cast("int"))
         .withColumn("nth", F.sum("starts").over(in_split))
+        # A line that starts a record, as the next one of its split does, is a record: only others are put together.
+        .withColumn("whole", (F.col("starts") == 1) & F.coalesce(F.lead("starts").over(in_order) == 1, F.lit(False)))
     )
     # Lines before the first start of a split continue the last record of an earlier split.
     last = F.when(F.col("n") > 0, F.struct("block", "n"))
@@ -116,8 +118,10 @@ def _records(lines: DataFrame) -> DataFrame:
         .select(*split, F.last(last, ignorenulls=True).over(earlier_splits).alias("open"))
     )
     own = F.col("nth") > 0
-    return (
-        started.join(carried, split)
+    single = started.filter("whole").filter("not (block = 0 and nth = 1)").select("_source_file", F.col("line").alias("record"))
+    joined = (
+        started.filter(~F.col("whole"))
+        .join(carried, split)
         .groupBy(
             "_source_file",
             F.when(own, F.col("block")).otherwise(F.col("open.block")).alias("first_block"),
@@ -126,8 +130,8 @@ def _records(lines: DataFrame) -> DataFrame:
         .agg(F.array_sort(F.collect_list(F.struct("block", "id", "line"))).alias("lines"))
         .filter("not (first_block = 0 and first_nth = 1)")  # the header line
         .select("_source_file", F.array_join(F.transform("lines", lambda x: x["line"]), "\n").alias("record"))
-        .filter(text.is_filled(F.col("record")))
     )
+    return single.unionByName(joined).filter(text.is_filled(F.col("record")))
 
 
 def read_report_csv(

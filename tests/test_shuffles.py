@@ -283,3 +283,22 @@ def test_both_runs_of_an_order_are_made_of_one_row(spark, no_broadcast):
     made = star.outputs(spark, "/root/testdata/sf0.001")
     assert "v#" not in "".join(re.findall(r"Exchange hashpartitioning\([^)]*\)", plan(made)))
     assert made.count() == 2 * star.table(spark, "/root/testdata/sf0.001", "orders").count()
+
+
+def test_only_records_of_several_lines_are_put_together(spark, tmp_path, no_broadcast):
+    file = tmp_path / "a.csv"
+    file.write_text('ID,TEXT\n1,"one\ntwo\n\nthree"\n2,plain\n3,"a ""b"", c"\n4,"x\n5,y"\n6,last\n', encoding="latin-1")
+    rows, bad = reports_csv.read_report_csv(spark, str(file))
+    found = sorted((r["id"], r["text"]) for r in rows.collect())
+    assert found == [("1", "one\ntwo\n\nthree"), ("2", "plain"), ("3", 'a "b", c'), ("4", "x\n5,y"), ("6", "last")]
+    assert bad.count() == 0
+    assert "lead(starts" in plan(rows)  # a line that a record's start follows is a record of its own
+
+
+def test_report_files_of_the_queries_are_packed(spark):
+    i = catalog.Inputs(spark, "/root/testdata/sf0.001")
+    path = catalog._write_csv(i, "vax")
+    assert all(f.endswith(".csv.gz") for f in os.listdir(path) if f.startswith("part"))
+    rows, _ = reports_csv.read_report_csv(spark, path)
+    names = ["vaers_id", "vax_type", "vax_manu", "vax_lot", "vax_dose_series", "vax_name"]
+    assert sorted(map(tuple, rows.select(names).collect())) == sorted(map(tuple, i.vax.select(names).collect()))
