@@ -302,3 +302,18 @@ def test_report_files_of_the_queries_are_packed(spark):
     rows, _ = reports_csv.read_report_csv(spark, path)
     names = ["vaers_id", "vax_type", "vax_manu", "vax_lot", "vax_dose_series", "vax_name"]
     assert sorted(map(tuple, rows.select(names).collect())) == sorted(map(tuple, i.vax.select(names).collect()))
+
+
+def test_stream_tables_and_stages_are_stored_with_zstd(spark, tmp_path):
+    key = "spark.sql.parquet.compression.codec"
+    before = spark.conf.get(key, None)
+    spark.conf.unset(key)
+    tune(spark)
+    rows = spark.createDataFrame([("r", "1", "v")], "run_id string, vaers_id string, pipeline_version string")
+    sink.write_batch(rows, str(tmp_path), "agt_run", 0)
+    stage_table(rows, "kept").write.parquet(str(tmp_path / "landing"))
+    assert spark.conf.get(key) == "zstd"
+    files = list(tmp_path.rglob("part-*.parquet"))
+    assert len(files) >= 2 and all(".zstd." in f.name for f in files)
+    if before:
+        spark.conf.set(key, before)
